@@ -75,7 +75,7 @@ def discount_percentage(original: Column, current: Column) -> Column:
 
 def clean_authors(authors: Column) -> Column:
     """Trimmed, non-blank names."""
-    return F.filter(F.transform(authors, F.trim), lambda name: name != "")
+    return F.filter(F.transform(authors, lambda name: F.trim(name)), lambda name: name != "")
 
 
 def surrogate_id(*natural_key: str | Column) -> Column:

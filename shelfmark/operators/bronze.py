@@ -93,7 +93,7 @@ def upc(specs: Column) -> Column:
 
 
 def _names(text: Column) -> Column:
-    return F.transform(F.split(text, ","), F.trim)
+    return F.transform(F.split(text, ","), lambda name: F.trim(name))
 
 
 def authors(html: Column, specs: Column) -> Column:
@@ -187,30 +187,26 @@ def rejected_pages(pages: DataFrame) -> DataFrame:
     return parsed.select("source_url", incomplete(parsed).alias("missing_fields")).where("missing_fields is not null")
 
 
-def page_links(pages: DataFrame, within: str = "h3", base: Column | None = None) -> DataFrame:
-    """One row per link inside ``within`` elements: (source_url, position, link), made absolute.
-
-    ``base`` overrides the address that relative links start from.
-    """
-    pattern = rf"(?is)<{within}\b[^>]*>\s*<a\b[^>]*\bhref\s*=\s*[\"']([^\"']*)[\"']"
+def _links(pages: DataFrame, within: str | None) -> DataFrame:
+    """(source_url, position, _ref) of every link, or of those that start a ``within`` element."""
+    start = rf"<{within}\b[^>]*>\s*" if within else ""
+    pattern = rf"(?is){start}<a\b[^>]*\bhref\s*=\s*[\"']([^\"']*)[\"']"
     found = F.regexp_extract_all("raw_content", F.lit(pattern), F.lit(1))
     links = pages.select("source_url", F.posexplode(found).alias("position", "_ref"))
-    start = F.col("source_url") if base is None else base
-    return links.select("source_url", "position", h.resolve_url(start, h.unescape(F.col("_ref"))).alias("link"))
+    return links.withColumn("_ref", h.unescape(F.col("_ref")))
+
+
+def page_links(pages: DataFrame, within: str | None = None) -> DataFrame:
+    """One row per link of a page, made absolute: (source_url, position, link)."""
+    resolved = h.resolve_url(F.col("source_url"), F.col("_ref"))
+    return _links(pages, within).select("source_url", "position", resolved.alias("link"))
 
 
 def catalogue_links(pages: DataFrame, site: str) -> DataFrame:
     """Product links of listing pages; leading steps up lead to the site's ``catalogue/``."""
-    links = pages.select(
-        "source_url",
-        F.posexplode(
-            F.regexp_extract_all(
-                "raw_content", F.lit(r"(?is)<h3\b[^>]*>\s*<a\b[^>]*\bhref\s*=\s*[\"']([^\"']*)[\"']"), F.lit(1)
-            )
-        ).alias("position", "_ref"),
-    )
-    inner = F.replace(h.unescape(F.col("_ref")), F.lit("../../../"), F.lit(""))
-    return links.select("source_url", "position", h.resolve_url(F.lit(f"{site.rstrip('/')}/catalogue/"), inner).alias("link"))
+    inner = F.replace(F.col("_ref"), F.lit("../../../"), F.lit(""))
+    resolved = h.resolve_url(F.lit(f"{site.rstrip('/')}/catalogue/"), inner)
+    return _links(pages, "h3").select("source_url", "position", resolved.alias("link"))
 
 
 def next_page(html: Column, url: Column) -> Column:
@@ -297,4 +293,4 @@ def hydrate(listed: DataFrame, details: DataFrame, key: str = "isbn13", null_det
             columns.append(F.col(f"d.{name}"))
         else:
             columns.append(F.coalesce(f"d.{name}", f"l.{name}").alias(name))
-    return left.join(right, F.col(f"l.{key}") == F.col(f"d.{key}")).where(F.col(f"l.{key}") != "").select(*columns)
+    return left.join(right, F.col(f"l.{key}") == F.col(f"d.{key}")).where(F.col(f"l.{key}").cast("string") != "").select(*columns)

@@ -195,15 +195,26 @@ def as_of(
     Versions and probes are put in one timeline and the last version is carried
     forward, so a key never pairs all its probes with all its versions.
     """
-    state = F.struct(*[F.col(c) for c in attributes], "valid_to")
+    state = F.struct(*attributes, "valid_to")
+    moment = versions.schema["valid_from"].dataType
+    never = F.lit("9999-12-31").cast(moment)
+    # Of versions that start at the same moment the one that ends last counts.
     marks = versions.select(
-        *keys, F.col("valid_from").alias("_at"), F.lit(0).alias("_kind"), state.alias("_state"), F.lit(None).cast(probes.select(F.struct("*").alias("s")).schema["s"].dataType).alias("_probe")
+        *keys,
+        F.col("valid_from").alias("_at"),
+        F.lit(0).alias("_kind"),
+        F.coalesce("valid_to", never).alias("_end"),
+        state.alias("_state"),
     )
     asks = probes.select(
-        *keys, F.col(time).cast(versions.schema["valid_from"].dataType).alias("_at"), F.lit(1).alias("_kind"),
-        F.lit(None).cast(marks.schema["_state"].dataType).alias("_state"), F.struct(*probes.columns).alias("_probe"),
+        *keys,
+        F.col(time).cast(moment).alias("_at"),
+        F.lit(1).alias("_kind"),
+        never.alias("_end"),
+        F.struct(*probes.columns).alias("_probe"),
     )
-    known = with_last_known(marks.unionByName(asks), keys, "_at", ["_kind"], F.col("_state"), "_known", every)
+    timeline = marks.unionByName(asks, allowMissingColumns=True)
+    known = with_last_known(timeline, keys, "_at", ["_kind", "_end"], F.col("_state"), "_known", every)
     valid = F.col("_known.valid_to").isNull() | (F.col("_at") < F.col("_known.valid_to"))
     return known.where("_kind = 1").select(
         "_probe.*", *[F.when(valid, F.col(f"_known.{c}")).alias(c) for c in attributes]

@@ -21,41 +21,21 @@ def write_batch(
     batch_id: str | None = None,
     partitions: tuple[str, ...] = PARTITIONS,
     compression: str = "snappy",
-    sort_by: list[str] | None = None,
-) -> str | None:
-    """Write a batch below ``path``; None and no files if it is empty.
+) -> tuple[str | None, int]:
+    """Write a batch below ``path``: (path, rows), or (None, 0) if it is empty.
 
     Only the partitions of this batch are replaced, so a repeated batch changes
-    nothing and other batches stay.
+    nothing and other batches stay. The rows are counted as they are written; an
+    empty batch leaves no files.
     """
-    if df.isEmpty():
-        return None
-    if "batch_id" in partitions and "batch_id" not in df.columns:
-        df = df.withColumn("batch_id", F.lit(batch_id or default_batch_id()))
-    if sort_by:
-        df = df.sortWithinPartitions(*partitions, *sort_by)
-    (
-        df.write.partitionBy(*partitions)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", compression)
-        .parquet(path)
-    )
-    return path
-
-
-def write_batch_counted(df: DataFrame, path: str, batch_id: str | None = None, **options) -> tuple[str | None, int]:
-    """As ``write_batch``; the rows are counted while they are written, not in a second pass."""
-    seen = Observation("written")
+    seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if df.isEmpty():
-        return None, 0
-    partitions = options.pop("partitions", PARTITIONS)
     if "batch_id" in partitions and "batch_id" not in df.columns:
         counted = counted.withColumn("batch_id", F.lit(batch_id or default_batch_id()))
     writer = counted.write.partitionBy(*partitions).mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path, compression=options.get("compression", "snappy"))
-    return path, seen.get["rows"]
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path, compression=compression)
+    rows = seen.get["rows"]
+    return (path, rows) if rows else (None, 0)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
