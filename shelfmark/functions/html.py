@@ -7,8 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Named character references and their characters, "&amp;" last so
-# that a decoded ampersand starts no new reference.
+# Named character references and their characters.
 ENTITIES = {
     "lt": "<",
     "gt": ">",
@@ -49,35 +48,37 @@ ENTITIES = {
     "uacute": "ú",
     "uuml": "ü",
     "szlig": "ß",
-    "amp": "&",
 }
 
-_NUMBERED = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+_REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-z]{2,8});"
 
 
-def _character(code: Column) -> Column:
-    """The character of "233" or "xE9"; U+FFFD for numbers that are no character."""
+def _numbered(name: Column) -> Column:
+    """The character of "#233" or "#xE9"; U+FFFD for numbers that are no character."""
+    digits = F.lower(F.substring(name, 2, 8))
     number = F.when(
-        F.lower(F.substring(code, 1, 1)) == "x", F.conv(F.substring(code, 2, 10), 16, 10).try_cast("bigint")
-    ).otherwise(code.try_cast("bigint"))
+        digits.startswith("x"), F.conv(F.substring(digits, 2, 8), 16, 10).try_cast("bigint")
+    ).otherwise(digits.try_cast("bigint"))
     valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
     number = F.when(valid, number).otherwise(F.lit(0xFFFD))
-    return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    # An ampersand stays a reference until all others are decoded.
+    return F.when(number == 38, "&amp;").otherwise(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
 
 
 def unescape(text: Column) -> Column:
     """Numbered and the common named character references as characters."""
-    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(_NUMBERED), F.lit(1)))
-    # "&#38;" must not start a new reference, so it waits until after the names.
-    numbered = F.aggregate(
-        codes,
-        text,
-        lambda t, c: F.replace(t, F.concat(F.lit("&#"), c, F.lit(";")), F.when(_character(c) == "&", F.lit("&amp;")).otherwise(_character(c))),
-    )
-    out = numbered
-    for name, character in ENTITIES.items():
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(character))
-    return F.when(text.contains("&"), out).otherwise(text)
+    named = F.create_map(*[F.lit(x) for entry in ENTITIES.items() for x in entry])
+    used = F.array_distinct(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(1)))
+
+    def decode(done: Column, name: Column) -> Column:
+        reference = F.concat(F.lit("&"), name, F.lit(";"))
+        character = F.when(name.startswith("#"), _numbered(name)).otherwise(
+            F.coalesce(F.try_element_at(named, name), reference)
+        )
+        return F.replace(done, reference, character)
+
+    decoded = F.replace(F.aggregate(used, text, decode), F.lit("&amp;"), F.lit("&"))
+    return F.when(text.contains("&"), decoded).otherwise(text)
 
 
 def strip_tags(markup: Column) -> Column:
