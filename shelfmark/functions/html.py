@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -50,6 +51,9 @@ ENTITIES = {
     "szlig": "ß",
 }
 
+# Tags that have no end tag.
+VOID_TAGS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
+
 _REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-z]{2,8});"
 
 
@@ -65,10 +69,14 @@ def _numbered(name: Column) -> Column:
     return F.when(number == 38, "&amp;").otherwise(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
 
 
+def bind(value: Column, function: Callable[[Column], Column]) -> Column:
+    """``function(value)`` with ``value`` evaluated once, however often it is used."""
+    return F.get(F.transform(F.array(value), lambda v: function(v)), F.lit(0))
+
+
 def unescape(text: Column) -> Column:
     """Numbered and the common named character references as characters."""
     named = F.create_map(*[F.lit(x) for entry in ENTITIES.items() for x in entry])
-    used = F.array_distinct(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(1)))
 
     def decode(done: Column, name: Column) -> Column:
         reference = F.concat(F.lit("&"), name, F.lit(";"))
@@ -77,23 +85,26 @@ def unescape(text: Column) -> Column:
         )
         return F.replace(done, reference, character)
 
-    decoded = F.replace(F.aggregate(used, text, decode), F.lit("&amp;"), F.lit("&"))
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    def decoded(t: Column) -> Column:
+        used = F.array_distinct(F.regexp_extract_all(t, F.lit(_REFERENCE), F.lit(1)))
+        return F.when(t.contains("&"), F.replace(F.aggregate(used, t, decode), F.lit("&amp;"), F.lit("&"))).otherwise(t)
+
+    return bind(text, decoded)
 
 
 def strip_tags(markup: Column) -> Column:
     """Text of a markup fragment: no comments, scripts or tags, references decoded, trimmed."""
     plain = F.regexp_replace(markup, r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>|<[^>]*>", "")
-    return F.regexp_replace(unescape(plain), r"^[\s ]+|[\s ]+$", "")
+    return F.regexp_replace(unescape(plain), r"^[\s ]+|[\s ]+$", "")
 
 
 def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
-def first_group(html: Column, pattern: str, group: int = 1) -> Column:
-    """First match, null if there is none (an empty match stays an empty string)."""
-    return F.when(html.rlike(pattern), F.regexp_extract(html, pattern, group))
+def first_match(html: Column, pattern: str, group: int = 1) -> Column:
+    """A group of the first match, null if there is no match or the group is empty."""
+    return blank_to_null(F.regexp_extract(html, pattern, group))
 
 
 def element(tag: str) -> str:
@@ -101,9 +112,54 @@ def element(tag: str) -> str:
     return rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"
 
 
-def element_of_class(name: str) -> str:
-    """Pattern whose group 2 is the inside of the first element with a class."""
-    return rf"(?is)<(\w+)\b[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?{re.escape(name)}(?:\s[^\"']*)?[\"'][^>]*>(.*?)</\1\s*>"
+def _from_tag_with(html: Column, word: str) -> Column:
+    """The page from the start of the tag in which a word first stands; plain string search."""
+
+    def cut(before: Column) -> Column:
+        start = F.length(before) - F.length(F.substring_index(before, "<", -1))
+        return F.substring(html, F.greatest(start, F.lit(1)), F.length(html))
+
+    return F.when(html.contains(word), bind(F.substring_index(html, word, 1), cut))
+
+
+def inside_class(html: Column, name: str) -> Column:
+    """Inside of the first element with a class, null if there is none.
+
+    The class name is looked up as a plain string first. Only if it stands somewhere
+    else before (in a script, say) is the whole page searched by pattern.
+    """
+    tag = rf"<(\w+)\b[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?{re.escape(name)}(?:\s[^\"']*)?[\"'][^>]*>(.*?)</\1\s*>"
+    near = first_match(_from_tag_with(html, name), rf"(?is)^{tag}", 2)
+    return F.when(html.contains(name), F.coalesce(near, first_match(html, rf"(?is){tag}", 2)))
+
+
+def children(html: Column, name: str, tag: str) -> Column:
+    """Insides of the elements of a kind directly below the first element with a class."""
+    opening = rf"(?is)^<\w+\b[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?{re.escape(name)}(?:\s[^\"']*)?[\"'][^>]*>"
+    body = F.regexp_replace(_from_tag_with(html, name), opening, "")
+    pieces = F.regexp_extract_all(body, F.lit(r"(?s)<[^>]*>[^<]*"), F.lit(0))
+    start = F.struct(
+        F.lit(0).alias("depth"), F.lit(False).alias("inside"), F.lit("").alias("text"),
+        F.array().cast("array<string>").alias("found"),
+    )
+
+    def walk(state: Column, piece: Column) -> Column:
+        kind = F.lower(F.regexp_extract(piece, r"^<(/?\w+)", 1))
+        void = kind.isin(*VOID_TAGS) | piece.rlike(r"^<[^>]*/>") | ~piece.rlike(r"^</?\w")
+        depth, inside = state["depth"], state["inside"]
+        opens = (depth == 0) & (kind == tag) & ~void
+        closes = inside & (depth == 1) & (kind == f"/{tag}")
+        step = F.when(void, 0).when(kind.startswith("/"), -1).otherwise(1)
+        # Below zero the parent has ended; it stays there.
+        deeper = F.when(depth < 0, depth).otherwise(depth + step)
+        return F.struct(
+            deeper.alias("depth"),
+            (opens | (inside & ~closes)).alias("inside"),
+            F.when(opens, F.regexp_replace(piece, r"^<[^>]*>", "")).when(inside, F.concat(state["text"], piece)).otherwise("").alias("text"),
+            F.when(closes, F.concat(state["found"], F.array(state["text"]))).otherwise(state["found"]).alias("found"),
+        )
+
+    return F.aggregate(pieces, start, walk, lambda state: state["found"])
 
 
 def attribute(name: str) -> str:
@@ -113,37 +169,42 @@ def attribute(name: str) -> str:
 
 def resolve_url(base: Column, ref: Column) -> Column:
     """Absolute address of a reference found on a page (RFC 3986, section 5)."""
-    root = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
-    scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
-    bare = F.regexp_replace(base, r"[?#].*$", "")
-    path = F.substring(bare, F.length(root) + 1, F.length(bare))
-    folder = F.when(path.contains("/"), F.regexp_extract(path, r"^(.*/)[^/]*$", 1)).otherwise(F.lit("/"))
-    tail = F.regexp_extract(ref, r"([?#].*)$", 1)
-    target = F.regexp_replace(ref, r"[?#].*$", "")
-    joined = F.when(target.startswith("/"), target).otherwise(F.concat(folder, target))
-    return (
-        F.when(ref.isNull() | base.isNull(), None)
-        .when(ref.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), ref)
-        .when(ref.startswith("//"), F.concat(scheme, ref))
-        .when(ref == "", base)
-        .when(ref.startswith("#"), F.concat(F.regexp_replace(base, r"#.*$", ""), ref))
-        .when(ref.startswith("?"), F.concat(bare, ref))
-        .otherwise(F.concat(root, _without_dots(joined), tail))
-    )
+
+    def resolve(pair: Column) -> Column:
+        b, r = pair["b"], pair["r"]
+        bare = F.regexp_replace(b, r"[?#].*$", "")
+        root = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
+        folder = F.when(bare.rlike("://[^/]*/"), F.regexp_extract(bare, r"://[^/]*(/(?:.*/)?)[^/]*$", 1)).otherwise("/")
+        target = F.regexp_replace(r, r"[?#].*$", "")
+        joined = F.when(target.startswith("/"), target).otherwise(F.concat(folder, target))
+        return (
+            F.when(r.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), r)
+            .when(r.startswith("//"), F.concat(F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1), r))
+            .when(r == "", b)
+            .when(r.startswith("#"), F.concat(F.regexp_replace(b, r"#.*$", ""), r))
+            .when(r.startswith("?"), F.concat(bare, r))
+            .otherwise(F.concat(root, bind(joined, _without_dots), F.regexp_extract(r, r"([?#].*)$", 1)))
+        )
+
+    return bind(F.struct(base.alias("b"), ref.alias("r")), resolve)
 
 
 def _without_dots(path: Column) -> Column:
     """Take "." and ".." segments out of a path that starts with a slash."""
-    parts = F.split(path, "/")
     empty = F.array().cast("array<string>")
-    kept = F.aggregate(
-        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1))),
-        empty,
-        lambda done, part: F.when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
-        .when(part == ".", done)
-        .otherwise(F.concat(done, F.array(part))),
-    )
-    # A path that ends in a dot segment names a folder.
-    end = F.when(path.rlike(r"/\.{1,2}$"), F.lit("/")).otherwise(F.lit(""))
-    clean = F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(F.size(kept) > 0, end).otherwise(F.lit("")))
-    return F.when(path.rlike(r"(^|/)\.{1,2}(/|$)"), clean).otherwise(path)
+
+    def fold(done: Column, part: Column) -> Column:
+        return (
+            F.when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+            .when(part == ".", done)
+            .otherwise(F.concat(done, F.array(part)))
+        )
+
+    def clean(kept: Column) -> Column:
+        # A path that ends in a dot segment names a folder.
+        end = F.when(path.rlike(r"/\.{1,2}$") & (F.size(kept) > 0), "/").otherwise("")
+        return F.concat(F.lit("/"), F.array_join(kept, "/"), end)
+
+    parts = F.split(F.substring(path, 2, F.length(path)), "/")
+    folded = bind(F.aggregate(parts, empty, fold), clean)
+    return F.when(path.rlike(r"(^|/)\.{1,2}(/|$)"), folded).otherwise(path)

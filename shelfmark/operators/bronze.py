@@ -23,18 +23,15 @@ NO_CATEGORY = "Unknown"
 
 _SPEC_TABLE = r"(?is)<table\b[^>]*\bclass\s*=\s*[\"']table table-striped[\"'][^>]*>(.*?)</table\s*>"
 _SPEC_ROW = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
-_DESCRIPTIONS = (
-    r"(?is)\bid\s*=\s*[\"']product_description[\"'][^>]*>(?:(?!</div).)*?</div\s*>\s*<p\b[^>]*>(.*?)</p\s*>",
-    r"(?is)\bclass\s*=\s*[\"'][^\"']*\bproduct_page\b[^\"']*[\"'][^>]*>\s*(?:<(?!p\b)[^>]*>[^<]*)*?<p\b[^>]*>(.*?)</p\s*>",
-)
+_LINK = r"(?is)<a\b[^>]*\bhref\s*=\s*[\"']([^\"']*)[\"']"
 
 
 def title(html: Column) -> Column:
-    return h.blank_to_null(h.strip_tags(h.first_group(html, h.element("h1"))))
+    return h.blank_to_null(h.strip_tags(h.first_match(html, h.element("h1"))))
 
 
 def price_text(html: Column) -> Column:
-    return h.strip_tags(h.first_group(html, h.element_of_class("price_color"), 2))
+    return h.strip_tags(h.inside_class(html, "price_color"))
 
 
 def price(text: Column) -> Column:
@@ -50,42 +47,65 @@ def currency(text: Column, default: str = "GBP") -> Column:
 
 
 def availability(html: Column) -> Column:
-    return availability_status(h.strip_tags(h.first_group(html, h.element_of_class("availability"), 2)))
+    return availability_status(h.strip_tags(h.inside_class(html, "availability")))
 
 
 def rating(html: Column) -> Column:
     """Value of the first class of the star element that starts with a number word."""
-    tag = F.regexp_extract(html, r"(?is)\bclass\s*=\s*[\"']((?:[^\"']*\s)?star-rating(?:\s[^\"']*)?)[\"']", 1)
-    word = F.regexp_extract(tag, r"(?:^|\s)(One|Two|Three|Four|Five)", 1)
+    classes = h.first_match(html, r"\bclass\s*=\s*[\"']((?:[^\"']*\s)?star-rating(?:\s[^\"']*)?)[\"']")
+    word = F.regexp_extract(classes, r"(?:^|\s)(One|Two|Three|Four|Five)", 1)
     values = F.create_map(*[F.lit(x) for entry in RATINGS.items() for x in entry])
-    return F.try_element_at(values, word)
+    return F.when(html.contains("star-rating"), F.try_element_at(values, word))
 
 
 def description(html: Column) -> Column:
-    """First of two places that holds a text, with two broken encodings repaired."""
-    text = F.coalesce(*[h.first_group(html, pattern) for pattern in _DESCRIPTIONS])
-    return F.replace(F.replace(h.strip_tags(text), F.lit("â"), F.lit("'")), F.lit("Â"), F.lit(""))
+    """First of two places that holds a paragraph, with two broken encodings repaired.
+
+    The places: right after the element ``product_description``, else directly below
+    the element of class ``product_page``.
+    """
+
+    def after_heading(rest: Column) -> Column:
+        end = F.substring(rest, F.greatest(F.instr(rest, "</div"), F.lit(1)), F.length(rest))
+        paragraph = F.regexp_extract(end, r"(?is)^</div\s*>\s*(<p\b[^>]*>.*?)</p\s*>", 1)
+        return F.regexp_replace(h.blank_to_null(paragraph), r"(?is)^<p\b[^>]*>", "")
+
+    anchor = F.regexp_extract(html, r"\bid\s*=\s*[\"']product_description[\"']", 0)
+    rest = F.when(
+        html.contains("product_description"),
+        h.bind(h.blank_to_null(anchor), lambda a: F.substring(html, F.instr(html, a), F.length(html))),
+    )
+    below = F.when(html.contains("product_page"), F.get(h.children(html, "product_page", "p"), F.lit(0)))
+    text = h.strip_tags(F.coalesce(h.bind(rest, after_heading), below))
+    return F.replace(F.replace(text, F.lit("â"), F.lit("'")), F.lit("Â"), F.lit(""))
 
 
 def spec_map(html: Column) -> Column:
     """Rows of the product table as a map; of equal keys the last row counts."""
-    table = F.regexp_extract(html, _SPEC_TABLE, 1)
+    table = F.when(html.contains("table-striped"), h.first_match(html, _SPEC_TABLE))
     rows = F.regexp_extract_all(table, F.lit(_SPEC_ROW), F.lit(1))
     cells = F.transform(
         rows,
         lambda row: F.struct(
-            F.replace(
-                F.lower(h.strip_tags(h.first_group(row, h.element("th")))), F.lit(" "), F.lit("_")
-            ).alias("key"),
-            F.replace(h.strip_tags(h.first_group(row, h.element("td"))), F.lit("Â"), F.lit("")).alias("value"),
+            F.replace(F.lower(h.strip_tags(_cell(row, "th"))), F.lit(" "), F.lit("_")).alias("key"),
+            F.replace(h.strip_tags(_cell(row, "td")), F.lit("Â"), F.lit("")).alias("value"),
         ),
     )
     cells = F.filter(cells, lambda c: c["key"].isNotNull() & c["value"].isNotNull())
-    later = F.transform(cells, lambda c, i: F.struct(c["key"].alias("key"), c["value"].alias("value"), i.alias("i")))
-    last = F.filter(
-        later, lambda c: ~F.exists(later, lambda d: (d["key"] == c["key"]) & (d["i"] > c["i"]))
+    empty = F.create_map().cast("map<string,string>")
+    specs = F.aggregate(
+        cells,
+        empty,
+        lambda done, c: F.map_concat(
+            F.map_filter(done, lambda key, _: key != c["key"]), F.create_map(c["key"], c["value"])
+        ),
     )
-    return F.map_from_entries(F.transform(last, lambda c: F.struct(c["key"], c["value"])))
+    return F.coalesce(specs, empty)
+
+
+def _cell(row: Column, tag: str) -> Column:
+    """Inside of a cell, which may be empty; null if the row has no such cell."""
+    return F.regexp_replace(h.first_match(row, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", 0), rf"(?is)^<{tag}\b[^>]*>|</{tag}\s*>$", "")
 
 
 def upc(specs: Column) -> Column:
@@ -100,14 +120,13 @@ def authors(html: Column, specs: Column) -> Column:
     """Names beside the first header on the page, then in the table, that speaks of an author."""
     beside = r"(?is)<th\b[^>]*>[^<]*author[^<]*</th\s*>\s*<td\b[^>]*>(.*?)</td\s*>"
     filled = F.map_filter(specs, lambda key, value: key.contains("author") & (F.trim(value) != ""))
-    names = F.coalesce(h.blank_to_null(h.strip_tags(h.first_group(html, beside))), F.get(F.map_values(filled), F.lit(0)))
+    names = F.coalesce(h.blank_to_null(h.strip_tags(h.first_match(html, beside))), F.get(F.map_values(filled), F.lit(0)))
     return F.coalesce(_names(names), F.array(F.lit(NO_AUTHOR)))
 
 
 def category_from_breadcrumb(html: Column) -> Column:
-    trail = h.first_group(html, h.element_of_class("breadcrumb"), 2)
-    third = F.get(F.regexp_extract_all(trail, F.lit(h.element("li")), F.lit(1)), F.lit(2))
-    return F.coalesce(h.strip_tags(third), F.lit(NO_CATEGORY))
+    crumbs = F.regexp_extract_all(h.inside_class(html, "breadcrumb"), F.lit(h.element("li")), F.lit(1))
+    return F.coalesce(h.strip_tags(F.get(crumbs, F.lit(2))), F.lit(NO_CATEGORY))
 
 
 def category_from_url(url: Column) -> Column:
@@ -118,9 +137,10 @@ def category_from_url(url: Column) -> Column:
     return F.coalesce(F.initcap(F.replace(found, F.lit("_"), F.lit(" "))), F.lit(NO_CATEGORY))
 
 
-def image_url(html: Column, url: Column) -> Column:
-    item = h.first_group(html, r"(?is)\bclass\s*=\s*[\"']item active[\"'][^>]*>\s*(<img\b[^>]*>)")
-    return h.resolve_url(url, h.blank_to_null(h.first_group(item, h.attribute("src"))))
+def image_source(html: Column) -> Column:
+    """Address of the shown picture as the page gives it."""
+    item = h.first_match(html, r"(?s)\bclass\s*=\s*[\"']item active[\"'][^>]*>\s*(<img\b[^>]*>)")
+    return F.when(html.contains("item active"), h.first_match(item, h.attribute("src")))
 
 
 def review_count(specs: Column) -> Column:
@@ -133,20 +153,25 @@ def is_detail_page(url: Column) -> Column:
     return url.contains("catalogue/") & ~url.contains("/category/")
 
 
-def page_fields(pages: DataFrame) -> DataFrame:
-    """The 16 parsed columns of every page, complete or not."""
-    # The price text and the table are used by several fields, so they get their own step.
-    staged = pages.select(
+def _fragments(pages: DataFrame) -> DataFrame:
+    """What several fields use, or one field uses several times, taken out of the page once."""
+    page = F.col("raw_content")
+    return pages.select(
         "source_url",
         "ingested_at",
         "http_status",
-        F.col("raw_content").alias("_html"),
-        price_text(F.col("raw_content")).alias("_price"),
-        spec_map(F.col("raw_content")).alias("_specs"),
+        page.alias("_html"),
+        title(page).alias("_title"),
+        price_text(page).alias("_price"),
+        spec_map(page).alias("_specs"),
+        image_source(page).alias("_image"),
     )
+
+
+def _fields(fragments: DataFrame) -> DataFrame:
     page, specs = F.col("_html"), F.col("_specs")
     fields = {
-        "title": title(page),
+        "title": F.col("_title"),
         "authors": authors(page, specs),
         "price_current": price(F.col("_price")),
         "price_original": F.lit(None),
@@ -158,33 +183,34 @@ def page_fields(pages: DataFrame) -> DataFrame:
         "category": category_from_breadcrumb(page),
         "product_info": specs,
         "upc": upc(specs),
-        "image_url": image_url(page, F.col("source_url")),
+        "image_url": h.resolve_url(F.col("source_url"), F.col("_image")),
         "source_url": F.col("source_url"),
         "ingested_at": F.col("ingested_at").cast("string"),
         "http_status": F.col("http_status"),
     }
-    return staged.select(*[fields[f.name].cast(f.dataType).alias(f.name) for f in PARSED])
+    return fragments.select(*[fields[f.name].cast(f.dataType).alias(f.name) for f in PARSED])
 
 
-def incomplete(parsed: DataFrame) -> Column:
-    """Why a parsed page is rejected, null if it is complete. A price of 0 counts as none."""
-    no_title = F.coalesce(F.col("title"), F.lit("")) == ""
-    no_price = F.coalesce(F.col("price_current"), F.lit(0.0)) == 0
-    return F.nullif(
-        F.concat_ws(",", F.when(no_title, "title"), F.when(no_price, "price_current")), F.lit("")
-    )
+def page_fields(pages: DataFrame) -> DataFrame:
+    """The 16 parsed columns of every page, complete or not."""
+    return _fields(_fragments(pages))
+
+
+def _missing() -> Column:
+    """What a page lacks, null if it is complete. A price of 0 counts as none."""
+    no_price = F.coalesce(price(F.col("_price")), F.lit(0.0)) == 0
+    return h.blank_to_null(F.concat_ws(",", F.when(F.col("_title").isNull(), "title"), F.when(no_price, "price_current")))
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
     """Parsed records of all complete product pages."""
-    parsed = page_fields(pages.where(is_detail_page(F.col("source_url"))))
-    return parsed.where(incomplete(parsed).isNull())
+    return _fields(_fragments(pages.where(is_detail_page(F.col("source_url")))).where(_missing().isNull()))
 
 
 def rejected_pages(pages: DataFrame) -> DataFrame:
     """Address and reason of the product pages that ``parse_pages`` leaves out."""
-    parsed = page_fields(pages.where(is_detail_page(F.col("source_url"))))
-    return parsed.select("source_url", incomplete(parsed).alias("missing_fields")).where("missing_fields is not null")
+    fragments = _fragments(pages.where(is_detail_page(F.col("source_url"))))
+    return fragments.select("source_url", _missing().alias("missing_fields")).where("missing_fields is not null")
 
 
 def _links(pages: DataFrame, within: str | None) -> DataFrame:
@@ -210,8 +236,7 @@ def catalogue_links(pages: DataFrame, site: str) -> DataFrame:
 
 
 def next_page(html: Column, url: Column) -> Column:
-    item = h.first_group(html, h.element_of_class("next"), 2)
-    return h.resolve_url(url, h.first_group(item, r"(?is)<a\b[^>]*\bhref\s*=\s*[\"']([^\"']*)[\"']"))
+    return h.resolve_url(url, h.first_match(h.inside_class(html, "next"), _LINK))
 
 
 def first_per_group(df: DataFrame, group: str, order: list[str], n: int) -> DataFrame:

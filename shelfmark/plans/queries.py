@@ -72,7 +72,7 @@ def extract_fields(spark, folder):
     return pages.select(
         "page_id",
         bronze.title(page).alias("title"),
-        h.first_group(page, r"(?is)<html\b[^>]*\blang\s*=\s*[\"']([^\"']*)[\"']").alias("lang"),
+        h.first_match(page, r"(?is)<html\b[^>]*\blang\s*=\s*[\"']([^\"']*)[\"']").alias("lang"),
         bronze.is_detail_page(F.col("url")).alias("is_detail"),
     )
 
