@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.session import shuffle_partitions
+
 SIDE_A, SIDE_B = "catalogue_a", "catalogue_b"
 RUN_TS = "2024-01-31 00:00:00"
 
@@ -71,7 +73,11 @@ def parsed_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def product_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """A product page per part, as a bronze table."""
+    """A product page per part, as a bronze table.
+
+    The narrow rows are spread before they become pages: parsing is bound by CPU, and
+    the parts are few bytes in few splits.
+    """
     html = """concat(
       '<!DOCTYPE html><html><head><title>', p_name, '</title></head><body><ul class="breadcrumb">',
       '<li><a href="../index.html">Home</a></li><li><a href="../books.html">Books</a></li><li>', p_type, '</li></ul>',
@@ -89,7 +95,7 @@ def product_pages(spark: SparkSession, folder: str) -> DataFrame:
     url = (
         "concat('http://shop.example.com/catalogue/', if(p_size = 50, 'category/', ''), 'part-', p_partkey, '/index.html')"
     )
-    return table(spark, folder, "part").selectExpr(
+    return table(spark, folder, "part").repartition(shuffle_partitions(spark)).selectExpr(
         f"{url} as source_url", f"{html} as raw_content", "200 as http_status", f"timestamp '{RUN_TS}' as ingested_at"
     )
 
