@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable
 
@@ -76,7 +77,7 @@ def bind(value: Column, function: Callable[[Column], Column]) -> Column:
 
 def unescape(text: Column) -> Column:
     """Numbered and the common named character references as characters."""
-    named = F.create_map(*[F.lit(x) for entry in ENTITIES.items() for x in entry])
+    named = F.expr("map(" + ", ".join(f"{json.dumps(n)}, {json.dumps(c)}" for n, c in ENTITIES.items()) + ")")
 
     def decode(done: Column, name: Column) -> Column:
         reference = F.concat(F.lit("&"), name, F.lit(";"))

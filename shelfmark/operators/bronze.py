@@ -6,6 +6,8 @@ ingested_at). All fields of a page come from one projection over it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -196,21 +198,33 @@ def page_fields(pages: DataFrame) -> DataFrame:
     return _fields(_fragments(pages))
 
 
-def _missing() -> Column:
+def _missing(fragment: Column) -> Column:
     """What a page lacks, null if it is complete. A price of 0 counts as none."""
-    no_price = F.coalesce(price(F.col("_price")), F.lit(0.0)) == 0
-    return h.blank_to_null(F.concat_ws(",", F.when(F.col("_title").isNull(), "title"), F.when(no_price, "price_current")))
+    no_price = F.coalesce(price(fragment["_price"]), F.lit(0.0)) == 0
+    no_title = fragment["_title"].isNull()
+    return h.blank_to_null(F.concat_ws(",", F.when(no_title, "title"), F.when(no_price, "price_current")))
+
+
+def _detail_fragments(pages: DataFrame, wanted: Callable[[Column], Column]) -> DataFrame:
+    """Fragments of the product pages for which ``wanted`` holds.
+
+    The test is part of a generator. As a plain filter it would be pushed below the
+    projection, and what it reads would be extracted from the page twice.
+    """
+    fragments = _fragments(pages.where(is_detail_page(F.col("source_url"))))
+    row = F.array(F.struct(*fragments.columns))
+    return fragments.select(F.inline(F.filter(row, wanted)))
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
     """Parsed records of all complete product pages."""
-    return _fields(_fragments(pages.where(is_detail_page(F.col("source_url")))).where(_missing().isNull()))
+    return _fields(_detail_fragments(pages, lambda f: _missing(f).isNull()))
 
 
 def rejected_pages(pages: DataFrame) -> DataFrame:
     """Address and reason of the product pages that ``parse_pages`` leaves out."""
-    fragments = _fragments(pages.where(is_detail_page(F.col("source_url"))))
-    return fragments.select("source_url", _missing().alias("missing_fields")).where("missing_fields is not null")
+    left_out = _detail_fragments(pages, lambda f: _missing(f).isNotNull())
+    return left_out.select("source_url", _missing(F.struct("_price", "_title")).alias("missing_fields"))
 
 
 def _links(pages: DataFrame, within: str | None) -> DataFrame:
