@@ -110,7 +110,8 @@ _ISBN = "md5(to_json(named_struct('k', 'isbn', 'i', isbn)))"
 _TITLE = "md5(to_json(named_struct('k', 'title', 't', title)))"
 
 _OVERLAP = (
-    "size(array_intersect(authors_1, authors_2)) / cast(size(array_union(authors_1, authors_2)) as double)"
+    "coalesce(try_divide(cast(size(array_intersect(authors_1, authors_2)) as double),"
+    " cast(size(array_union(authors_1, authors_2)) as double)), 0D)"
 )
 
 
@@ -151,7 +152,7 @@ def _similar_in_scope(a: DataFrame, b: DataFrame, config: MatchConfig) -> DataFr
     )
     score = (
         f"if(scope like 'i%', {config.isbn_weight}D, 0D) + similarity * {config.title_weight}D"
-        f" + coalesce({_OVERLAP}, 0D) * {config.author_weight}D"
+        f" + {_OVERLAP} * {config.author_weight}D"
     )
     own = "if(scope like 'i%', substr(scope, 2), null) as isbn"
     return pairs.selectExpr(own, "title_1 as title", "authors_1 as authors", f"{_rounded(score)} as score", "id_2 as id").selectExpr(

@@ -45,13 +45,14 @@ def _moment(df: DataFrame, name: str) -> Column:
 
 def clean(df: DataFrame, source: str, currency: str = "GBP", root: str = "Books") -> DataFrame:
     """The silver transform: 16 parsed columns to the 20 columns of ``SILVER``."""
+    df = df.withColumn("authors", _author_list(df))
     upc, category = F.col("upc"), F.col("category")
     columns = {
         "source": F.lit(source),
         "source_id": F.coalesce(upc, F.col("title")),
         "isbn13": records.isbn13(upc),
         "title": F.col("title"),
-        "authors": _author_list(df),
+        "authors": F.col("authors"),
         "category_path": F.concat(F.lit(f"{root} > "), F.coalesce(category, F.lit("Unknown"))),
         "price_current": F.col("price_current").try_cast("double"),
         "price_original": F.col("price_original").try_cast("double"),

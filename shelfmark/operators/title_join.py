@@ -81,7 +81,7 @@ def _condition(title_a: str, title_b: str, needed: str) -> str:
     )
     jaro = f"(({common} / _a_len + {common} / _b_len + 1D) / 3D)"
     return (
-        f"(_shared = {PREFIX_CHARS} OR {title_a} = {title_b}"
+        f"(_shared = {PREFIX_CHARS} OR ({title_a} = {title_b} AND _shared = _a_len)"
         f" OR substr({title_a}, _shared + 1, 1) <> substr({title_b}, _shared + 1, 1))"
         f" AND 1D - (1D - {jaro}) * (1D - {PREFIX_GAIN}D * _shared) >= {needed} - {SLACK}D"
     )
