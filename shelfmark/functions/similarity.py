@@ -23,7 +23,7 @@ PREFIX_FROM = 0.7
 # Both engines that check the results round here before they use a threshold.
 DIGITS = 10
 
-_CHUNK = 4096
+_CHUNK = 2048
 
 
 def _char_codes(strings: np.ndarray) -> np.ndarray:
@@ -33,15 +33,53 @@ def _char_codes(strings: np.ndarray) -> np.ndarray:
     return codes.astype(np.uint8 if top < 256 else np.uint16 if top < 65536 else np.uint32)
 
 
+def _lowest(bits: np.ndarray) -> np.ndarray:
+    return bits & (~bits + np.uint64(1))
+
+
+def _equal_positions(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Row i: per pair the positions of ``b`` that hold character i of ``a``, as 64 bits."""
+    # Pairs run along the last axis, so every operation works on long contiguous rows.
+    a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    words = np.zeros((len(a), a.shape[1]), dtype=np.uint64)
+    for start in range(0, len(b), 8):
+        byte = np.zeros(a.shape, dtype=np.uint8)
+        for j, row in enumerate(b[start : start + 8]):
+            byte |= (a == row).view(np.uint8) << np.uint8(j)
+        words |= byte.astype(np.uint64) << np.uint64(start)
+    return words
+
+
+def _matches_by_bits(a, b, n_left, n_right, reach) -> tuple[np.ndarray, np.ndarray]:
+    """Matched characters and those out of order, for ``b`` of at most 64 characters."""
+    one = np.uint64(1)
+    equal = _equal_positions(a, b)
+    free = np.where(n_right >= 64, ~np.uint64(0), (one << np.minimum(n_right, 63).astype(np.uint64)) - one)
+    near = (one << np.minimum(reach + 1, 63).astype(np.uint64)) - one
+    taken = np.zeros(len(a), dtype=np.uint64)
+    hits = []
+    for i in range(a.shape[1]):
+        pick = _lowest(np.where(i < n_left, equal[i] & free & near, np.uint64(0)))
+        free &= ~pick
+        taken |= pick
+        hits.append(pick != 0)
+        near = (near << one) | (i < reach).astype(np.uint64)
+    moved = np.zeros(len(a), dtype=np.int64)
+    for i, hit in enumerate(hits):
+        # The k-th matched character of one side faces the k-th of the other.
+        facing = np.where(hit, _lowest(taken), np.uint64(0))
+        moved += hit & ((equal[i] & facing) == 0)
+        taken &= ~facing
+    return np.sum(hits, axis=0), moved
+
+
 def _front(codes: np.ndarray, marked: np.ndarray) -> np.ndarray:
     """Marked characters of each row, moved to the front in their order."""
     return np.take_along_axis(codes, np.argsort(~marked, axis=1, kind="stable"), axis=1)
 
 
-def _jaro_winkler_chunk(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    n_left, n_right = np.char.str_len(left), np.char.str_len(right)
-    a, b = _char_codes(left), _char_codes(right)
-    reach = np.maximum(np.maximum(n_left, n_right) // 2 - 1, 0)
+def _matches_by_position(a, b, n_left, n_right, reach) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_matches_by_bits`` for any length."""
     widest = int(reach.max(initial=0))
     rows = np.arange(len(a))
     cols = np.arange(b.shape[1])
@@ -61,11 +99,20 @@ def _jaro_winkler_chunk(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     m = hit_a.sum(axis=1)
     width = min(a.shape[1], b.shape[1])
     differ = _front(a, hit_a)[:, :width] != _front(b, hit_b)[:, :width]
-    half_moves = (differ & (np.arange(width)[None, :] < m[:, None])).sum(axis=1) // 2
+    return m, (differ & (np.arange(width)[None, :] < m[:, None])).sum(axis=1)
+
+
+def _jaro_winkler_chunk(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    n_left, n_right = np.char.str_len(left), np.char.str_len(right)
+    a, b = _char_codes(left), _char_codes(right)
+    reach = np.maximum(np.maximum(n_left, n_right) // 2 - 1, 0)
+    # The bits of a window must fit as well, so both sides have to be short.
+    short = max(a.shape[1], b.shape[1]) <= 64
+    m, moved = (_matches_by_bits if short else _matches_by_position)(a, b, n_left, n_right, reach)
     safe = np.maximum(m, 1)
-    jaro = (m / np.maximum(n_left, 1) + m / np.maximum(n_right, 1) + (m - half_moves) / safe) / 3.0
+    jaro = (m / np.maximum(n_left, 1) + m / np.maximum(n_right, 1) + (m - moved // 2) / safe) / 3.0
     jaro = np.where(m > 0, jaro, 0.0)
-    lead = min(PREFIX_CHARS, width)
+    lead = min(PREFIX_CHARS, a.shape[1], b.shape[1])
     inside = np.arange(lead)[None, :] < np.minimum(n_left, n_right)[:, None]
     same = np.cumprod((a[:, :lead] == b[:, :lead]) & inside, axis=1).sum(axis=1)
     return np.where(jaro > PREFIX_FROM, jaro + PREFIX_GAIN * same * (1.0 - jaro), jaro)
@@ -79,7 +126,7 @@ def jaro_winkler_arrays(left, right) -> np.ndarray:
     out = np.zeros(len(a))
     if not len(a):
         return out
-    size = np.char.str_len(a) + np.char.str_len(b)
+    size = np.maximum(np.char.str_len(a), np.char.str_len(b))
     order = np.argsort(size, kind="stable")
     for start in range(0, len(order), _CHUNK):
         pick = order[start : start + _CHUNK]

@@ -199,17 +199,25 @@ def best_titles(
 
     ``others`` has (title, id) with one row per title; the smaller id settles ties.
     Column ``need`` of ``titles`` may raise the threshold for single titles.
+
+    Two steps. Titles with the same first characters are few and the most similar, so
+    they go first. What they reach is what any other title then has to reach at least,
+    which rules most of the many others out by the bound alone.
     """
-    pairs = title_pairs(
-        titles.withColumnRenamed("title", "title_1"),
-        others.selectExpr("title as title_2", "id as id_2"),
-        ("title_1", "title_2"),
-        threshold,
-        need=need,
-        cell_rows=cell_rows,
-    )
     best = "min(struct(-similarity as loss, id_2 as id, title_2 as title)) as best"
-    return pairs.groupBy(F.col("title_1").alias("title")).agg(F.expr(best))
+    partners = others.selectExpr("title as title_2", "id as id_2")
+    wanted = titles.selectExpr("title as title_1", f"cast({need or threshold} as double) as need")
+
+    def step(left: DataFrame, classes: tuple[int, ...]) -> DataFrame:
+        pairs = title_pairs(
+            left, partners, ("title_1", "title_2"), threshold, "need", cell_rows=cell_rows, classes=classes
+        )
+        return pairs.groupBy("title_1").agg(F.expr(best))
+
+    close = written(step(wanted, (3, 4)), "titles")
+    raised = wanted.join(close, "title_1", "left").selectExpr("title_1", "greatest(need, -best.loss) as need")
+    found = close.unionByName(step(raised, (0, 1, 2)))
+    return found.groupBy(F.col("title_1").alias("title")).agg(F.min("best").alias("best"))
 
 
 def _best_offers(a: DataFrame, b: DataFrame, config: MatchConfig) -> DataFrame:

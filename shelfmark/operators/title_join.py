@@ -18,6 +18,7 @@ bound is lossless, so the result equals that of the full comparison.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from shelfmark.functions.similarity import DIGITS, PREFIX_CHARS, PREFIX_GAIN, ti
 from shelfmark.operators.gridjoin import grid_join
 
 SLACK = 1e-9
+ALL_CLASSES = range(PREFIX_CHARS + 1)
 _CLASS_KEYS = ["_shared", "_head", "_band"]
 
 
@@ -45,6 +47,7 @@ def _features(titles: DataFrame, title: str, side: str) -> DataFrame:
         .selectExpr(
             *titles.columns,
             f"length({title}) as {side}_len",
+            f"1D / length({title}) as {side}_per_char",
             *[half.format(n=n, bit=bit, side=side) for n in (0, 1)],
         )
     )
@@ -61,30 +64,31 @@ def _bands(length: str, similarity: float, shared: int, repeat: bool) -> str:
     return f"sequence({band} - 1, {band} + 1)" if repeat else f"array({band})"
 
 
-def _class_keys(df: DataFrame, title: str, length: str, similarity: float, repeat: bool) -> DataFrame:
+def _class_keys(
+    df: DataFrame, title: str, side: str, similarity: float, repeat: bool, classes: Iterable[int]
+) -> DataFrame:
     """One row per class the title can be in, and per band if ``repeat``."""
+    length = f"{side}_len"
     entries = ", ".join(
         f"if({length} >= {p}, named_struct('_shared', {p}, '_head', left({title}, {p}), "
-        f"'_bands', {_bands(length, similarity, p, repeat)}), null)"
-        for p in range(PREFIX_CHARS + 1)
+        f"'{side}_next', substr({title}, {p + 1}, 1), '_bands', {_bands(length, similarity, p, repeat)}), null)"
+        for p in classes
     )
     return df.selectExpr("*", f"inline(array_compact(array({entries})))").selectExpr(
-        *df.columns, "_shared", "_head", "explode(_bands) as _band"
+        *df.columns, "_shared", "_head", f"{side}_next", "explode(_bands) as _band"
     )
 
 
-def _condition(title_a: str, title_b: str, needed: str) -> str:
+def _condition(needed: str) -> str:
     """The pair is in its true class and may reach the similarity it needs."""
     missing = "bit_count({x}_sig0 & ~{y}_sig0) + bit_count({x}_sig1 & ~{y}_sig1)"
     common = (
         f"least(_a_len - ({missing.format(x='_a', y='_b')}), _b_len - ({missing.format(x='_b', y='_a')}))"
     )
-    jaro = f"(({common} / _a_len + {common} / _b_len + 1D) / 3D)"
-    return (
-        f"(_shared = {PREFIX_CHARS} OR ({title_a} = {title_b} AND _shared = _a_len)"
-        f" OR substr({title_a}, _shared + 1, 1) <> substr({title_b}, _shared + 1, 1))"
-        f" AND 1D - (1D - {jaro}) * (1D - {PREFIX_GAIN}D * _shared) >= {needed} - {SLACK}D"
-    )
+    jaro = f"({common} * (_a_per_char + _b_per_char) + 1D) / 3D"
+    # Where both titles have ended they are equal, and this is the class of their length.
+    true_class = f"(_shared = {PREFIX_CHARS} OR _a_next <> _b_next OR _a_next = '')"
+    return f"1D - (1D - {jaro}) * (1D - {PREFIX_GAIN}D * _shared) >= {needed} - {SLACK}D AND {true_class}"
 
 
 def title_pairs(
@@ -97,19 +101,21 @@ def title_pairs(
     scope: list[str] = (),
     keep: str | None = None,
     cell_rows: int = 2048,
+    classes: Iterable[int] = ALL_CLASSES,
 ) -> DataFrame:
     """All row pairs with title similarity >= ``threshold`` (and >= column ``need``).
 
     ``scope`` are further equality columns, ``keep`` a further test made inside the
     join, ``spread`` the columns that tell the rows of a hot key apart. Adds
-    ``similarity``. Rows with an empty title have no pair.
+    ``similarity``. Rows with an empty title have no pair. ``classes`` limits the
+    result to pairs with these numbers of shared first characters (four means any more).
     """
     if not 0 < threshold <= 1:
         raise ValueError("the title threshold must lie above 0 and not above 1")
-    a = _class_keys(_features(left, titles[0], "_a"), titles[0], "_a_len", threshold, repeat=False)
-    b = _class_keys(_features(right, titles[1], "_b"), titles[1], "_b_len", threshold, repeat=True)
+    a = _class_keys(_features(left, titles[0], "_a"), titles[0], "_a", threshold, False, classes)
+    b = _class_keys(_features(right, titles[1], "_b"), titles[1], "_b", threshold, True, classes)
     needed = f"{threshold!r}D" if need is None else f"greatest({threshold!r}D, {need})"
-    condition = _condition(*titles, needed)
+    condition = _condition(needed)
     if keep:
         condition += f" AND ({keep})"
     pairs = grid_join(a, b, [*scope, *_CLASS_KEYS], condition, spread or titles, cell_rows)
