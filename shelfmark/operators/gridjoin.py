@@ -32,7 +32,8 @@ def grid_join(
     ``spread[1]``, and every (line, column) cell is joined by itself. Each pair
     still meets in exactly one cell, so the result is that of the plain join.
     ``condition`` is tested inside the join: pairs that fail it are never emitted.
-    Keys must not be null; the two sides share no other column names.
+    Keys must not be null; the two sides share no other column names. A larger
+    ``cell_rows`` repeats rows less, a smaller one gives more and shorter tasks.
     """
     sides = left.selectExpr(*keys, "1L as _left", "0L as _right").union(
         right.selectExpr(*keys, "0L as _left", "1L as _right")

@@ -40,7 +40,7 @@ class MatchConfig:
     title_weight: float = 0.7
     author_weight: float = 0.3
     min_confidence: float = 0.6
-    cell_rows: int = 2048
+    cell_rows: int = 8192
 
     def __post_init__(self):
         if self.author_weight >= self.min_confidence:
@@ -193,7 +193,7 @@ def _first_offers(a: DataFrame, b: DataFrame, config: MatchConfig) -> DataFrame:
 
 
 def best_titles(
-    titles: DataFrame, others: DataFrame, threshold: float = 0.85, need: str | None = None, cell_rows: int = 2048
+    titles: DataFrame, others: DataFrame, threshold: float = 0.85, need: str | None = None, cell_rows: int = 8192
 ) -> DataFrame:
     """Per distinct ``title`` the most similar row of ``others``: (title, best).
 

@@ -23,7 +23,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.similarity import DIGITS, PREFIX_CHARS, PREFIX_GAIN, title_similarity
+from shelfmark.functions.similarity import PREFIX_CHARS, PREFIX_GAIN, title_similarity
 from shelfmark.operators.gridjoin import grid_join
 
 SLACK = 1e-9
@@ -100,7 +100,7 @@ def title_pairs(
     spread: tuple[str, str] | None = None,
     scope: list[str] = (),
     keep: str | None = None,
-    cell_rows: int = 2048,
+    cell_rows: int = 8192,
     classes: Iterable[int] = ALL_CLASSES,
 ) -> DataFrame:
     """All row pairs with title similarity >= ``threshold`` (and >= column ``need``).

