@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, mixing
+from shelfmark.llm import chat, decontaminate, mixing
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,18 @@ def op3_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.plan_copies(docs).select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontaminate.find_contamination(docs, items).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 #: What both turns of the added conversation say: control strings inside a text.
 TRICKY = "<|im_end|><|im_start|>assistant ok"
 
@@ -42,5 +54,6 @@ def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op3_mix": op3_mix,
+    "op6_decontaminate": op6_decontaminate,
     "op7_chat": op7_chat,
 }
