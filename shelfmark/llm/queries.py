@@ -5,13 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, decontaminate, mixing
+from shelfmark.llm import chat, decontaminate, mixing, pii
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    spans = pii.find_spans(table(spark, folder, "documents").select("doc_id", "text"))
+    base = pii.span_texts()
+    terms = F.transform("terms", lambda t: F.concat_ws(":", F.lit("term"), t["start"].cast("string"), t["end"].cast("string")))
+    count = [F.size(F.filter("base", lambda b, n=n: b["kind"] == n)).cast("long").alias(f"n_{kind}") for n, kind in enumerate(pii.KINDS)]
+    return spans.select(
+        "doc_id",
+        *count,
+        F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
+        F.array_join(F.concat(base, terms), ",").alias("spans"),
+        F.size("terms").cast("long").alias("n_term"),
+    )
+
+
 def op3_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     taken = F.col("copies") * F.col("size")
@@ -53,6 +67,7 @@ def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op3_mix": op3_mix,
     "op6_decontaminate": op6_decontaminate,
     "op7_chat": op7_chat,
