@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, decontaminate, mixing, pii
+from shelfmark.llm import chat, decontaminate, mixing, near_dup, pii
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -66,9 +66,14 @@ def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_near_dup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.classes(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "class_id", "class_size", "n_words")
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op3_mix": op3_mix,
     "op6_decontaminate": op6_decontaminate,
     "op7_chat": op7_chat,
+    "op9_near_dup": op9_near_dup,
 }
