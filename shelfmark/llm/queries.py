@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, decontaminate, mixing, near_dup, pii
+from shelfmark.llm import chat, decontaminate, line_dedup, mixing, near_dup, pii
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -70,10 +70,16 @@ def op9_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.classes(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "class_id", "class_size", "n_words")
 
 
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op3_mix": op3_mix,
     "op6_decontaminate": op6_decontaminate,
     "op7_chat": op7_chat,
     "op9_near_dup": op9_near_dup,
+    "op10_line_dedup": op10_line_dedup,
 }
