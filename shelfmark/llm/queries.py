@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, decontaminate, line_dedup, mixing, near_dup, pii
+from shelfmark.llm import chat, decontaminate, line_dedup, mixing, near_dup, pii, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,6 +32,13 @@ def op3_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.plan_copies(docs).select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, folder, "labels").select("doc_id", "toxic"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     return decontaminate.find_contamination(docs, items).select(
@@ -78,6 +85,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op3_mix": op3_mix,
+    "op5_toxicity": op5_toxicity,
     "op6_decontaminate": op6_decontaminate,
     "op7_chat": op7_chat,
     "op9_near_dup": op9_near_dup,
