@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, decontaminate, line_dedup, mixing, near_dup, pii, toxicity
+from shelfmark.llm import ann, chat, decontaminate, line_dedup, mixing, near_dup, pii, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -73,6 +73,10 @@ def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_ann(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(table(spark, folder, "embeddings").select("vec_id", "embedding"), F.col("key") % 20 == 0)
+
+
 def op9_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.classes(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "class_id", "class_size", "n_words")
 
@@ -88,6 +92,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_decontaminate": op6_decontaminate,
     "op7_chat": op7_chat,
+    "op8_ann": op8_ann,
     "op9_near_dup": op9_near_dup,
     "op10_line_dedup": op10_line_dedup,
 }
