@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import ann, chat, decontaminate, line_dedup, mixing, near_dup, pii, toxicity
+from shelfmark.llm import ann, chat, decontaminate, line_dedup, mixing, near_dup, pii, substrings, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op3_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     taken = F.col("copies") * F.col("size")
@@ -88,6 +92,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_substrings": op2_substrings,
     "op3_mix": op3_mix,
     "op5_toxicity": op5_toxicity,
     "op6_decontaminate": op6_decontaminate,
