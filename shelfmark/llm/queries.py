@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import ann, chat, decontaminate, line_dedup, mixing, near_dup, pii, substrings, toxicity
+from shelfmark.llm import ann, chat, decontaminate, line_dedup, lm_score, mixing, near_dup, pii, substrings, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op3_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.plan_copies(docs).select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+def op4_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return lm_score.score(docs, lm_score.fit(docs))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, folder, "labels").select("doc_id", "toxic"))
@@ -94,6 +99,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_substrings": op2_substrings,
     "op3_mix": op3_mix,
+    "op4_lm_score": op4_lm_score,
     "op5_toxicity": op5_toxicity,
     "op6_decontaminate": op6_decontaminate,
     "op7_chat": op7_chat,
