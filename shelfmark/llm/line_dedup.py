@@ -22,6 +22,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from shelfmark.llm import groups
 from shelfmark.llm.blocks import U64, blank_fold, mix64, powers, row_blocks, text_bytes
@@ -190,35 +191,38 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     return later.groupBy("doc_id", "tie").agg(F.sort_array(F.collect_set("line")).alias("remove"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, text without repeated lines, n_lines and n_removed of every row of ``docs``.
+def dedup_lines(docs: DataFrame, lines_column: str = "n_lines", removed_column: str = "n_removed") -> DataFrame:
+    """``docs`` without repeated lines in text, and the numbers of all and of removed lines.
 
     Texts travel packed to where the numbers of their lines are.
     """
-    tied = docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kept = [c for c in docs.columns if c not in ("text", lines_column, removed_column)]
+    tied = docs.select(*kept, "text", F.xxhash64("text").alias("_tie"))
 
     def pack(batches):
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             body = [packer.compress(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), pa.array(body, pa.binary())], ["doc_id", "tie", "body"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], batch.column("_tie"), pa.array(body, pa.binary())], [*kept, "_tie", "_body"])
 
     def cut(batches):
         opener = zstandard.ZstdDecompressor()
         for batch in batches:
             out, n_lines, n_removed = [], [], []
-            for body, remove in zip(batch.column("body"), batch.column("remove"), strict=True):
+            for body, remove in zip(batch.column("_body"), batch.column("_remove"), strict=True):
                 text = opener.decompress(body.as_py()).decode()
                 every = text.split("\n")
                 gone = set(remove.as_py() or ())
                 out.append("\n".join(line for k, line in enumerate(every) if k not in gone) if gone else text)
                 n_lines.append(len(every))
                 n_removed.append(len(gone))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out), pa.array(n_lines), pa.array(n_removed)], ["doc_id", "text", "n_lines", "n_removed"])
-
-    packed = tied.mapInArrow(pack, f"doc_id {kind}, tie bigint, body binary")
-    gone = removed_lines(tied).withColumnsRenamed({"doc_id": "_id", "tie": "_tie"})
-    joined = packed.join(gone, packed["doc_id"].eqNullSafe(gone["_id"]) & (packed["tie"] == gone["_tie"]), "left")
-    return joined.select("doc_id", "body", "remove").mapInArrow(cut, f"doc_id {kind}, text string, n_lines bigint, n_removed bigint")
+            columns = [pa.array(out, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *columns], [*kept, "text", lines_column, removed_column])
+
+    plain = docs.select(kept).schema
+    packed = tied.mapInArrow(pack, StructType([*plain, StructField("_tie", LongType()), StructField("_body", BinaryType())]))
+    gone = removed_lines(tied.select("doc_id", F.col("_tie").alias("tie"), "text")).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_gone"), F.col("remove").alias("_remove"))
+    joined = packed.join(gone, packed["doc_id"].eqNullSafe(gone["_id"]) & (packed["_tie"] == gone["_gone"]), "left")
+    result = StructType([*plain, StructField("text", StringType()), StructField(lines_column, LongType()), StructField(removed_column, LongType())])
+    return joined.select(*kept, "_body", "_remove").mapInArrow(cut, result)

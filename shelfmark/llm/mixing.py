@@ -85,5 +85,6 @@ def plan_copies(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: int
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """Every document as often as its source's rate says, with the columns of ``docs``."""
-    planned = plan_copies(docs, **options)
-    return planned.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    planned = plan_copies(docs.select(F.struct("*").alias("_row"), "doc_id", "source", "text"), **options)
+    copies = F.sequence(F.lit(1), F.col("copies").cast("int"))
+    return planned.where("copies > 0").select("_row", F.explode(copies)).select("_row.*")

@@ -37,8 +37,8 @@ from shelfmark.session import written
 SAMPLE = 20_000
 #: Entries of the lexicon at most; the strongest stay.
 ENTRIES = 400
-#: A term needs so many toxic texts, and so many standard errors of its log odds.
-SUPPORT, SURE = 5, 5.0
+#: A term needs so many toxic texts, such a likelihood ratio (G) against the share of toxic texts, and such odds.
+SUPPORT, SURE, ODDS = 5, 28.0, 4.0
 STEMS = (4, 5, 6, 7)
 WINDOW = 48
 BLOCK = 1 << 20
@@ -271,11 +271,13 @@ def learn_lexicon(counts: DataFrame, entries: int = ENTRIES) -> tuple[dict[str,
     if not all0 or not all1:
         return {}, {}, share
     odds = F.log((F.col("n1") + 0.5) / (all1 + 1)) - F.log((F.col("n0") + 0.5) / (all0 + 1))
-    error = F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
+    texts = F.col("n0") + F.col("n1")
+    part = lambda n, rate: F.when(F.col(n) > 0, F.col(n) * F.log(F.col(n) / (texts * rate))).otherwise(0.0)
+    sure = 2 * (part("n0", 1 - share) + part("n1", share))
     strong = (
         counts.where((F.col("term") != "") & (F.col("n1") >= SUPPORT))
-        .select("term", "n1", odds.alias("odds"), (odds / error).alias("sure"))
-        .where((F.col("sure") >= SURE) & (F.col("odds") >= log(4)))
+        .select("term", "n1", odds.alias("odds"), sure.alias("sure"))
+        .where((F.col("sure") >= SURE) & (F.col("odds") >= log(ODDS)))
         .orderBy(F.desc("sure"), "term")
         .limit(20 * entries)
         .collect()
@@ -287,8 +289,8 @@ def learn_lexicon(counts: DataFrame, entries: int = ENTRIES) -> tuple[dict[str,
             continue
         if term == r["term"]:
             words[term] = r["odds"]
-        elif sum(n for t, n in seen.items() if t.startswith(term)) < 0.5 * r["n1"]:
-            stems[term] = r["odds"]  # no word, and no longer stem, explains it
+        elif not any(t.startswith(term) and n >= 0.5 * r["n1"] for t, n in seen.items()):
+            stems[term] = r["odds"]  # no single word, and no longer stem, explains it
         seen[term] = r["n1"]
     words = {w: v for w, v in words.items() if not any(w.startswith(s) for s in stems)}
     return words, stems, share
@@ -344,10 +346,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(automaton, fit_logistic(x, y), share)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
+def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     """``docs`` with a score from 0 to 1; no column but text is looked at."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c != "score"]
+    kept = [c for c in docs.columns if c != column]
 
     def run(batches):
         for batch in batches:
@@ -356,7 +358,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for first, last in row_blocks(offsets, BLOCK):
                 at = offsets[first : last + 1] - offsets[first]
                 parts.append(shared.value.scores(data[offsets[first] : offsets[last]], at))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(np.concatenate(parts))], [*kept, "score"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(np.concatenate(parts))], [*kept, column])
 
-    schema = docs.select(kept).schema.add("score", "double")
+    schema = docs.select(kept).schema.add(column, "double")
     return docs.select(kept).mapInArrow(run, schema)
