@@ -206,7 +206,9 @@ def classes(docs: DataFrame) -> DataFrame:
     final = groups.components(links)
     named = own.join(final, "id", "left").withColumn("class", F.coalesce("group", "id"))
     named = written(named.select("doc_id", "n_words", "class"), "near-classes")
+    # written, so that the join below can split a class of very many copies
     smallest = named.where("n_words > 0").groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+    smallest = written(smallest, "near-smallest")
     with_words = named.where("n_words > 0").join(smallest, "class")
     alone = named.where("n_words = 0").withColumn("class_id", F.col("doc_id")).withColumn("class_size", F.lit(1).cast("long"))
     return with_words.select("doc_id", "n_words", "class", "class_id", "class_size").unionByName(alone.select("doc_id", "n_words", "class", "class_id", "class_size"))
