@@ -23,7 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.blocks import U64, mix64
@@ -46,10 +46,36 @@ def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
 
 
 def shared_buckets(bands: DataFrame) -> DataFrame:
-    """The rows (bucket, id) of buckets with two ids or more, each once; one shuffle."""
-    whole = Window.partitionBy("bucket")
-    once = bands.repartition("bucket").dropDuplicates(["bucket", "id"])
-    return once.withColumn("_n", F.count(F.lit(1)).over(whole)).where("_n > 1").drop("_n")
+    """The rows (bucket, id) of buckets with two ids or more, each once.
+
+    One shuffle; the rows of a bucket then stream by in order, and only its first id waits
+    until a second one comes, so a bucket of any size takes no memory.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, waiting = None, None  # the last row, and the first id of its bucket if it is alone so far
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bucket, ids = batch.column("bucket").to_numpy(), batch.column("id").to_numpy()
+            opens = np.append(before is None or bucket[0] != before[0], bucket[1:] != bucket[:-1])
+            new = opens | np.append(before is None or ids[0] != before[1], ids[1:] != ids[:-1])
+            later = new & ~opens
+            group = np.cumsum(opens)  # 0: the bucket that was open
+            several = np.zeros(group[-1] + 1, bool)
+            several[group[later]] = True
+            out_bucket, out_id = bucket[later | (opens & several[group])], ids[later | (opens & several[group])]
+            if waiting is not None and several[0]:
+                out_bucket, out_id = np.append(out_bucket, waiting[0]), np.append(out_id, waiting[1])
+                waiting = None
+            start = np.flatnonzero(opens)
+            if len(start):
+                waiting = None if several[group[-1]] else (bucket[start[-1]], ids[start[-1]])
+            before = bucket[-1], ids[-1]
+            if len(out_id):
+                yield pa.RecordBatch.from_arrays([pa.array(out_bucket), pa.array(out_id)], ["bucket", "id"])
+
+    return bands.repartition("bucket").sortWithinPartitions("bucket", "id").mapInArrow(run, "bucket bigint, id bigint")
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:

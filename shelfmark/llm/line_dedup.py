@@ -187,6 +187,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     place = F.struct("doc_id", "tie", "line")
     # the first place of each group, with partial minima before anything moves
     first = grouped.groupBy("group").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = written(first, "lines-first")  # so that the join below can split a line of very many places
     later = grouped.join(first, "group").where(~place.eqNullSafe(F.col("first")))
     return later.groupBy("doc_id", "tie").agg(F.sort_array(F.collect_set("line")).alias("remove"))
 
