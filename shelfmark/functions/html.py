@@ -5,69 +5,35 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Named character references and their characters.
-ENTITIES = {
-    "lt": "<",
-    "gt": ">",
-    "quot": '"',
-    "apos": "'",
-    "nbsp": " ",
-    "pound": "£",
-    "euro": "€",
-    "yen": "¥",
-    "cent": "¢",
-    "copy": "©",
-    "reg": "®",
-    "trade": "™",
-    "hellip": "…",
-    "ndash": "–",
-    "mdash": "—",
-    "lsquo": "‘",
-    "rsquo": "’",
-    "ldquo": "“",
-    "rdquo": "”",
-    "laquo": "«",
-    "raquo": "»",
-    "bull": "•",
-    "middot": "·",
-    "agrave": "à",
-    "aacute": "á",
-    "acirc": "â",
-    "auml": "ä",
-    "ccedil": "ç",
-    "egrave": "è",
-    "eacute": "é",
-    "ecirc": "ê",
-    "iacute": "í",
-    "ntilde": "ñ",
-    "oacute": "ó",
-    "ocirc": "ô",
-    "ouml": "ö",
-    "uacute": "ú",
-    "uuml": "ü",
-    "szlig": "ß",
-}
+# Named character references and their characters: the public HTML5 table, references with a semicolon.
+ENTITIES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
 
 # Tags that have no end tag.
 VOID_TAGS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
 
-_REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-z]{2,8});"
+_REFERENCE = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+#: Characters that the numbers 128 to 159 stand for on web pages.
+_WINDOWS = {n: bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (129, 141, 143, 144, 157)}
 
 
 def _numbered(name: Column) -> Column:
-    """The character of "#233" or "#xE9"; U+FFFD for numbers that are no character."""
-    digits = F.lower(F.substring(name, 2, 8))
-    number = F.when(
-        digits.startswith("x"), F.conv(F.substring(digits, 2, 8), 16, 10).try_cast("bigint")
-    ).otherwise(digits.try_cast("bigint"))
+    """The character of "#233" or "#xE9", of any length; U+FFFD for numbers that are no character."""
+    digits = F.regexp_replace(F.lower(F.substring(name, 2, F.length(name))), "^(x?)0+(?=.)", "$1")
+    hexed = digits.startswith("x")
+    number = F.when(F.length(digits) > 8, F.lit(0)).otherwise(
+        F.when(hexed, F.conv(F.substring(digits, 2, 8), 16, 10).try_cast("bigint")).otherwise(digits.try_cast("bigint"))
+    )
     valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
     number = F.when(valid, number).otherwise(F.lit(0xFFFD))
+    windows = F.create_map(*[F.lit(x) for entry in _WINDOWS.items() for x in entry])
+    character = F.coalesce(F.try_element_at(windows, number.cast("int")), F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
     # An ampersand stays a reference until all others are decoded.
-    return F.when(number == 38, "&amp;").otherwise(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+    return F.when(number == 38, "&amp;").otherwise(character)
 
 
 def bind(value: Column, function: Callable[[Column], Column]) -> Column:
@@ -75,14 +41,21 @@ def bind(value: Column, function: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), lambda v: function(v)), F.lit(0))
 
 
+# An ampersand stays a reference until all others are decoded.
+_NAMED = {name: "&amp;" if text == "&" else text for name, text in ENTITIES.items()}
+# Looked up before all others: a lookup goes through a map from its start.
+_OFTEN = {name: _NAMED[name] for name in ("amp", "lt", "gt", "quot", "apos", "nbsp", "pound", "euro")}
+
+
 def unescape(text: Column) -> Column:
-    """Numbered and the common named character references as characters."""
-    named = F.expr("map(" + ", ".join(f"{json.dumps(n)}, {json.dumps(c)}" for n, c in ENTITIES.items()) + ")")
+    """Numbered and named character references as characters."""
+    # one literal: the table is parsed once, when the plan is made
+    often, named = [F.from_json(F.lit(json.dumps(names)), "map<string,string>") for names in (_OFTEN, _NAMED)]
 
     def decode(done: Column, name: Column) -> Column:
         reference = F.concat(F.lit("&"), name, F.lit(";"))
         character = F.when(name.startswith("#"), _numbered(name)).otherwise(
-            F.coalesce(F.try_element_at(named, name), reference)
+            F.coalesce(F.try_element_at(often, name), F.try_element_at(named, name), reference)
         )
         return F.replace(done, reference, character)
 
@@ -123,15 +96,54 @@ def _from_tag_with(html: Column, word: str) -> Column:
     return F.when(html.contains(word), bind(F.substring_index(html, word, 1), cut))
 
 
-def inside_class(html: Column, name: str) -> Column:
-    """Inside of the first element with a class, null if there is none.
+def _class_tag(name: str, tag: str = r"\w+") -> str:
+    """Pattern of an opening tag of a kind whose classes hold all of the names, in any order."""
+    words = "".join(rf"(?=(?:[^\"']*\s)?{re.escape(n)}[\s\"'])" for n in name.split())
+    return rf"<{tag}\b[^>]*\bclass\s*=\s*[\"']{words}[^\"']*[\"'][^>]*>"
+
+
+def inner(rest: Column) -> Column:
+    """Inside of the element that a text begins with, up to its own end tag.
+
+    The text is cut before each tag of the element's kind; the element ends where as many
+    have ended as have begun. One without an end tag goes on to the end.
+    """
+    kind = F.regexp_extract(rest, r"^<(\w+)", 1)
+    pieces = F.split(rest, F.concat(F.lit("(?i)(?=</?"), kind, F.lit(r"[\s/>])")))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(False).alias("ended"))
+
+    def walk(state: Column, piece: Column) -> Column:
+        step = F.when(piece.startswith("</"), -1).when(piece.rlike(r"^<[^>]*/>"), 0).otherwise(1)
+        depth = state["depth"] + step
+        ended = state["ended"] | (depth <= 0)
+        return F.struct(depth.alias("depth"), (state["n"] + F.when(ended, 0).otherwise(1)).alias("n"), ended.alias("ended"))
 
-    The class name is looked up as a plain string first. Only if it stands somewhere
+    def body(cut: Column) -> Column:
+        kept = F.slice(cut, 1, F.aggregate(cut, start, walk, lambda state: state["n"]))
+        return F.regexp_replace(F.array_join(kept, ""), r"^<[^>]*>", "")
+
+    return blank_to_null(bind(pieces, body))
+
+
+def from_class(html: Column, name: str, tag: str = r"\w+") -> Column:
+    """The page from the first element of a kind with all of some classes, null if there is none.
+
+    The last class name is looked up as a plain string first. Only if it stands somewhere
     else before (in a script, say) is the whole page searched by pattern.
     """
-    tag = rf"<(\w+)\b[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?{re.escape(name)}(?:\s[^\"']*)?[\"'][^>]*>(.*?)</\1\s*>"
-    near = first_match(_from_tag_with(html, name), rf"(?is)^{tag}", 2)
-    return F.when(html.contains(name), F.coalesce(near, first_match(html, rf"(?is){tag}", 2)))
+    word = name.split()[-1]
+    near = first_match(_from_tag_with(html, word), rf"(?is)^({_class_tag(name, tag)}.*)$")
+    return F.when(html.contains(word), F.coalesce(near, first_match(html, rf"(?is)({_class_tag(name, tag)}.*)$")))
+
+
+def inside_class(html: Column, name: str, tag: str = r"\w+") -> Column:
+    """Inside of the first element (of a kind) with a class, null if there is none."""
+    return bind(from_class(html, name, tag), inner)
+
+
+def elements(html: Column, tag: str) -> Column:
+    """The page from each element of a kind on to the next one, for every one of them."""
+    return F.filter(F.split(html, rf"(?i)(?=<{tag}[\s>])"), lambda piece: F.lower(piece).startswith(f"<{tag}"))
 
 
 def children(html: Column, name: str, tag: str) -> Column:

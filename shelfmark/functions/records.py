@@ -79,8 +79,13 @@ def clean_authors(authors: Column) -> Column:
 
 
 def surrogate_id(*natural_key: str | Column) -> Column:
-    """A stable id that every job derives alike from the natural key."""
-    return F.concat(F.lit("bk_"), F.substring(F.sha2(F.concat_ws("|", *natural_key), 256), 1, 16))
+    """A stable id that every job derives alike from the natural key.
+
+    Parts carry their length, so no two keys read alike, and a null is not an empty text.
+    """
+    columns = [F.col(k) if isinstance(k, str) else k for k in natural_key]
+    parts = [F.when(c.isNull(), "-").otherwise(F.concat_ws(":", F.length(c).cast("string"), c)) for c in columns]
+    return F.concat(F.lit("bk_"), F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 32))
 
 
 def category_levels(path: Column, separator: str = " > ") -> Column:

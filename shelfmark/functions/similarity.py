@@ -120,19 +120,19 @@ def _jaro_winkler_chunk(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def jaro_winkler_arrays(left, right) -> np.ndarray:
     """Jaro-Winkler of two equally long string sequences; 0.0 where one is null."""
-    left, right = pd.Series(left, dtype=object), pd.Series(right, dtype=object)
-    a = left.fillna("").to_numpy(dtype=np.str_)
-    b = right.fillna("").to_numpy(dtype=np.str_)
+    # Arrays of fixed width are made of titles of like length only, and of a bounded
+    # number of characters together, so one long title costs only its own memory.
+    a = pd.Series(left, dtype=object).fillna("").to_numpy()
+    b = pd.Series(right, dtype=object).fillna("").to_numpy()
     out = np.zeros(len(a))
-    if not len(a):
-        return out
-    size = np.maximum(np.char.str_len(a), np.char.str_len(b))
+    size = np.fromiter((max(len(x), len(y), 1) for x, y in zip(a, b)), np.int64, len(a))
     order = np.argsort(size, kind="stable")
-    for start in range(0, len(order), _CHUNK):
-        pick = order[start : start + _CHUNK]
-        width_a = max(int(np.char.str_len(a[pick]).max()), 1)
-        width_b = max(int(np.char.str_len(b[pick]).max()), 1)
-        out[pick] = _jaro_winkler_chunk(a[pick].astype(f"U{width_a}"), b[pick].astype(f"U{width_b}"))
+    start = 0
+    while start < len(order):
+        stop = start + max(1, min(_CHUNK, int(np.searchsorted(size[order[start:]] * np.arange(1, len(order) - start + 1), _CHUNK * 64, "right"))))
+        pick = order[start:stop]
+        out[pick] = _jaro_winkler_chunk(a[pick].astype(np.str_), b[pick].astype(np.str_))
+        start = stop
     return out
 
 

@@ -127,8 +127,9 @@ def authors(html: Column, specs: Column) -> Column:
 
 
 def category_from_breadcrumb(html: Column) -> Column:
-    crumbs = F.regexp_extract_all(h.inside_class(html, "breadcrumb"), F.lit(h.element("li")), F.lit(1))
-    return F.coalesce(h.strip_tags(F.get(crumbs, F.lit(2))), F.lit(NO_CATEGORY))
+    crumbs = h.elements(h.inside_class(html, "breadcrumb"), "li")
+    third = h.blank_to_null(F.array_join(F.slice(crumbs, 3, F.size(crumbs)), ""))
+    return F.coalesce(h.strip_tags(h.bind(third, h.inner)), F.lit(NO_CATEGORY))
 
 
 def category_from_url(url: Column) -> Column:
@@ -141,8 +142,8 @@ def category_from_url(url: Column) -> Column:
 
 def image_source(html: Column) -> Column:
     """Address of the shown picture as the page gives it."""
-    item = h.first_match(html, r"(?s)\bclass\s*=\s*[\"']item active[\"'][^>]*>\s*(<img\b[^>]*>)")
-    return F.when(html.contains("item active"), h.first_match(item, h.attribute("src")))
+    image = h.first_match(h.inside_class(html, "item active"), r"(?is)(<img\b[^>]*>)")
+    return h.first_match(image, h.attribute("src"))
 
 
 def review_count(specs: Column) -> Column:
@@ -228,10 +229,15 @@ def rejected_pages(pages: DataFrame) -> DataFrame:
 
 
 def _links(pages: DataFrame, within: str | None) -> DataFrame:
-    """(source_url, position, _ref) of every link, or of those that start a ``within`` element."""
-    start = rf"<{within}\b[^>]*>\s*" if within else ""
-    pattern = rf"(?is){start}<a\b[^>]*\bhref\s*=\s*[\"']([^\"']*)[\"']"
-    found = F.regexp_extract_all("raw_content", F.lit(pattern), F.lit(1))
+    """(source_url, position, _ref) of every link, or of those anywhere in a ``within`` element."""
+
+    def links_of(part: Column) -> Column:
+        return F.regexp_extract_all(part, F.lit(_LINK), F.lit(1))
+
+    found = links_of(F.col("raw_content"))
+    if within:
+        ended = lambda part: F.split(part, rf"(?i)</{within}[\s>]", 2)[0]
+        found = F.flatten(F.transform(h.elements(F.col("raw_content"), within), lambda part: links_of(ended(part))))
     links = pages.select("source_url", F.posexplode(found).alias("position", "_ref"))
     return links.withColumn("_ref", h.unescape(F.col("_ref")))
 
@@ -249,8 +255,22 @@ def catalogue_links(pages: DataFrame, site: str) -> DataFrame:
     return _links(pages, "h3").select("source_url", "position", resolved.alias("link"))
 
 
+def category_links(pages: DataFrame, scope: str = "side_categories") -> DataFrame:
+    """The category list of a home page: (source_url, position, name, link).
+
+    The links in the inner lists of the element with class ``scope``.
+    """
+    side = h.inside_class(F.col("raw_content"), scope)
+    lists = F.slice(h.elements(side, "ul"), 2, F.size(h.elements(side, "ul")))
+    inside = F.transform(lists, lambda u: F.split(u, r"(?i)</ul[\s>]", 2)[0])
+    found = F.flatten(F.transform(inside, lambda u: F.regexp_extract_all(u, F.lit(r"(?is)(<a\b[^>]*\bhref\s*=[^>]*>.*?)</a\s*>"), F.lit(1))))
+    links = pages.select("source_url", F.posexplode(found).alias("position", "_a"))
+    ref = h.unescape(h.first_match(F.col("_a"), _LINK))
+    return links.select("source_url", "position", h.strip_tags(F.col("_a")).alias("name"), h.resolve_url(F.col("source_url"), ref).alias("link"))
+
+
 def next_page(html: Column, url: Column) -> Column:
-    return h.resolve_url(url, h.first_match(h.inside_class(html, "next"), _LINK))
+    return h.resolve_url(url, h.first_match(h.inside_class(html, "next", "li"), _LINK))
 
 
 def first_per_group(df: DataFrame, group: str, order: list[str], n: int) -> DataFrame:
@@ -264,6 +284,7 @@ def first_per_group(df: DataFrame, group: str, order: list[str], n: int) -> Data
 
 # ---- API records -----------------------------------------------------------------
 
+# Fields of an API record, and those of them that make its map.
 API_FIELDS = [
     "title", "subtitle", "authors", "publisher", "language", "isbn10", "isbn13", "pages", "year", "rating",
     "desc", "price", "image", "url",
@@ -311,8 +332,21 @@ def api_fields(rows: DataFrame) -> DataFrame:
     )
 
 
+def _api_rows(records: DataFrame, column: str, malformed: bool) -> DataFrame:
+    """Well-formed or malformed records. The test is part of a generator, so the text is parsed once."""
+    rows = read_api_records(records, column)
+    wanted = F.filter(F.array(F.struct(*rows.columns)), lambda r: r["malformed"].isNotNull() if malformed else r["malformed"].isNull())
+    return rows.select(F.inline(wanted))
+
+
 def parse_api_records(records: DataFrame, column: str = "raw_content") -> DataFrame:
-    return api_fields(read_api_records(records, column).where("malformed is null"))
+    return api_fields(_api_rows(records, column, False))
+
+
+def rejected_api_records(records: DataFrame, column: str = "raw_content") -> DataFrame:
+    """What ``parse_api_records`` leaves out: the other columns, and the malformed text."""
+    rows = _api_rows(records, column, True)
+    return rows.select(*[c for c in rows.columns if c not in API_FIELDS])
 
 
 def hydrate(listed: DataFrame, details: DataFrame, key: str = "isbn13", null_detail_wins: bool = False) -> DataFrame:

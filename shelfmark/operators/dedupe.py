@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def key_digest(*keys: str) -> Column:
+    """A digest that tells keys apart, nulls and separators inside values included."""
+    return F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256)
+
+
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key, the first by ``order``.
 
@@ -23,12 +28,14 @@ def dedupe_latest(
     latest: str = "ingested_at",
     ties: list[str] = ("source", "source_id"),
 ) -> DataFrame:
-    """The most recent row per key; equal times are settled by the smallest ``ties``."""
-    return keep_first(df, list(keys), [-F.unix_micros(F.col(latest).cast("timestamp")), *[F.col(c) for c in ties]])
+    """The most recent row per key; a row without a time comes last, equal times are settled by the smallest ``ties``."""
+    moment = F.unix_micros(F.col(latest).cast("timestamp"))
+    return keep_first(df, list(keys), [moment.isNull(), -moment, *[F.col(c) for c in ties]])
 
 
 def new_or_changed(
     batch: DataFrame, stored: DataFrame, keys: list[str] = ("source", "source_id", "content_hash")
 ) -> DataFrame:
-    """Rows of a batch that the stored table does not hold yet in this version."""
-    return batch.join(stored.select(*keys), list(keys), "left_anti")
+    """Rows of a batch that the stored table does not hold yet in this version; null keys compare as values."""
+    held = stored.select(key_digest(*keys).alias("_digest"))
+    return batch.withColumn("_digest", key_digest(*keys)).join(held, "_digest", "left_anti").drop("_digest")

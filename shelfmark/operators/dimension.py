@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.records import category_levels, surrogate_id
-from shelfmark.operators.matching import keep_one_to_one
+from shelfmark.operators.dedupe import keep_first
 from shelfmark.operators.ordered import with_last_known, with_neighbours
 
 # What makes a new version of a canonical book.
@@ -21,7 +21,7 @@ def _moment(run_ts: str | datetime) -> Column:
 
 def _members(pairs: DataFrame) -> DataFrame:
     """(source, source_id) of both sides of each pair with the ids they share."""
-    natural = [F.concat_ws(":", f"source{i}_source", f"source{i}_id") for i in (1, 2)]
+    natural = [F.col(f"source{i}_{part}") for i in (1, 2) for part in ("source", "id")]
     members = F.array(
         *[
             F.struct(
@@ -43,8 +43,11 @@ def _members(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _single_id() -> Column:
-    return surrogate_id(F.concat_ws(":", "source", "source_id"))
+def _single_id(rows: DataFrame) -> Column:
+    """From source and id; a row without an id is known by its content."""
+    content = [c for c in ("content_hash", "isbn13", "title", "authors", "category_path") if c in rows.columns]
+    content = F.sha2(F.to_json(F.struct(*content), {"ignoreNullFields": "false"}), 256)
+    return F.when(F.col("source_id").isNull(), surrogate_id(F.col("source"), F.col("source_id"), content)).otherwise(surrogate_id("source", "source_id"))
 
 
 def _single_key() -> Column:
@@ -52,15 +55,20 @@ def _single_key() -> Column:
 
 
 def book_ids(matches: DataFrame) -> DataFrame:
-    """(source, source_id) -> (book_id, source_key), unique per source row."""
-    return _members(keep_one_to_one(matches)).select("source", "source_id", "book_id", "source_key")
+    """(source, source_id) -> (book_id, source_key), unique per source row; ``matches`` are one to one."""
+    return _members(matches).select("source", "source_id", "book_id", "source_key")
 
 
 def with_book_ids(rows: DataFrame, matches: DataFrame) -> DataFrame:
-    """Add the canonical ids to silver rows; rows without a partner get their own."""
+    """Add the canonical ids to silver rows; rows without a partner get their own.
+
+    ``matches`` are one to one (``match(..., one_to_one=True)``).
+    """
     return (
-        rows.join(book_ids(matches), ["source", "source_id"], "left")
-        .withColumn("book_id", F.coalesce("book_id", _single_id()))
+        rows.withColumn("_single", _single_id(rows))
+        .join(book_ids(matches), ["source", "source_id"], "left")
+        .withColumn("book_id", F.coalesce("book_id", "_single"))
+        .drop("_single")
         .withColumn("source_key", F.coalesce("source_key", _single_key()))
     )
 
@@ -76,10 +84,10 @@ def build_dimension(silver: DataFrame, matches: DataFrame, run_ts: str | datetim
 
     One left join covers matched and unmatched rows of both sources: the side-1 row
     of a pair carries the book, its side-2 row is absorbed, all others stand alone.
-    ``silver`` must be unique per (source, source_id).
+    ``silver`` must be unique per (source, source_id), ``matches`` one to one.
     """
-    members = _members(keep_one_to_one(matches))
-    rows = silver.select("source", "source_id", "isbn13", "title", "authors", "category_path")
+    members = _members(matches)
+    rows = silver.select("source", "source_id", "isbn13", "title", "authors", "category_path", _single_id(silver).alias("_single"))
     joined = rows.join(members, ["source", "source_id"], "left").where("coalesce(side, 1) = 1")
     paired = F.col("side").isNotNull()
     levels = category_levels(F.coalesce("category_path", "other_category"))
@@ -88,7 +96,7 @@ def build_dimension(silver: DataFrame, matches: DataFrame, run_ts: str | datetim
         F.col("source") == F.col("other_source"), F.create_map("source", F.array("source_id", "other_id"))
     ).otherwise(F.create_map("source", F.array("source_id"), "other_source", F.array("other_id")))
     return joined.select(
-        F.coalesce("book_id", _single_id()).alias("book_id"),
+        F.coalesce("book_id", "_single").alias("book_id"),
         F.coalesce("source_key", _single_key()).alias("source_key"),
         F.coalesce("isbn13", "other_isbn13").alias("isbn13"),
         F.when(paired, both).otherwise(own).alias("source_ids"),
@@ -122,6 +130,9 @@ def merge_versions(
 ) -> DataFrame:
     """Slowly changing dimension, type 2: the next state of ``current``.
 
+    A key that ``incoming`` holds several times counts once, with the smallest of its
+    tracked values; null keys are keys.
+
     A changed key has its open version closed at ``run_ts`` and a new one opened; a
     new key opens version 1, a key whose versions are all closed the next one; equal
     keys and closed versions stay as they are. With ``close_missing`` a key that
@@ -129,14 +140,18 @@ def merge_versions(
     new version of the table, never over the files being read.
     """
     columns = current.columns
+    # maps have no order, so a digest of the tracked values settles which row counts
+    incoming = keep_first(
+        incoming.withColumn("_order", F.to_json(F.struct(*_comparable(incoming, list(tracked))), {"ignoreNullFields": "false"})), [key], [F.col("_order")]
+    ).drop("_order")
     digest = F.md5(F.to_json(F.struct(*_comparable(current, list(tracked))), {"ignoreNullFields": "false"}))
     closed_keys = (
         current.groupBy(key)
         .agg(F.max("version").alias("_last"), F.bool_or("is_current").alias("_open"))
         .where("not _open")
-        .select(key, "_last")
+        .select(F.col(key).alias("_closed"), "_last")
     )
-    opened = incoming.join(closed_keys, key, "left").withColumns(
+    opened = incoming.join(closed_keys, F.col(key).eqNullSafe(F.col("_closed")), "left").withColumns(
         {
             "valid_from": _moment(run_ts).cast(current.schema["valid_from"].dataType),
             "valid_to": F.lit(None).cast(current.schema["valid_to"].dataType),
@@ -147,8 +162,8 @@ def merge_versions(
     old = current.where("is_current").select(
         F.col(key), digest.alias("_old_hash"), F.struct(*columns).alias("_old")
     )
-    new = opened.select(F.col(key), digest.alias("_new_hash"), F.struct(*columns).alias("_new"))
-    both = old.join(new, key, "full_outer")
+    new = opened.select(F.col(key).alias("_key"), digest.alias("_new_hash"), F.struct(*columns).alias("_new"))
+    both = old.join(new, F.col(key).eqNullSafe(F.col("_key")), "full_outer")
     changed = F.col("_old_hash") != F.col("_new_hash")
     gone = F.col("_new").isNull() & F.lit(close_missing)
     end = F.lit(run_ts).cast("timestamp").cast(current.schema["valid_to"].dataType)

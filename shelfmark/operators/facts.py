@@ -30,8 +30,11 @@ def price_history(silver: DataFrame, matches: DataFrame) -> DataFrame:
 def price_changes(
     prices: DataFrame, ties: list[str] = (), keys: list[str] = ("book_id", "source"), every: str = "month"
 ) -> DataFrame:
-    """Observations whose price differs from the one before, with the step in value and percent."""
-    seen = with_neighbours(prices, list(keys), "effective_date", ties, {"previous_price": "price"}, every=every)
+    """Observations whose price differs from the one before, with the step in value and percent.
+
+    An observation without a price is none: the step goes from the last known price.
+    """
+    seen = with_neighbours(prices.where(F.col("price").isNotNull()), list(keys), "effective_date", ties, {"previous_price": "price"}, every=every)
     step = F.col("price") - F.col("previous_price")
     return seen.where(step != 0).withColumns(
         {"price_change": step, "change_percentage": F.when(F.col("previous_price") != 0, step / F.col("previous_price") * 100)}

@@ -23,10 +23,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.similarity import DIGITS, author_overlap, author_set, title_similarity
+from shelfmark.operators.dedupe import keep_first
 from shelfmark.operators.title_join import SLACK, title_pairs
 from shelfmark.session import written
 
@@ -115,9 +116,10 @@ _OVERLAP = (
 )
 
 
-def _facts(side: DataFrame, name: str) -> DataFrame:
+def _facts(side: DataFrame, name: str, *more: str) -> DataFrame:
     """What the confidence depends on, and the id."""
     return side.selectExpr(
+        *more,
         f"{name}_id as id",
         f"{name}_isbn13 as isbn",
         f"{name}_title as title",
@@ -255,24 +257,44 @@ def _best_offers(a: DataFrame, b: DataFrame, config: MatchConfig) -> DataFrame:
 def match(df1: DataFrame, df2: DataFrame, config: MatchConfig = MatchConfig(), one_to_one: bool = False) -> DataFrame:
     """Best pair per side-1 id: nine columns of each side and six score columns.
 
-    Equal confidence is settled by the smaller side-2 id. Ids must be unique per side
-    (run ``dedupe_latest`` first). With ``one_to_one`` a side-2 id keeps only the best
-    of the side-1 ids that chose it.
+    Equal confidence is settled by the smaller side-2 id. One row per side-1 id comes
+    out whatever comes in: rows of one id may differ, then the best of their pairs
+    counts, and of rows that score alike the first by title, ISBN and authors. With
+    ``one_to_one`` a side-2 id keeps only the best of the side-1 ids that chose it.
     """
     side1, side2 = prepare_side(df1, "source1"), prepare_side(df2, "source2")
     a, b = _facts(side1, "source1"), _facts(side2, "source2")
+    # the offers of an id's entries, reduced to the best one with its entry
     chosen = (
-        a.selectExpr("id as source1_id", f"{_ENTRY} as entry")
-        .join(_best_offers(a, b, config), "entry")
-        .selectExpr("source1_id", "offer.id as source2_id")
+        a.selectExpr("id as source1_id", f"{_ENTRY} as _entry")
+        .join(_best_offers(a, b, config), F.col("_entry") == F.col("entry"))
+        .groupBy("source1_id")
+        .agg(F.expr("min(struct(offer.loss as loss, offer.id as id, entry as entry)) as best"))
+        .selectExpr("source1_id", "best.entry as _entry", "best.id as source2_id")
     )
-    pairs = side1.join(chosen, "source1_id").join(side2, "source2_id")
+    left = _with_entry(side1, "source1")
+    own = left.join(chosen.withColumnRenamed("_entry", "_best"), "source1_id").where("_entry = _best").drop("_entry", "_best")
+    rows = keep_first(own, ["source1_id"], _row_order(left, "source1"))
+    # the rows of a side-2 id may differ as well: the best pair of each side-1 id stays
+    pairs = rows.join(side2, "source2_id")
     similarity = title_similarity(F.col("source1_title"), F.col("source2_title"))
     scored = with_scores(pairs.withColumn("title_similarity", similarity), config)
     scored = scored.select(*side1.columns, *side2.columns, *SCORE_COLUMNS)
+    scored = keep_first(scored, ["source1_id"], [-F.col("confidence_score"), *_row_order(scored, "source2")])
     return keep_one_to_one(scored) if one_to_one else scored
 
 
+def _with_entry(side: DataFrame, name: str) -> DataFrame:
+    facts = _facts(side.select("*", F.struct(*side.columns).alias("_row")), name, "_row")
+    return facts.selectExpr(f"{_ENTRY} as _entry", "_row.*")
+
+
+def _row_order(rows: DataFrame, name: str) -> list[Column]:
+    """An order of rows of one id: by all their columns, as text."""
+    columns = [c for c in rows.columns if c.startswith(f"{name}_")]
+    return [F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})]
+
+
 def keep_one_to_one(pairs: DataFrame) -> DataFrame:
     """For each side-2 id the row of highest confidence, then smallest side-1 id."""
     rest = [c for c in pairs.columns if c != "source2_id"]

@@ -1,8 +1,8 @@
 """Neighbours in time per key, without one task per key.
 
 A window over a key hands all rows of that key to one task. Here every key is cut
-into time buckets: windows run per (key, bucket), and one row per bucket carries what
-crosses its border. Only these border rows meet per key, and their number is bounded
+into time buckets: windows run per (key, bucket), and the rows at a bucket's ends carry
+what crosses its border. Only these border rows meet per key, and their number is bounded
 by the calendar, whatever the number of rows.
 """
 
@@ -11,19 +11,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BUCKET = "_bucket"
+_BUCKET, _KEY = "_bucket", "_key"
 
 
-def _bucketed(df: DataFrame, time: str, every: str) -> DataFrame:
-    return df.withColumn(_BUCKET, F.date_trunc(every, F.col(time)))
+def _bucketed(df: DataFrame, keys: list[str], time: str, every: str) -> DataFrame:
+    """Add key and bucket as one struct."""
+    return df.withColumn(_KEY, F.struct(*keys, F.date_trunc(every, F.col(time)).alias(_BUCKET)))
 
 
-def _join_borders(rows: DataFrame, borders: DataFrame, keys: list[str]) -> DataFrame:
-    """Join on (keys, bucket), null keys included; both sides are shuffled by the same columns."""
-    names = [*keys, _BUCKET]
-    renamed = borders.withColumnsRenamed({n: f"_b_{n}" for n in names})
-    test = [F.col(n).eqNullSafe(F.col(f"_b_{n}")) for n in names]
-    return rows.join(renamed, test).drop(*[f"_b_{n}" for n in names])
+def _join_borders(rows: DataFrame, borders: DataFrame) -> DataFrame:
+    """Join on (keys, bucket), null keys included.
+
+    Both sides carry them as one struct: structs with null fields are equal by ``=``, so
+    rows that a window has shuffled by it stay where they are.
+    """
+    carried = borders.withColumnRenamed(_KEY, f"_b{_KEY}")
+    return rows.join(carried, rows[_KEY] == carried[f"_b{_KEY}"]).drop(f"_b{_KEY}")
 
 
 def with_neighbours(
@@ -38,54 +41,58 @@ def with_neighbours(
 ) -> DataFrame:
     """Add ``lag`` / ``lead`` columns {new: column} and a row ``number`` per key.
 
-    Rows are ordered by ``time`` and then ``ties``; ``every`` is the bucket's unit.
+    Rows are ordered by ``time`` and then ``ties``; ``every`` is the bucket's unit. All
+    rows are shuffled once, by key and bucket. Only the first and last row of a bucket
+    lack a neighbour there; these meet per key in a second, small window. Without a
+    ``number`` nothing is joined.
     """
     previous, following = previous or {}, following or {}
     order = [time, *ties]
-    within = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy(_BUCKET)
-    rows = _bucketed(df, time, every)
-    back = F.struct(*[F.col(c).alias(n) for n, c in previous.items()]) if previous else None
-    ahead = F.struct(*[F.col(c).alias(n) for n, c in following.items()]) if following else None
-
-    inner, ends, carried, final = {}, [], {}, {}
-    if back is not None:
+    within = Window.partitionBy(_KEY).orderBy(*order)
+    # no column that the other rows do not have as well: so both kinds read one shuffle
+    across = Window.partitionBy(*keys).orderBy(F.col(_KEY)[_BUCKET], *order)
+    rows = _bucketed(df, keys, time, every)
+    back = F.struct(*[F.col(c).alias(n) for n, c in previous.items()])
+    ahead = F.struct(*[F.col(c).alias(n) for n, c in following.items()])
+    inner = {"_first": F.lag(F.lit(True)).over(within).isNull(), "_last": F.lead(F.lit(True)).over(within).isNull()}
+    if previous:
         inner["_back"] = F.lag(back).over(within)
-        ends.append(F.max_by(back, F.struct(*order)).alias("_last"))
-        carried["_back_0"] = F.lag("_last").over(across)
-        final |= {n: F.coalesce("_back", "_back_0")[n] for n in previous}
-    if ahead is not None:
+    if following:
         inner["_ahead"] = F.lead(ahead).over(within)
-        ends.append(F.min_by(ahead, F.struct(*order)).alias("_first"))
-        carried["_ahead_0"] = F.lead("_first").over(across)
-        final |= {n: F.coalesce("_ahead", "_ahead_0")[n] for n in following}
     if number:
         inner["_rn"] = F.row_number().over(within)
-        ends.append(F.count(F.lit(1)).alias("_rows"))
+    seen = rows.withColumns(inner)
+    edges = seen.where("_first or _last")
+    beyond = {}
+    if previous:
+        beyond["_back"] = F.coalesce("_back", F.lag(back).over(across))
+    if following:
+        beyond["_ahead"] = F.coalesce("_ahead", F.lead(ahead).over(across))
+    joined = seen.where("not (_first or _last)").unionByName(edges.withColumns(beyond)) if beyond else seen
+    final = [F.col("_back")[n].alias(n) for n in previous] + [F.col("_ahead")[n].alias(n) for n in following]
+    if number:
         earlier = across.rowsBetween(Window.unboundedPreceding, -1)
-        carried["_before"] = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
-        final[number] = (F.col("_rn") + F.col("_before")).cast("int")
-
-    borders = rows.groupBy(*keys, _BUCKET).agg(*ends)
-    borders = borders.select(*keys, _BUCKET, *[c.alias(n) for n, c in carried.items()])
-    joined = _join_borders(rows.withColumns(inner), borders, keys)
-    return joined.select(*df.columns, *[c.alias(n) for n, c in final.items()])
+        before = F.coalesce(F.sum(F.when(F.col("_last"), F.col("_rn"))).over(earlier), F.lit(0))
+        sizes = edges.withColumn("_before", F.when(F.col("_first"), before)).where("_first").select(_KEY, "_before")
+        joined = _join_borders(joined, sizes)
+        final.append((F.col("_rn") + F.col("_before")).cast("int").alias(number))
+    return joined.select(*df.columns, *final)
 
 
 def with_last_known(
     df: DataFrame, keys: list[str], time: str, ties: list[str], value: Column, name: str, every: str = "month"
 ) -> DataFrame:
     """Add the last non-null ``value`` at or before each row, in order of ``time`` and ``ties``."""
-    within = Window.partitionBy(*keys, _BUCKET).orderBy(time, *ties)
+    within = Window.partitionBy(_KEY).orderBy(time, *ties)
     so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    across = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    rows = _bucketed(df, time, every).withColumn("_value", value)
+    across = Window.partitionBy(*[F.col(_KEY)[k] for k in keys]).orderBy(F.col(_KEY)[_BUCKET]).rowsBetween(Window.unboundedPreceding, -1)
+    rows = _bucketed(df, keys, time, every).withColumn("_value", value)
     known = F.when(F.col("_value").isNotNull(), F.struct(time, *ties))
     borders = (
-        rows.groupBy(*keys, _BUCKET)
+        rows.groupBy(_KEY)
         .agg(F.max_by("_value", known).alias("_last"))
-        .select(*keys, _BUCKET, F.last("_last", ignorenulls=True).over(across).alias("_carried"))
+        .select(_KEY, F.last("_last", ignorenulls=True).over(across).alias("_carried"))
     )
     inner = rows.withColumn("_inner", F.last("_value", ignorenulls=True).over(so_far))
-    joined = _join_borders(inner, borders, keys)
+    joined = _join_borders(inner, borders)
     return joined.select(*df.columns, F.coalesce("_inner", "_carried").alias(name))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -51,24 +52,42 @@ def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
 
 
 def run_metrics(
-    ingested: DataFrame, accepted: DataFrame, deduplicated: DataFrame, rejected: DataFrame, run_id: str, source: str
+    checked: DataFrame,
+    run_id: str,
+    source: str,
+    start_time: str | datetime,
+    end_time: str | datetime | None = None,
+    key: str = "content_hash",
+    errors: list[str] = (),
 ) -> DataFrame:
-    """Counts of one run and its success rate."""
-    counts = layer_counts(
-        {
-            "records_ingested": ingested,
-            "records_cleaned": accepted,
-            "records_kept": deduplicated,
-            "records_rejected": rejected,
-        }
+    """The report of one run, from one pass over its rows with their ``reasons``.
+
+    Ingested are all rows, cleaned those without a reason, kept one per ``key`` of these.
+    Each broken rule of a row is a quality failure. A run with errors has failed.
+    """
+    accepted = F.size("reasons") == 0
+    by_key = checked.groupBy(F.when(accepted, F.col(key)).alias("_key")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(accepted).alias("clean"), F.sum(F.size("reasons")).alias("broken")
     )
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
+    counts = by_key.agg(
+        zero(F.sum("n")).alias("records_ingested"),
+        zero(F.sum("clean")).alias("records_cleaned"),
+        F.count_if(F.col("clean") > 0).alias("_kept"),
+        zero(F.sum("broken")).alias("data_quality_failures"),
+    )
+    moment = lambda t: F.lit(t).cast("timestamp")
     return counts.select(
         F.lit(run_id).alias("run_id"),
+        F.lit("FAILED" if errors else "SUCCESS").alias("status"),
         F.lit(source).alias("source"),
-        F.lit("SUCCESS").alias("status"),
+        moment(start_time).alias("start_time"),
+        moment(end_time).alias("end_time"),
         "records_ingested",
         "records_cleaned",
-        (F.col("records_cleaned") - F.col("records_kept")).alias("records_deduplicated"),
-        "records_rejected",
+        (F.col("records_cleaned") - F.col("_kept")).alias("records_deduplicated"),
+        (F.col("records_ingested") - F.col("records_cleaned")).alias("records_rejected"),
+        "data_quality_failures",
         success_rate(F.col("records_cleaned"), F.col("records_ingested")).alias("success_rate"),
+        F.array(*[F.lit(e) for e in errors]).cast("array<string>").alias("errors"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,33 +92,45 @@ def url_rule(column: str) -> Rule:
     return Rule(f"{column}_is_url", REGEX, column, {"pattern": URL_PATTERN})
 
 
-def _broken(rule: Rule) -> Column:
-    if rule.kind == UNIQUE:
-        return F.count(rule.column) - F.count_distinct(F.col(rule.column))
-    return F.count_if(~rule.holds())
+def _counts(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """(number, broken, rows) of each rule.
+
+    All rules on rows share one pass. A unique rule groups its own column, with partial
+    counts first, so no row is repeated for each of them.
+    """
+    plain = [i for i, r in enumerate(rules) if r.kind != UNIQUE]
+    rows = F.count(F.lit(1)).alias("rows")
+    parts = []
+    if plain:
+        counts = df.agg(rows, *[F.count_if(~rules[i].holds()).alias(f"_{i}") for i in plain])
+        entries = F.array(*[F.struct(F.lit(i).alias("number"), F.col(f"_{i}").alias("broken"), "rows") for i in plain])
+        parts.append(counts.select(F.inline(entries)))
+    for i, rule in enumerate(rules):
+        if rule.kind == UNIQUE:
+            groups = df.groupBy(rule.column).agg(F.count(F.lit(1)).alias("n"))
+            repeats = F.coalesce(F.sum(F.when(F.col(rule.column).isNotNull(), F.col("n") - 1)), F.lit(0))
+            parts.append(groups.agg(repeats.alias("broken"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).select(F.lit(i).alias("number"), "broken", "rows"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def check_rules(df: DataFrame, rules: list[Rule], run_id: str, timestamp: str | datetime) -> DataFrame:
-    """One row per rule: status, expected, actual, message. All rules share one pass."""
-    names = [f"_{i}" for i in range(len(rules))]
-    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[_broken(r).alias(n) for r, n in zip(rules, names)])
-    entries = []
-    for rule, name in zip(rules, names):
-        broken = F.col(name)
-        share = broken / F.greatest(F.col("_rows"), F.lit(1))
-        entries.append(
-            F.struct(
-                F.lit(run_id).alias("run_id"),
-                F.lit(rule.name).alias("rule_name"),
-                F.when(broken == 0, PASS).when(share <= rule.tolerance, WARNING).otherwise(FAIL).alias("status"),
-                F.lit(rule.column).alias("field_name"),
-                F.lit(rule.expected()).alias("expected_value"),
-                broken.cast("string").alias("actual_value"),
-                F.when(broken > 0, F.format_string(f"%d of %d rows break {rule.name}", broken, F.col("_rows"))).alias("error_message"),
-                F.lit(timestamp).cast("timestamp").alias("timestamp"),
-            )
-        )
-    return counts.select(F.inline(F.array(*entries)))
+    """One row per rule: status, expected, actual, message."""
+
+    def of_rule(values: list) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("number") + 1)
+
+    broken, name = F.col("broken"), of_rule([r.name for r in rules])
+    share = broken / F.greatest(F.col("rows"), F.lit(1))
+    return _counts(df, rules).select(
+        F.lit(run_id).alias("run_id"),
+        name.alias("rule_name"),
+        F.when(broken == 0, PASS).when(share <= of_rule([float(r.tolerance) for r in rules]), WARNING).otherwise(FAIL).alias("status"),
+        of_rule([r.column for r in rules]).alias("field_name"),
+        of_rule([r.expected() for r in rules]).cast("string").alias("expected_value"),
+        broken.cast("string").alias("actual_value"),
+        F.when(broken > 0, F.format_string("%d of %d rows break %s", broken, F.col("rows"), name)).alias("error_message"),
+        F.lit(timestamp).cast("timestamp").alias("timestamp"),
+    )
 
 
 def with_reasons(df: DataFrame, rules: list[Rule]) -> DataFrame:

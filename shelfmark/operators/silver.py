@@ -9,7 +9,7 @@ from pyspark.sql.types import ArrayType, DataType, StructType, TimestampType
 from shelfmark.functions import records
 from shelfmark.schemas import SILVER
 
-# Column names of the sources and what the canonical tables call them.
+# Column names of each kind of source and what the canonical tables call them.
 FIELD_MAPPING = {
     "title": "title",
     "price": "price_current",
@@ -88,9 +88,11 @@ def standard_category(
 def map_categories(df: DataFrame, mapping: DataFrame, column: str, default: str = "Unknown") -> DataFrame:
     """As ``standard_category`` with a (name, standard_name) table of any size.
 
-    Spark broadcasts the mapping if its measured size allows it and shuffles otherwise.
+    Names compare without case and outer blanks; of several entries for one name the
+    smallest counts. Spark broadcasts the mapping if its measured size allows it and
+    shuffles otherwise.
     """
-    lookup = mapping.select(F.lower("name").alias("_name"), F.col("standard_name").alias("_standard"))
+    lookup = mapping.groupBy(F.lower(F.trim("name")).alias("_name")).agg(F.min("standard_name").alias("_standard"))
     return (
         df.join(lookup, F.lower(F.trim(F.col(column))) == F.col("_name"), "left")
         .withColumn("category_standard", F.coalesce("_standard", F.lit(default)))

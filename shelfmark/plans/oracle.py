@@ -222,10 +222,10 @@ WHERE (side = 0 AND source_id NOT IN (SELECT source1_id FROM unique_best))
 _GOLD = f"""
 {_MATCHES}, book_ids AS (
   SELECT source1_id, source2_id, confidence_score, source1_id || '_' || source2_id AS source_key,
-         'bk_' || substr(sha256('catalogue_a:' || source1_id || '|catalogue_b:' || source2_id), 1, 16) AS book_id
+         'bk_' || substr(sha256('11:catalogue_a|' || length(source1_id) || ':' || source1_id || '|11:catalogue_b|' || length(source2_id) || ':' || source2_id), 1, 32) AS book_id
   FROM unique_best
 ), canonical AS (
-  SELECT coalesce(b.book_id, 'bk_' || substr(sha256(v.source || ':' || v.source_id), 1, 16)) AS book_id,
+  SELECT coalesce(b.book_id, 'bk_' || substr(sha256('11:' || v.source || '|' || length(v.source_id) || ':' || v.source_id), 1, 32)) AS book_id,
          coalesce(b.source_key, v.source_id || '_single') AS source_key, coalesce(v.isbn13, o.isbn13) AS isbn13,
          v.source || '=' || v.source_id || coalesce('|catalogue_b=' || b.source2_id, '') AS source_ids,
          v.title, array_to_string(v.authors, '|') AS authors, v.p_type AS primary_category, 'Books|' || v.p_type AS category_hierarchy,
@@ -236,7 +236,7 @@ _GOLD = f"""
   LEFT JOIN v o ON o.side = 1 AND o.source_id = b.source2_id
   WHERE v.side = 0 OR v.source_id NOT IN (SELECT source2_id FROM book_ids)
 ), prices AS (
-  SELECT coalesce(b.book_id, 'bk_' || substr(sha256(v.source || ':' || v.source_id), 1, 16)) AS book_id, v.source,
+  SELECT coalesce(b.book_id, 'bk_' || substr(sha256('11:' || v.source || '|' || length(v.source_id) || ':' || v.source_id), 1, 32)) AS book_id, v.source,
          v.price_current AS price, 'USD' AS currency, '2024-01-31 00:00:00' AS effective_date,
          coalesce((v.price_original - v.price_current) / v.price_original * 100 > 0, FALSE) AS is_discount,
          round((v.price_original - v.price_current) / v.price_original * 100, 6) AS discount_percentage
@@ -403,9 +403,10 @@ SQL["run_report"] = f"""
 WITH {_SILVER}, c AS (
   SELECT count(*) AS n, count(*) FILTER ({_REASONS} = '') AS good,
          count(DISTINCT content_hash) FILTER ({_REASONS} = '') AS kept FROM silver)
-SELECT 'run-1' AS run_id, 'catalogue_a' AS source, 'SUCCESS' AS status, n AS records_ingested, good AS records_cleaned,
-       good - kept AS records_deduplicated, n - good AS records_rejected, round(good / n * 100, 4) AS success_rate
-FROM c"""
+SELECT 'run-1' AS run_id, 'catalogue_a' AS source, 'SUCCESS' AS status, '2024-01-31 00:00:00' AS start_time,
+       '2024-01-31 00:05:00' AS end_time, n AS records_ingested, good AS records_cleaned, good - kept AS records_deduplicated,
+       n - good AS records_rejected, CAST(broken AS BIGINT) AS data_quality_failures, round(good / n * 100, 4) AS success_rate, '' AS errors
+FROM c, (SELECT sum((source_id IS NULL)::INT + (title IS NULL)::INT + (price_current IS NULL)::INT) AS broken FROM silver)"""
 
 # ---- storage and streams ---------------------------------------------------------
 
@@ -416,4 +417,6 @@ FROM silver CROSS JOIN (SELECT unnest(['b1', 'b2']) AS batch_id) WHERE {_REASONS
 
 SQL["incremental_load"] = f"SELECT doc_id, lang, source, content_hash FROM ({_FIRST_DOCUMENTS})"
 
+SQL["incremental_restart"] = SQL["incremental_load"]
+
 SQL["stream_dedup"] = "SELECT DISTINCT user_id, event_type FROM events"

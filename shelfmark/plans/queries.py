@@ -470,11 +470,11 @@ def profile_groups(spark, folder):
 
 @query
 def run_report(spark, folder):
-    rows = _silver(spark, folder)
-    accepted, rejected = quality.split_rows(rows, quality.silver_rules())
-    kept = dedupe.dedupe_latest(accepted)
-    return profiles.run_metrics(parsed_parts(spark, folder), accepted, kept, rejected, "run-1", "catalogue_a").withColumn(
-        "success_rate", F.round("success_rate", 4)
+    checked = quality.with_reasons(_silver(spark, folder), quality.silver_rules())
+    report = profiles.run_metrics(checked, "run-1", "catalogue_a", RUN_TS, "2024-01-31 00:05:00")
+    return report.select(
+        "run_id", "source", "status", _time("start_time"), _time("end_time"), "records_ingested", "records_cleaned", "records_deduplicated",
+        "records_rejected", "data_quality_failures", F.round("success_rate", 4).alias("success_rate"), _joined("errors"),
     )
 
 
@@ -491,10 +491,8 @@ def roundtrip_partitioned(spark, folder):
     return back.select("batch_id", "source_id", "title", "price_current", "content_hash")
 
 
-@query
-def incremental_load(spark, folder):
-    """Documents from the stream of files to a table without repeated texts."""
-    path, state = work_folder(spark, "documents"), work_folder(spark, "stream")
+def _load_documents(spark, folder, path, states):
+    """Documents from the stream of files to a table without repeated texts, once per checkpoint folder."""
     schema = spark.read.parquet(f"{folder}/documents.parquet").schema
     stream = incremental.read_new_files(spark, folder, schema, "documents.parquet")
 
@@ -504,10 +502,23 @@ def incremental_load(spark, folder):
         )
 
     target = to_rows(spark.read.parquet(f"{folder}/documents.parquet")).schema
-    store = incremental.append_unseen(path, target, ("content_hash",), ties=("doc_id",), partitions=("batch_id",))
-    for _ in range(2):  # the second start finds no new files
+    store = incremental.append_unseen(path, target, ("content_hash",), ties=("doc_id",))
+    for state in states:
         incremental.load_increment(stream, to_rows, store, state).awaitTermination()
-    return tables.read_layer(spark, path, target, partitions=("batch_id",)).select("doc_id", "lang", "source", "content_hash")
+    stored = tables.read_layer(spark, path, target, partitions=("bucket", "batch_id"))
+    return stored.select("doc_id", "lang", "source", "content_hash")
+
+
+@query
+def incremental_load(spark, folder):
+    """The second start finds no new files."""
+    return _load_documents(spark, folder, work_folder(spark, "documents"), [work_folder(spark, "stream")] * 2)
+
+
+@query
+def incremental_restart(spark, folder):
+    """A start with a new checkpoint reads all files again, adds nothing and loses nothing."""
+    return _load_documents(spark, folder, work_folder(spark, "documents"), [work_folder(spark, "stream"), work_folder(spark, "stream")])
 
 
 @query

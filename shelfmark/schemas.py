@@ -145,6 +145,8 @@ RUN_REPORT = _table(
         "records_cleaned": LongType(),
         "records_deduplicated": LongType(),
         "records_rejected": LongType(),
+        "data_quality_failures": LongType(),
         "success_rate": _DBL,
+        "errors": _STRS,
     },
 )

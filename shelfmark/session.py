@@ -39,6 +39,8 @@ def work_folder(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="shelfmark-")
+    elif root.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must be a folder shared by all executors, not a local one")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -38,11 +39,6 @@ def write_batch(
     return (path, rows) if rows else (None, 0)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
-
-
 def read_layer(
     spark: SparkSession,
     path: str,
@@ -55,11 +51,14 @@ def read_layer(
 
     The filters fall on partition columns, so only their folders are read.
     """
-    if not _exists(spark, path):
-        return None
     named = {f.name for f in schema}
     full = StructType([*schema.fields, *[StructField(p, StringType()) for p in partitions if p not in named]])
-    df = spark.read.schema(full).parquet(path)
+    try:
+        df = spark.read.schema(full).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
     if source is not None:
         df = df.where(F.col("source") == source)
     if batch_id is not None:

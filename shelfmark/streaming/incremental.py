@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
-from shelfmark.operators.dedupe import dedupe_latest, new_or_changed
-from shelfmark.sources.tables import PARTITIONS, read_layer, write_batch
+from shelfmark.operators.dedupe import dedupe_latest, key_digest, new_or_changed
+from shelfmark.sources.tables import read_layer, write_batch
 
 IDENTITY = ("source", "source_id", "content_hash")
 
@@ -30,22 +32,30 @@ def append_unseen(
     identity: tuple[str, ...] = IDENTITY,
     latest: str = "ingested_at",
     ties: tuple[str, ...] = ("source", "source_id"),
-    partitions: tuple[str, ...] = PARTITIONS,
+    partitions: tuple[str, ...] = (),
+    buckets: int = 16,
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that stores the rows of a batch not stored before.
+    """A ``foreachBatch`` function that stores the rows whose identity is not stored yet.
 
-    A batch writes the partition of its own number, so a batch that is repeated after
-    a failure replaces what it left instead of adding to it. For the same reason it is
-    compared with the other batches only.
+    Every batch adds files of its own and replaces nothing, so a new checkpoint, whose
+    batch numbers start again, loses no stored row; and all of the table counts as
+    stored, so a batch that comes again, from any checkpoint, adds nothing. Identities
+    with nulls compare as values. The table is partitioned by a hash of the identity,
+    and a batch reads the partitions that it touches only.
     """
 
+    def bucket(rows: DataFrame) -> DataFrame:
+        digest = F.xxhash64(key_digest(*identity))
+        return rows.withColumn("bucket", F.format_string("%05d", F.pmod(digest, F.lit(buckets))))
+
     def store(batch: DataFrame, number: int) -> None:
-        batch_id = f"{number:012d}"
-        rows = dedupe_latest(batch, list(identity), latest, list(ties))
-        stored = read_layer(batch.sparkSession, target, schema, partitions=partitions)
+        columns = ("bucket", *partitions, "batch_id")
+        rows = bucket(dedupe_latest(batch, list(identity), latest, list(ties)))
+        stored = read_layer(batch.sparkSession, target, schema, partitions=columns)
         if stored is not None:
-            rows = new_or_changed(rows, stored.where(stored["batch_id"] < batch_id), list(identity))
-        write_batch(rows, target, batch_id, partitions)
+            touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # at most ``buckets`` names
+            rows = new_or_changed(rows, stored.where(F.col("bucket").isin(touched)), list(identity))
+        write_batch(rows, target, f"{number:012d}-{uuid.uuid4().hex}", columns)
 
     return store
 

@@ -35,10 +35,14 @@ def test_last_known_equals_plain_window(spark):
     assert sorted(map(str, mine.collect())) == sorted(map(str, expected.collect()))
 
 
-def test_windows_run_per_bucket(spark):
-    plan = with_neighbours(log(spark), ["k"], "t", ["i"], {"p": "v"})._jdf.queryExecution().executedPlan().toString()
-    rows_window = [line for line in plan.split("\n") if "hashpartitioning(k" in line and "_bucket" in line]
-    assert rows_window
+def test_rows_are_shuffled_once(spark, tmp_path):
+    log(spark).write.parquet(str(tmp_path / "log"))
+    seen = with_neighbours(spark.read.parquet(str(tmp_path / "log")), ["k"], "t", ["i"], {"p": "v"}, {"n": "v"})
+    seen.collect()
+    plan = seen._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    exchanges = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line and "Reused" not in line]
+    assert sum("_key#" in line for line in exchanges) == 1 and len(exchanges) == 2
+    assert plan.count("ReusedExchange") == 1 and plan.count("Scan parquet") == 1 and "Join" not in plan
 
 
 def test_versions_do_not_overlap_and_one_is_current(spark):

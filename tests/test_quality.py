@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark.operators.silver import schema_differences
+from shelfmark.schemas import RUN_REPORT
 from shelfmark.operators import profiles, quality, silver
 from tests_support import parsed
 
@@ -66,10 +68,16 @@ def test_success_rate(spark):
 
 
 def test_run_metrics(spark):
-    full, some, none = spark.range(10), spark.range(8), spark.range(0)
-    row = profiles.run_metrics(full, some, spark.range(7), spark.range(2), "r", "shop").collect()[0]
+    rows = [(str(i % 7), []) for i in range(8)] + [("8", ["a"]), ("9", ["a", "b"])]
+    checked = spark.createDataFrame(rows, "content_hash string, reasons array<string>")
+    report = profiles.run_metrics(checked, "r", "shop", "2024-01-01 10:00:00", "2024-01-01 10:01:00")
+    row = report.collect()[0]
     assert (row.records_ingested, row.records_cleaned, row.records_deduplicated, row.records_rejected, row.success_rate) == (10, 8, 1, 2, 80.0)
-    assert profiles.run_metrics(none, none, none, none, "r", "shop").collect()[0].success_rate == 0.0
+    assert (row.status, row.data_quality_failures, row.errors) == ("SUCCESS", 3, []) and str(row.end_time - row.start_time) == "0:01:00"
+    assert schema_differences(report, RUN_REPORT) == []
+    assert "Expand" not in report._jdf.queryExecution().executedPlan().toString()
+    empty = profiles.run_metrics(checked.limit(0), "r", "shop", "2024-01-01", errors=["no input"]).collect()[0]
+    assert (empty.records_ingested, empty.success_rate, empty.status, empty.errors) == (0, 0.0, "FAILED", ["no input"])
 
 
 def test_profiles(spark):

@@ -3,8 +3,10 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import TABLES, rows_of
+from shelfmark.plans.oracle import SQL
+from shelfmark.plans.queries import QUERIES
 
 DATA = "/root/testdata/sf0.001"
 
@@ -18,16 +20,16 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, db, name):
-    mine = queries()[name](spark, DATA).toPandas()
-    theirs = db.execute(oracle_sql()[name]).df()
+    mine = QUERIES[name](spark, DATA).toPandas()
+    theirs = db.execute(SQL[name]).df()
     assert sorted(mine.columns) == sorted(theirs.columns)
     assert rows_of(mine) == rows_of(theirs)
