@@ -29,26 +29,36 @@ def row_key() -> Column:
     return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce("text", F.lit(""))))
 
 
+def fresh(name: str, docs: DataFrame) -> str:
+    """A name that no column of ``docs`` has."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
+
+
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose key is not in ``gone`` (_key)."""
-    gone = written(gone.select("_key").distinct(), "pipeline-gone")
+    key = fresh("_key", docs)
+    gone = written(gone.select(F.col("_key").alias(key)).distinct(), "pipeline-gone")
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    return docs.withColumn("_key", row_key()).join(gone, "_key", "left_anti").select(docs.columns)
+    return docs.withColumn(key, row_key()).join(gone, key, "left_anti").select(docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     model = toxicity.fit(docs.select("doc_id", "text"), labels)
-    return toxicity.score(docs, model, "_score").where("_score < 0.5").select(docs.columns)
+    score = fresh("_score", docs)
+    return toxicity.score(docs, model, score).where(F.col(score) < 0.5).select(docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    done = line_dedup.dedup_lines(docs, "_lines", "_removed")
+    lines, removed = fresh("_lines", docs), fresh("_removed", docs)
+    done = line_dedup.dedup_lines(docs, lines, removed)
     bare = F.translate("text", " \t\n\x0b\x0c\r", "") == ""
-    kept = done.where(~((F.col("_removed") > 0) & bare))
+    kept = done.where(~((F.col(removed) > 0) & bare))
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        kept = kept.withColumn("n_chars", F.when(F.col(removed) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return kept.select(docs.columns)
 
 
@@ -64,7 +74,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     # rows that repeat id and text; texts without words are similar to nothing and stay
     worded = F.col("text").rlike("[0-9A-Za-z\\x{80}-\\x{10FFFF}]")
     bare = kept.where(~F.coalesce(worded, F.lit(False)))
-    return kept.where(worded).withColumn("_key", row_key()).dropDuplicates(["_key"]).select(docs.columns).unionByName(bare)
+    key = fresh("_key", docs)
+    return kept.where(worded).withColumn(key, row_key()).dropDuplicates([key]).select(docs.columns).unionByName(bare)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

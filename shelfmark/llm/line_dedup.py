@@ -198,32 +198,38 @@ def dedup_lines(docs: DataFrame, lines_column: str = "n_lines", removed_column:
     Texts travel packed to where the numbers of their lines are.
     """
     kept = [c for c in docs.columns if c not in ("text", lines_column, removed_column)]
-    tied = docs.select(*kept, "text", F.xxhash64("text").alias("_tie"))
+    inner = "_" * (1 + max(map(len, docs.columns)))  # before a name: no column of the input has it
+    tie_, body_, remove_, id_, other_ = (inner + name for name in ("tie", "body", "remove", "id", "other"))
+    tied = docs.select(*kept, "text", F.xxhash64("text").alias(tie_))
 
     def pack(batches):
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             body = [packer.compress(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], batch.column("_tie"), pa.array(body, pa.binary())], [*kept, "_tie", "_body"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], batch.column(tie_), pa.array(body, pa.binary())], [*kept, tie_, body_])
 
     def cut(batches):
         opener = zstandard.ZstdDecompressor()
         for batch in batches:
-            out, n_lines, n_removed = [], [], []
-            for body, remove in zip(batch.column("_body"), batch.column("_remove"), strict=True):
-                text = opener.decompress(body.as_py()).decode()
+            first, size, done = 0, 0, []
+            for i in range(batch.num_rows):
+                text = opener.decompress(batch.column(body_)[i].as_py()).decode()
                 every = text.split("\n")
-                gone = set(remove.as_py() or ())
-                out.append("\n".join(line for k, line in enumerate(every) if k not in gone) if gone else text)
-                n_lines.append(len(every))
-                n_removed.append(len(gone))
-            columns = [pa.array(out, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *columns], [*kept, "text", lines_column, removed_column])
+                gone = set(batch.column(remove_)[i].as_py() or ())
+                text = "\n".join(line for k, line in enumerate(every) if k not in gone) if gone else text
+                done.append((text, len(every), len(gone)))
+                size += len(text)
+                if size > 16 * BLOCK or i == batch.num_rows - 1:
+                    columns = [pa.array([d[k] for d in done], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64()))]
+                    rest = batch.slice(first, len(done))
+                    yield pa.RecordBatch.from_arrays([*[rest.column(c) for c in kept], *columns], [*kept, "text", lines_column, removed_column])
+                    first, size, done = i + 1, 0, []
 
     plain = docs.select(kept).schema
-    packed = tied.mapInArrow(pack, StructType([*plain, StructField("_tie", LongType()), StructField("_body", BinaryType())]))
-    gone = removed_lines(tied.select("doc_id", F.col("_tie").alias("tie"), "text")).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_gone"), F.col("remove").alias("_remove"))
-    joined = packed.join(gone, packed["doc_id"].eqNullSafe(gone["_id"]) & (packed["_tie"] == gone["_gone"]), "left")
+    packed = tied.mapInArrow(pack, StructType([*plain, StructField(tie_, LongType()), StructField(body_, BinaryType())]))
+    lines = removed_lines(tied.select("doc_id", F.col(tie_).alias("tie"), "text"))
+    lines = lines.select(F.col("doc_id").alias(id_), F.col("tie").alias(other_), F.col("remove").alias(remove_))
+    joined = packed.join(lines, packed["doc_id"].eqNullSafe(lines[id_]) & (packed[tie_] == lines[other_]), "left")
     result = StructType([*plain, StructField("text", StringType()), StructField(lines_column, LongType()), StructField(removed_column, LongType())])
-    return joined.select(*kept, "_body", "_remove").mapInArrow(cut, result)
+    return joined.select(*kept, body_, remove_).mapInArrow(cut, result)
