@@ -76,7 +76,7 @@ def product_pages(spark: SparkSession, folder: str) -> DataFrame:
     """A product page per part, as a bronze table.
 
     The narrow rows are spread before they become pages: parsing is bound by CPU, and
-    the parts are few bytes in few splits.
+    the parts are few bytes in few splits. A real bronze table has splits enough.
     """
     html = """concat(
       '<!DOCTYPE html><html><head><title>', p_name, '</title></head><body><ul class="breadcrumb">',
@@ -132,3 +132,33 @@ def api_records(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").selectExpr(
         f"if(p_partkey % 25 = 0, substr({body}, 1, 30), {body}) as raw_content"
     )
+
+
+def nested_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Listing-like pages whose elements nest, whose classes stand in any order, and whose texts hold many characters."""
+    html = """concat(
+      '<div class="next"><a href="wrong.html">no</a></div><div class="breadcrumb"><div>x</div><ul><li>Home<ul><li>Books</li></ul></li>',
+      '<li><b>', p_type, '</b> &Eacute;&frac12;&#x00000E9;&NotEqualTilde;</li></ul></div>',
+      '<div class="active big item"><div><span><img alt="" src="../pic/', p_partkey, '.jpg"></span></div></div>',
+      '<h3><b>New</b> <a href="one-', p_partkey, '.html">1</a> or <a href="two-', p_partkey, '.html">2</a></h3><a href="none.html">n</a>',
+      '<div class="price_color"><div>was</div> $', p_partkey, '</div>',
+      if(p_partkey % 4 = 0, '', concat('<ul><li class="page next"><a href="page-', p_partkey + 1, '.html">next</a></li></ul>')))"""
+    url = "concat('http://shop.example.com/catalogue/category/books/p_1/page-', p_partkey, '.html')"
+    return table(spark, folder, "part").selectExpr("p_partkey", f"{url} as source_url", f"{html} as raw_content")
+
+
+def home_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """A home page for each size, with the types of its parts as the category list."""
+    entry = F.concat(F.lit('<li><a href="catalogue/category/books/'), "p_type", F.lit('_1/index.html">\n  '), "p_type", F.lit(" &amp; more</a></li>"))
+    return (
+        table(spark, folder, "part")
+        .groupBy("p_size")
+        .agg(F.array_sort(F.collect_set(F.struct("p_type", entry.alias("entry")))).alias("e"))
+        .select(
+            F.concat(F.lit("http://shop.example.com/"), F.col("p_size").cast("string"), F.lit("/index.html")).alias("source_url"),
+            F.concat(
+                F.lit('<a href="top.html">top</a><div class="side_categories"><ul class="nav"><li><a href="all.html">Books</a><ul>'),
+                F.array_join("e.entry", ""), F.lit('</ul></li></ul></div><a href="end.html">end</a>'),
+            ).alias("raw_content"),
+        )
+    )

@@ -41,9 +41,28 @@ SELECT p_name || ' & ' || p_brand AS title,
          || '|upc=' || CASE WHEN p_partkey % 6 = 0 THEN '' ELSE 'u' || p_partkey END AS product_info,
        CASE WHEN p_partkey % 6 = 0 THEN 'x' ELSE 'u' END || p_partkey AS upc,
        'http://shop.example.com/media/' || p_partkey || '.jpg' AS image_url,
-       'http://shop.example.com/catalogue/part-' || p_partkey || '/index.html' AS source_url
+       'http://shop.example.com/catalogue/part-' || p_partkey || '/index.html' AS source_url,
+       CAST(NULL AS DOUBLE) AS price_original, '200' AS http_status, '2024-01-31 00:00:00' AS ingested_at
 FROM part WHERE p_size <> 50 AND p_partkey % 50 <> 0"""
 
+SQL["page_selectors"] = """
+SELECT p_partkey, p_type || ' É½é≂̸' AS category, '../pic/' || p_partkey || '.jpg' AS image, 'was $' || p_partkey AS price,
+       CASE WHEN p_partkey % 4 <> 0 THEN 'http://shop.example.com/catalogue/category/books/p_1/page-' || (p_partkey + 1) || '.html' END AS next_url
+FROM part"""
+
+SQL["links_inside_headings"] = """
+SELECT 'http://shop.example.com/catalogue/category/books/p_1/page-' || p_partkey || '.html' AS source_url, CAST(position AS BIGINT) AS position,
+       'http://shop.example.com/catalogue/category/books/p_1/' || CASE position WHEN 0 THEN 'one-' ELSE 'two-' END || p_partkey || '.html' AS link
+FROM part CROSS JOIN (SELECT unnest([0, 1]) AS position)"""
+
+SQL["category_list"] = """
+SELECT 'http://shop.example.com/' || p_size || '/index.html' AS source_url, row_number() OVER (PARTITION BY p_size ORDER BY p_type) - 1 AS position,
+       p_type || ' & more' AS name, 'http://shop.example.com/' || p_size || '/catalogue/category/books/' || p_type || '_1/index.html' AS link
+FROM (SELECT DISTINCT p_size, p_type FROM part)"""
+
+SQL["rejected_api_json"] = """
+SELECT substr('{"title":"' || p_name || ' ' || p_brand || '","subtitle":"', 1, 30) AS malformed FROM part WHERE p_partkey % 25 = 0"""
+
 SQL["rejected_pages"] = """
 SELECT 'http://shop.example.com/catalogue/part-' || p_partkey || '/index.html' AS source_url, 'price_current' AS missing_fields
 FROM part WHERE p_size <> 50 AND p_partkey % 50 = 0"""
@@ -134,7 +153,22 @@ _FIRST_DOCUMENTS = """
 SELECT doc_id, lang, source, n_chars, md5(text) AS content_hash FROM documents
 QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) = 1"""
 
-SQL["dedupe_latest"] = _FIRST_DOCUMENTS
+SQL["dedupe_latest"] = """
+WITH d AS (
+  SELECT doc_id, lang, source, n_chars, md5(text) AS content_hash,
+         CASE WHEN doc_id % 7 <> 0 THEN TIMESTAMP '2024-01-31' + to_days(CAST(doc_id % 28 AS INTEGER)) END AS t FROM documents)
+SELECT doc_id, lang, source, n_chars, content_hash, strftime(t, '%Y-%m-%d %H:%M:%S') AS ingested_at FROM d
+QUALIFY row_number() OVER (PARTITION BY content_hash ORDER BY t DESC NULLS LAST, doc_id) = 1"""
+
+SQL["mapped_fields"] = """
+SELECT p_name AS title, p_retailprice AS price_current, 'in_stock' AS availability, p_size / 10.0::DOUBLE AS rating,
+       'http://example.com/' || p_partkey AS product_url, replace(p_name, ' ', '|') AS authors FROM part"""
+
+SQL["silver_coercion"] = f"""
+WITH {_SILVER}
+SELECT product_url, CASE WHEN upc IS NULL THEN '' ELSE coalesce(title, '') END AS authors,
+       CASE WHEN upc IS NOT NULL THEN '2024-01-31 10:00:00' END AS ingested_at
+FROM (SELECT url AS product_url, upc, title FROM parsed)"""
 
 SQL["change_detect"] = """
 WITH d AS (SELECT doc_id, lang, source, md5(text) AS content_hash FROM documents)
@@ -199,6 +233,14 @@ round(author_match_score, 6) AS author_match_score, round(confidence_score, 6) A
 SQL["match_books"] = f"WITH {_MATCHES} SELECT {_MATCH_COLUMNS} FROM best"
 SQL["match_one_to_one"] = f"WITH {_MATCHES} SELECT {_MATCH_COLUMNS} FROM unique_best"
 
+_REPEATED = _MATCHES.replace("'p' || p_partkey AS source_id", "'q' || (p_partkey // 6) AS source_id").replace(
+    "string_split(p_name, ' ') AS authors", "CASE WHEN p_partkey % 5 <> 0 THEN string_split(p_name, ' ') END AS authors"
+).replace(
+    "0.3::DOUBLE * len(list_intersect(a.authors, b.authors))\n           / len(list_distinct(list_concat(a.authors, b.authors)))",
+    "coalesce(0.3::DOUBLE * len(list_intersect(a.authors, b.authors)) / len(list_distinct(list_concat(a.authors, b.authors))), 0.0::DOUBLE)",
+)
+SQL["match_repeated_ids"] = f"WITH {_REPEATED} SELECT source1_id, source2_id, round(confidence_score, 6) AS confidence_score FROM best"
+
 SQL["match_best_titles"] = f"""
 WITH {_SIDES}, ids AS (SELECT lower(title) AS title, min(source_id) AS id FROM v WHERE side = 1 GROUP BY 1)
 SELECT t1 AS title, t2 AS best_title, id AS best_id, round(sim, 6) AS similarity
@@ -415,6 +457,27 @@ WITH {_SILVER}
 SELECT batch_id, source_id, title, price_current, content_hash
 FROM silver CROSS JOIN (SELECT unnest(['b1', 'b2']) AS batch_id) WHERE {_REASONS} = ''"""
 
+SQL["json_roundtrip"] = SQL["parse_api_json"]
+
+SQL["sample_file"] = f"WITH {_SILVER} SELECT source_id, title, product_url FROM silver ORDER BY product_url LIMIT 25"
+
+SQL["files_by_name"] = f"WITH {_SILVER} SELECT source_id, title FROM silver"
+
+SQL["gold_roundtrip"] = f"""
+WITH {_PRICE_LOG}
+SELECT 'orders' AS source, 'USD' AS currency, coalesce((price_original - price) / price_original * 100 > 0, FALSE) AS is_discount,
+       count(*) AS rows, round(sum(price), 2) AS price_sum
+FROM log GROUP BY 3"""
+
+SQL["report_roundtrip"] = f"""
+WITH {_SILVER}
+SELECT 'run-1' AS run_id, 'SUCCESS' AS status, '2024-01-31 00:00:00' AS start_time, CAST(NULL AS VARCHAR) AS end_time,
+       count(*) AS records_ingested, count(*) FILTER ({_REASONS} <> '') AS records_rejected FROM silver"""
+
+SQL["verified_write"] = f"""
+WITH {_SILVER}
+SELECT count(*) AS rows_expected, count(*) AS rows_actual, TRUE AS equal FROM silver WHERE source_id IS NOT NULL"""
+
 SQL["incremental_load"] = f"SELECT doc_id, lang, source, content_hash FROM ({_FIRST_DOCUMENTS})"
 
 SQL["incremental_restart"] = SQL["incremental_load"]

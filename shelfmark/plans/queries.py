@@ -14,12 +14,14 @@ from shelfmark.plans.inputs import (
     RUN_TS,
     api_records,
     catalogue,
+    home_pages,
     listing_pages,
+    nested_pages,
     parsed_parts,
     product_pages,
     table,
 )
-from shelfmark.schemas import SILVER
+from shelfmark.schemas import PARSED, PRICE_HISTORY, RUN_REPORT, SILVER
 from shelfmark.session import work_folder
 from shelfmark.sources import tables
 from shelfmark.streaming import incremental
@@ -93,16 +95,43 @@ def raw_hash(spark, folder):
     )
 
 
-def _parsed_text(parsed: DataFrame) -> DataFrame:
+def _parsed_text(parsed: DataFrame, *more: str | Column) -> DataFrame:
     return parsed.select(
         "title", _joined("authors"), "price_current", "currency", "availability", "rating", _text("num_reviews"),
-        "description", "category", _pairs("product_info"), "upc", "image_url", "source_url",
+        "description", "category", _pairs("product_info"), "upc", "image_url", "source_url", *more,
     )
 
 
 @query
 def parse_product_pages(spark, folder):
-    return _parsed_text(bronze.parse_pages(product_pages(spark, folder)))
+    return _parsed_text(bronze.parse_pages(product_pages(spark, folder)), "price_original", _text("http_status"), "ingested_at")
+
+
+@query
+def page_selectors(spark, folder):
+    page = F.col("raw_content")
+    return nested_pages(spark, folder).select(
+        "p_partkey",
+        bronze.category_from_breadcrumb(page).alias("category"),
+        bronze.image_source(page).alias("image"),
+        bronze.price_text(page).alias("price"),
+        bronze.next_page(page, F.col("source_url")).alias("next_url"),
+    )
+
+
+@query
+def links_inside_headings(spark, folder):
+    return bronze.page_links(nested_pages(spark, folder), "h3").select("source_url", _long("position"), "link")
+
+
+@query
+def category_list(spark, folder):
+    return bronze.category_links(home_pages(spark, folder)).select("source_url", _long("position"), "name", "link")
+
+
+@query
+def rejected_api_json(spark, folder):
+    return bronze.rejected_api_records(api_records(spark, folder))
 
 
 @query
@@ -178,8 +207,31 @@ def schema_nulls(spark, folder):
 
 @query
 def dedupe_latest(spark, folder):
-    documents = table(spark, folder, "documents").select("doc_id", "lang", "source", "n_chars", F.md5("text").alias("content_hash"))
-    return dedupe.keep_first(documents, ["content_hash"], [F.col("doc_id")])
+    """The latest row of each text; some rows have no time."""
+    day = F.when(F.col("doc_id") % 7 != 0, F.timestamp_add("DAY", (F.col("doc_id") % 28).cast("int"), F.lit(RUN_TS).cast("timestamp")))
+    rows = table(spark, folder, "documents").select("doc_id", "lang", "source", "n_chars", F.md5("text").alias("content_hash"), day.alias("ingested_at"))
+    return dedupe.dedupe_latest(rows, ["content_hash"], ties=["doc_id"]).select("doc_id", "lang", "source", "n_chars", "content_hash", _time("ingested_at"))
+
+
+@query
+def mapped_fields(spark, folder):
+    """Source columns under their canonical names, and author lists without blanks."""
+    rows = table(spark, folder, "part").select(
+        F.col("p_name").alias("title"), F.col("p_retailprice").alias("price"), F.lit("in_stock").alias("availability"),
+        (F.col("p_size") / 10.0).alias("rating"), F.concat(F.lit("http://example.com/"), F.col("p_partkey").cast("string")).alias("url"),
+        F.array_append(F.transform(F.split("p_name", " "), lambda n: F.concat(F.lit("  "), n, F.lit(" "))), F.lit("  ")).alias("authors"),
+    )
+    done = silver.with_clean_authors(silver.rename_fields(rows))
+    return done.select("title", "price_current", "availability", "rating", "product_url", _joined("authors"))
+
+
+@query
+def silver_coercion(spark, folder):
+    """Authors given as one text, and times that are no times."""
+    rows = parsed_parts(spark, folder).withColumns(
+        {"authors": F.when(F.col("upc").isNotNull(), F.col("title")), "ingested_at": F.when(F.col("upc").isNull(), "soon").otherwise(F.col("ingested_at"))}
+    )
+    return silver.clean(rows, "catalogue_a").select("product_url", _joined("authors"), _time("ingested_at"))
 
 
 @query
@@ -231,6 +283,18 @@ def match_one_to_one(spark, folder):
     return _match_text(_matches(spark, folder, one_to_one=True))
 
 
+@query
+def match_repeated_ids(spark, folder):
+    """One pair per id of side 1, though three rows share an id and some have no authors."""
+
+    def side(n: int) -> DataFrame:
+        key = F.substring("source_id", 2, 20).cast("bigint")
+        authors = F.when(key % 5 != 0, F.col("authors"))
+        return catalogue(spark, folder, n).withColumns({"authors": authors, "source_id": F.concat(F.lit("q"), F.floor(key / 6).cast("string"))})
+
+    return matching.match(side(0), side(1)).select("source1_id", "source2_id", _round("confidence_score"))
+
+
 @query
 def match_best_titles(spark, folder):
     a, b = _sides(spark, folder)
@@ -491,6 +555,59 @@ def roundtrip_partitioned(spark, folder):
     return back.select("batch_id", "source_id", "title", "price_current", "content_hash")
 
 
+@query
+def json_roundtrip(spark, folder):
+    """Parsed records as JSON lines and back with their types."""
+    path = work_folder(spark, "bronze")
+    tables.write_json(bronze.parse_api_records(api_records(spark, folder)), path)
+    return _parsed_text(tables.read_json(spark, path, PARSED))
+
+
+@query
+def sample_file(spark, folder):
+    path = work_folder(spark, "sample")
+    tables.write_sample(_silver(spark, folder), path, ["product_url"], 25)
+    return spark.read.schema("source_id string, title string, product_url string").json(path)
+
+
+@query
+def files_by_name(spark, folder):
+    path = work_folder(spark, "silver")
+    tables.write_batch(_silver(spark, folder).select("source", "source_id", "title"), path, "b1")
+    return tables.read_matching_files(spark, path).select("source_id", "title")
+
+
+@query
+def gold_roundtrip(spark, folder):
+    """Price facts written by source and read with the schema of the layer."""
+    path = work_folder(spark, "gold")
+    log = _price_log(spark, folder).select(
+        F.col("book_id").cast("string").alias("book_id"), F.lit("orders").alias("source"), "price", F.lit("USD").alias("currency"),
+        F.col("effective_date").cast("timestamp").alias("effective_date"), *facts.discount_columns(F.col("price"), F.col("price_original")),
+    )
+    tables.write_batch(log, path, partitions=("source",))
+    back = tables.read_layer(spark, path, PRICE_HISTORY, source="orders", partitions=("source",))
+    return back.groupBy("source", "currency", "is_discount").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("price"), 2).alias("price_sum"))
+
+
+@query
+def report_roundtrip(spark, folder):
+    path = work_folder(spark, "report")
+    checked = quality.with_reasons(_silver(spark, folder), quality.silver_rules())
+    tables.write_report(profiles.run_metrics(checked, "run-1", "catalogue_a", RUN_TS), path)
+    return tables.read_json(spark, path, RUN_REPORT).select("run_id", "status", _time("start_time"), _time("end_time"), "records_ingested", "records_rejected")
+
+
+@query
+def verified_write(spark, folder):
+    """Counts of what was written and read; an empty batch in between leaves nothing."""
+    path = work_folder(spark, "silver")
+    rows = _silver(spark, folder).where("source_id is not null")
+    tables.write_batch(rows, path, "b1")
+    tables.write_batch(rows.limit(0), path, "b2")
+    return tables.verify_written(rows, tables.read_layer(spark, path, SILVER))
+
+
 def _load_documents(spark, folder, path, states):
     """Documents from the stream of files to a table without repeated texts, once per checkpoint folder."""
     schema = spark.read.parquet(f"{folder}/documents.parquet").schema

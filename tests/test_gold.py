@@ -121,3 +121,34 @@ def test_category_dimension(spark):
     assert nodes["Books"].parent_category_id is None and nodes["Books"].level == 1
     assert nodes["Books > Travel > Asia"].parent_category_id == nodes["Books > Travel"].category_id
     assert nodes["Books > Travel > Asia"].category_name == "Asia"
+
+
+def test_ids_of_books_without_id(spark):
+    rows = spark.createDataFrame(
+        [("a", None, None, "One", ["x"], "Books > T"), ("a", None, None, "Two", ["x"], "Books > T"), ("a:b", "c", None, "T", None, None), ("a", "b:c", None, "T", None, None)],
+        "source string, source_id string, isbn13 string, title string, authors array<string>, category_path string",
+    )
+    matches = spark.createDataFrame([], "source1_source string, source1_id string, source2_source string, source2_id string, source2_isbn13 string, source2_authors array<string>, source2_category string, confidence_score double")
+    books = dimension.build_dimension(rows, matches, "2024-01-01")
+    assert len({r.book_id for r in books.collect()}) == 4
+    assert {r.book_id for r in dimension.with_book_ids(rows, matches).collect()} == {r.book_id for r in books.collect()}
+    again = dimension.merge_versions(books, books.unionByName(books.withColumn("title", F.concat("title", F.lit("!")))), "2024-02-01")
+    assert again.groupBy("book_id").agg(F.count_if("is_current").alias("n")).where("n <> 1").count() == 0
+    assert dimension.merge_versions(books, books, "2024-02-01").count() == 4
+
+
+def test_merge_with_null_and_repeated_keys(spark):
+    schema = "book_id string, title string, valid_from timestamp, valid_to timestamp, is_current boolean, version int"
+    empty = spark.createDataFrame([], schema)
+    new = spark.createDataFrame([(None, "n"), ("k", "b"), ("k", "a")], "book_id string, title string")
+    first = dimension.merge_versions(empty, new, "2024-01-01", tracked=["title"])
+    assert sorted((r.book_id or "", r.title, r.version) for r in first.collect()) == [("", "n", 1), ("k", "a", 1)]
+    second = dimension.merge_versions(first, new, "2024-02-01", tracked=["title"])
+    assert sorted(map(str, second.collect())) == sorted(map(str, first.collect()))
+
+
+def test_steps_next_to_missing_prices(spark):
+    rows = [("k", 1, 10.0), ("k", 2, None), ("k", 3, 12.0), (None, 1, 1.0), (None, 9, 2.0)]
+    prices = spark.createDataFrame(rows, "book_id string, day int, price double").withColumns({"source": F.lit("s"), "effective_date": F.timestamp_add("DAY", F.col("day") * 40, F.to_timestamp(F.lit("2024-01-01")))})
+    got = facts.price_changes(prices).select("book_id", "previous_price", "price").collect()
+    assert sorted((r.book_id or "", r.previous_price, r.price) for r in got) == [("", 1.0, 2.0), ("k", 10.0, 12.0)]

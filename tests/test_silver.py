@@ -110,3 +110,19 @@ def test_new_or_changed(spark):
     out = dedupe.new_or_changed(batch, stored).collect()
     assert {(r.source_id, r.content_hash) for r in out} == {("2", "z"), ("3", "x"), (None, "x")}
     assert dedupe.new_or_changed(stored, stored).count() == 0
+
+
+def test_latest_row_without_time(spark):
+    rows = spark.createDataFrame([("h", None, "s", "1"), ("h", "2024-02-01", "s", "2")], "content_hash string, ingested_at string, source string, source_id string")
+    assert [r.source_id for r in dedupe.dedupe_latest(rows).collect()] == ["2"]
+
+
+def test_null_identity_is_stored_once(spark):
+    rows = spark.createDataFrame([("s", None, "h"), ("s", "1", "h")], "source string, source_id string, content_hash string")
+    assert dedupe.new_or_changed(rows, rows).count() == 0
+
+
+def test_mapping_that_repeats_a_name(spark):
+    names = spark.createDataFrame([("Travel", "B"), (" travel", "A")], "name string, standard_name string")
+    rows = spark.createDataFrame([("TRAVEL ",)], "c string")
+    assert [r.category_standard for r in silver.map_categories(rows, names, "c").collect()] == ["A"]

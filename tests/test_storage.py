@@ -106,3 +106,20 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     store(rows, 0)
     store(rows, 1)
     assert tables.read_layer(spark, str(tmp_path / "t"), rows.schema).count() == 1
+
+
+def test_a_new_checkpoint_loses_no_stored_row(spark, tmp_path):
+    """Batch numbers that start again neither replace stored rows nor add them twice."""
+    schema = "source string, source_id string, content_hash string, ingested_at timestamp"
+    target = str(tmp_path / "t")
+
+    def rows(*ids):
+        return spark.createDataFrame([("s", i, "h", None) for i in ids], schema)
+
+    first, second = (incremental.append_unseen(target, rows().schema) for _ in range(2))
+    first(rows("1", "2", None), 0)
+    first(rows("3"), 1)
+    second(rows("3", "4", None), 0)
+    stored = tables.read_layer(spark, target, rows().schema, partitions=("bucket", "batch_id"))
+    assert sorted(r.source_id or "" for r in stored.collect()) == ["", "1", "2", "3", "4"]
+    assert stored.where("source_id = '3'").first()["batch_id"].startswith("000000000001")
