@@ -39,7 +39,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the offsets of its rows; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    column = column.cast(pa.large_string())
+    if column.null_count:
+        column = pc.fill_null(column, "")
     if not len(column):
         return np.empty(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()

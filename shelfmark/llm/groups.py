@@ -234,4 +234,4 @@ def wanted_ids(buckets: DataFrame) -> tuple[DataFrame, np.ndarray | None]:
     """The ids in shared buckets; as a sorted array too, if there are few enough to send."""
     ids = written(buckets.select("id").distinct(), "groups-ids")
     few = ids.count() <= BROADCAST_IDS
-    return ids, np.sort(np.array([r["id"] for r in ids.toLocalIterator()], np.int64)) if few else None
+    return ids, np.sort(ids.toArrow().column("id").to_numpy()) if few else None
