@@ -61,7 +61,11 @@ def content_hash(*columns: str | Column) -> Column:
 
 
 def raw_hash(url: Column, content: Column, length: int = 1000) -> Column:
-    """Identity of a fetched record: its address and the head of its content."""
+    """Hash of a fetched record by rule: its address and the first ``length`` characters.
+
+    A change further down does not show. To tell records apart use ``content_hash``,
+    which covers all of what it is given.
+    """
     return F.md5(F.concat(url, F.lit("_"), F.substring(content, 1, length)))
 
 
