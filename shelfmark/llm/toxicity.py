@@ -36,9 +36,12 @@ from shelfmark.session import written
 #: Labelled rows used for fitting, about at most.
 SAMPLE = 20_000
 #: Entries of the lexicon at most; the strongest stay.
-ENTRIES = 400
+ENTRIES = 150
 #: A term needs so many toxic texts, such a likelihood ratio (G) against the share of toxic texts, and such odds.
 SUPPORT, SURE, ODDS = 5, 28.0, 4.0
+#: A term also needs this share of the strongest term's ratio: copies of one toxic text make
+#: its words look sure, but their number does not grow with the table as that of real terms does.
+SHARE = 0.08
 STEMS = (4, 5, 6, 7)
 WINDOW = 48
 BLOCK = 1 << 20
@@ -282,17 +285,21 @@ def learn_lexicon(counts: DataFrame, entries: int = ENTRIES) -> tuple[dict[str,
         .limit(20 * entries)
         .collect()
     )
-    words, stems, seen = {}, {}, {}
-    for r in sorted(strong, key=lambda r: r["term"].endswith("*")):  # words first, each kind by strength
-        term = r["term"].rstrip("*")
-        if len(words) + len(stems) == entries or any(term.startswith(s) for s in stems):
-            continue
-        if term == r["term"]:
+    strong = [r for r in strong if r["sure"] >= SHARE * strong[0]["sure"]]
+    words, stems, below = {}, {}, {}
+    for r in strong:  # the most frequent word under each beginning
+        for k in STEMS:
+            if not r["term"].endswith("*") and len(r["term"]) > k:
+                below[r["term"][:k]] = max(below.get(r["term"][:k], 0), r["n1"])
+    for r in strong:  # the strongest first
+        term, stem = r["term"].rstrip("*"), r["term"].endswith("*")
+        if len(words) + len(stems) == entries:
+            break
+        if stem and below.get(term, 0) < 0.5 * r["n1"] and not any(term.startswith(s) or s.startswith(term) for s in stems):
+            stems[term] = r["odds"]  # no single word explains it
+            words = {w: v for w, v in words.items() if not w.startswith(term)}
+        elif not stem and not any(term.startswith(s) for s in stems):
             words[term] = r["odds"]
-        elif not any(t.startswith(term) and n >= 0.5 * r["n1"] for t, n in seen.items()):
-            stems[term] = r["odds"]  # no single word, and no longer stem, explains it
-        seen[term] = r["n1"]
-    words = {w: v for w, v in words.items() if not any(w.startswith(s) for s in stems)}
     return words, stems, share
 
 
