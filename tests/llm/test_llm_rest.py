@@ -326,3 +326,9 @@ def test_pii_query_digest(spark):
         expected = base_spans(r.text)
         assert got[r.doc_id].base_sha256 == hashlib.sha256(",".join(expected).encode()).hexdigest()
         assert got[r.doc_id].spans.startswith(",".join(expected))
+
+
+@pytest.mark.parametrize("name", ["op1_pii", "op3_mix", "op7_chat"])
+def test_native_plans(spark, name):
+    plan = QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
