@@ -71,27 +71,48 @@ def line_ids(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray
     return mix64(out + (end - begin).astype(U64))
 
 
+def _shingle_at(data: np.ndarray, at: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """The number of the shingle at each place; bytes from ``stop`` on count as none."""
+    mixed = np.zeros(len(at), U64)
+    for k in range(SIZE):
+        mixed *= U64(257)
+        mixed += np.where(at + k < stop, data[np.minimum(at + k, len(data) - 1)].astype(U64) + U64(1), U64(0))
+    return mixed
+
+
 def line_shingles(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """32-bit hashes of the shingles of each line, one after another, and where each line's begin."""
+    """32-bit hashes of the shingles of each line, one after another, and where each line's begin.
+
+    The numbers of all places are made at once; lines shorter than a shingle are put right after.
+    """
     size = end - begin
     many = np.maximum(size - SIZE + 1, 1)
     start = np.cumsum(many) - many
-    at = np.arange(int(many.sum())) - np.repeat(start, many) + np.repeat(begin, many)
-    stop = np.repeat(end, many)
-    mixed = np.zeros(len(at), U64)
+    if not len(begin):
+        return np.empty(0, np.uint32), start
+    low, high = int(begin[0]), int(end[-1])
+    wide = np.zeros(high - low + SIZE, U64)
+    wide[: high - low] = data[low:high]
+    wide[: high - low] += U64(1)
+    number = np.zeros(high - low, U64)
     for k in range(SIZE):
-        there = at + k < stop
-        mixed = mixed * U64(257) + np.where(there, data[np.minimum(at + k, len(data) - 1)].astype(U64) + U64(1), U64(0))
-    return (mix64(mixed) >> U64(32)).astype(np.uint32), start
+        number *= U64(257)
+        number += wide[k : k + high - low]
+    number = number[np.arange(int(many.sum())) + np.repeat(begin - low - start, many)]
+    short = np.flatnonzero(size < SIZE)
+    number[start[short]] = _shingle_at(data, begin[short], end[short])
+    return (mix64(number) >> U64(32)).astype(np.uint32), start
 
 
 def minhash(shingle: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Signatures (lines, registers): the smallest product with each of the odd factors."""
-    out = np.empty((len(start), REGISTERS), np.uint32)
+    out = np.empty((REGISTERS, len(start)), np.uint32)
     if len(start):
+        product = np.empty_like(shingle)
         for j, factor in enumerate(_ODD):
-            out[:, j] = np.minimum.reduceat(shingle * factor, start)
-    return out
+            np.multiply(shingle, factor, out=product)
+            np.minimum.reduceat(product, start, out=out[j])
+    return np.ascontiguousarray(out.T)
 
 
 def _signatures(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
