@@ -36,7 +36,11 @@ def powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a string column and the offsets of its rows; a null is an empty text."""
+    """The bytes of a string column and the offsets of its rows; a null is an empty text.
+
+    Called once a batch, so it also gives back what the pool keeps of batches before.
+    """
+    pa.default_memory_pool().release_unused()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string())
