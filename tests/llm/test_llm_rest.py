@@ -257,6 +257,17 @@ def test_toxicity(spark):
     assert not any(p and not y for p, y in held)
 
 
+def test_lexicon_is_whole(spark):
+    """Every significant term is in, however much stronger another is, and from all labels, however small the sample."""
+    rows = [("", 9_000, 1_000), ("strongest", 0, 900)] + [(f"rare{a}{b}", 0, 40) for a in "abcdefghijklmnopqr" for b in "abcdefghijklmnopqr"]
+    words, stems, _ = toxicity.learn_lexicon(spark.createDataFrame(rows, "term string, n0 long, n1 long"))
+    assert set(words) == {r[0] for r in rows[1:]} and not stems
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    automaton = toxicity.fit(docs, labels, sample=40).automaton
+    folded = np.array([ord(c) for c in "idiotmoron"], np.uint16)
+    assert automaton is not None and list(automaton.kind[automaton.run(folded, np.array([0, 5]), np.array([5, 10]))]) == [0, 0]
+
+
 def test_toxicity_odd_rows(spark):
     docs = spark.createDataFrame([(1, None), (None, ""), (2, "x" * 50_000), (2, "you idiot"), (3, "fine")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
