@@ -3,7 +3,8 @@
 1. Words and word beginnings that stand far more often in toxic than in other labelled
    texts become the lexicon: whole words, and stems where no single word explains them.
 2. The lexicon's trie is intersected with Levenshtein automata (no error up to 3 letters,
-   one up to 7, two beyond; the first letter must be right; stems are matched exactly) into
+   one up to 7, two beyond, at any letter; stems are matched exactly, and the words below
+   them are kept with their errors) into
    one deterministic table, which all words of a block run through side by side; it is made
    as far as words reach it.
 3. A hit's context window tells quotation from abuse: quotation marks around it and words
@@ -104,9 +105,11 @@ class Automaton:
     reached, each with its fewest errors; only states that occur in a text are made, all that a
     step lacks at once, so a lexicon of any size needs no table of all its states. ``kind`` and
     ``weight`` tell what each outcome of ``run`` is: -1 nothing, else the place in ``KINDS``.
+    With ``any_first`` errors may concern the first letter too.
     """
 
-    def __init__(self, words: dict[str, float], stems: dict[str, float]):
+    def __init__(self, words: dict[str, float], stems: dict[str, float], any_first: bool = False):
+        self.top = -1 if any_first else 0  # nodes beyond it may be left with an error
         self.alphabet = np.unique([ord(c) for w in [*words, *stems] for c in w]).astype(np.uint16)
         terms = sorted(words)
         allowed = np.array([0 if len(w) < 4 else 1 if len(w) < 8 else 2 for w in terms], np.int8)
@@ -153,7 +156,11 @@ class Automaton:
 
     def clear(self) -> None:
         """Only the dead end and the start."""
-        self.sets = [np.empty(0, np.int64), np.zeros(1, np.int64)]  # 4 * node + errors, sorted
+        moves = [(np.zeros(1, np.int64),) * 3]
+        while len(moves[-1][0]):
+            moves.append(self._below(*moves[-1]))
+        _, node, errors = (np.concatenate(x) for x in zip(*moves, strict=True))
+        self.sets = [np.empty(0, np.int64), np.sort(4 * node + errors)]  # 4 * node + errors
         self.names = {s.tobytes(): k for k, s in enumerate(self.sets)}
         self.held = len(self.sets)
         self.table = np.full((1024, len(self.alphabet) + 1), -1, np.int32)
@@ -162,7 +169,7 @@ class Automaton:
 
     def _below(self, owner: np.ndarray, node: np.ndarray, errors: np.ndarray) -> tuple[np.ndarray, ...]:
         """All children of the nodes that may have one error more."""
-        may = (errors < self.limit[node]) & (node > 0)  # from the root only the exact letter
+        may = (errors < self.limit[node]) & (node > self.top)
         owner, node, errors = owner[may], node[may], errors[may]
         n = self.count[node]
         to = np.arange(n.sum()) + np.repeat(self.first[node] - np.cumsum(n) + n, n)
@@ -176,7 +183,7 @@ class Automaton:
         owner, packed = np.repeat(np.arange(len(states)), size), np.concatenate([self.sets[s] for s in states])
         node, errors = packed >> 2, packed & 3
         to = self.child[node, letter[owner]]
-        same, more = to > 0, (errors < self.limit[node]) & (node > 0)
+        same, more = to > 0, (errors < self.limit[node]) & (node > self.top)
         moves = [(owner[same], to[same], errors[same]), (owner[more], node[more], errors[more] + 1), self._below(owner, node, errors)]
         reach = tuple(np.concatenate(x) for x in zip(*moves, strict=True))
         fits = reach[2] <= self.limit[reach[1]]
@@ -363,7 +370,6 @@ def learn_lexicon(counts: DataFrame) -> tuple[dict[str, float], dict[str, float]
         elif below.get(term, 0) < 0.5 * r["n1"] and term not in begun and not any(term[:k] in stems for k in STEMS):
             stems[term] = r["odds"]  # no single word explains it
             begun.update(term[:k] for k in STEMS)
-    words = {w: v for w, v in words.items() if not any(w[:k] in stems for k in STEMS)}
     return words, stems, share
 
 
@@ -401,7 +407,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     words, stems, share = learn_lexicon(written(term_counts(rows.select("text", "label").dropDuplicates()), "toxicity-terms"))
     if not words and not stems:
         return Model(None, None, share)
-    automaton = Automaton(words, stems)
+    automaton = Automaton(words, stems, any_first=True)
     shared = docs.sparkSession.sparkContext.broadcast(automaton)
 
     def run(batches):

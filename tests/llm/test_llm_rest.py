@@ -248,6 +248,38 @@ def test_automaton():
         assert kind == expected, word
 
 
+def test_automaton_with_errors_anywhere():
+    """As brute force says, the first letter and the words below a stem included."""
+    lexicon, stems = {"idiot": 1.0, "scum": 2.0, "worthless": 3.0, "bad": 4.0, "foulness": 6.0, "foulest": 2.0}, {"foul": 5.0}
+    automaton = toxicity.Automaton(lexicon, stems, any_first=True)
+    rng = np.random.default_rng(5)
+    tried = {"xidiot", "diot", "ediot", "orthless", "xworthlesx", "aworthles", "poulness", "oulnes", "xxfoulness", "xxxfoulness", "foul", "foulx", "ad", "xbad", "zoulest"} | set(lexicon)
+    for w in list(lexicon):
+        for _ in range(300):
+            letters = list(w)
+            for _ in range(rng.integers(1, 4)):
+                at, how = rng.integers(0, len(letters) + 1) * rng.integers(0, 2), rng.integers(0, 3)
+                if how == 0:
+                    letters.insert(at, rng.choice(list("aeidotz")))
+                elif at < len(letters):
+                    letters[at : at + 1] = [] if how == 1 else [rng.choice(list("aeidotz"))]
+            tried.add("".join(letters))
+    tried = sorted(t for t in tried if t)
+    folded = np.array([ord(c) if c != " " else 0 for c in " ".join(tried)], np.uint16)
+    ends = np.cumsum([len(t) + 1 for t in tried]) - 1
+    got = automaton.run(folded, ends - [len(t) for t in tried], ends)
+    for word, kind, weight in zip(tried, automaton.kind[got], automaton.weight[got], strict=True):
+        fits = [(e, -lexicon[w]) for w in lexicon if (e := levenshtein(word, w)) <= (0 if len(w) < 4 else 1 if len(w) < 8 else 2)]
+        expected = min(fits) if fits else (3, -5.0) if word.startswith("foul") else (-1, 0.0)
+        assert (kind, -weight) == expected, word
+
+
+def test_words_below_a_stem_stay(spark):
+    rows = [("", 9_000, 1_000), ("foul*", 0, 400)] + [(f"foul{e}", 0, 60) for e in ("ness", "er", "est", "ing")]
+    words, stems, _ = toxicity.learn_lexicon(spark.createDataFrame(rows, "term string, n0 long, n1 long"))
+    assert set(stems) == {"foul"} and set(words) == {"foulness", "fouler", "foulest", "fouling"}
+
+
 def test_toxicity(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.score(docs.withColumn("score", F.lit("clash")), toxicity.fit(docs, labels))
