@@ -132,13 +132,13 @@ def clusters(signatures: np.ndarray, floor: int) -> np.ndarray:
     return label
 
 
-def likely_groups(buckets: DataFrame, signatures: DataFrame, floor: int) -> DataFrame:
-    """id and group (its smallest id) of everything that a likely pair links."""
+def likely_groups(buckets: DataFrame, signatures: DataFrame, floor: int, kind: type = np.uint32) -> DataFrame:
+    """id and group (its smallest id) of everything that a likely pair links; ``kind`` is that of the registers."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, begins in runs(batches, ["bucket"]):
             ids = table.column("id").to_numpy()
-            regs = fixed_rows(table.column("sig"), np.uint32)
+            regs = fixed_rows(table.column("sig"), kind)
             size = np.diff(np.append(begins, len(ids)))
             two = begins[size == 2]
             two = two[np.count_nonzero(regs[two] == regs[two + 1], axis=1) >= floor]
@@ -155,7 +155,7 @@ def likely_groups(buckets: DataFrame, signatures: DataFrame, floor: int) -> Data
     return components(links.distinct())
 
 
-def exact_links(groups: DataFrame, bodies: DataFrame, prepare: Callable[[bytes], object], similar: Callable[[object, object], float], least: float, floor: int) -> DataFrame:
+def exact_links(groups: DataFrame, bodies: DataFrame, prepare: Callable[[bytes], object], similar: Callable[[object, object], float], least: float, floor: int, kind: type = np.uint32) -> DataFrame:
     """Links (id, root) between things whose bodies are similar; connected as all such links are.
 
     ``groups`` has (id, group), ``bodies`` (id, sig, body). ``prepare`` makes of a body what
@@ -175,7 +175,7 @@ def exact_links(groups: DataFrame, bodies: DataFrame, prepare: Callable[[bytes],
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, begins in runs(batches, ["group", "i", "j"]):
             ids = table.column("id").to_numpy()
-            regs = fixed_rows(table.column("sig"), np.uint32)
+            regs = fixed_rows(table.column("sig"), kind)
             body = table.column("body")
             ends = np.append(begins[1:], len(ids))
             a, b = [], []

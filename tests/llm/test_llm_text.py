@@ -131,6 +131,23 @@ def test_lines(spark):
     assert line_dedup.dedup_lines(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_lines_of_ordinary_length(spark):
+    """One changed character in lines of 30 to 60 characters, of one byte or of several each."""
+    rng = np.random.default_rng(8)
+    rows, kept = [], []
+    for low, high in ((0x21, 0x7F), (0x4E00, 0x9FA5), (0x1F300, 0x1F600)):
+        for size in (30, 37, 45, 60):
+            line = [chr(c) for c in rng.choice(np.arange(low, high), size, replace=False)]
+            other = list(line)
+            other[int(rng.integers(3, size - 3))] = "é"
+            rows += [(len(rows), "".join(line)), (len(rows) + 1, "".join(other))]
+            kept += ["".join(line), ""]
+    short = ["a", "ab", "abc", "é", "éa"]
+    rows += [(len(rows) + k, t) for k, t in enumerate(short)]
+    got = sorted(line_dedup.dedup_lines(frame(spark, rows)).collect(), key=lambda r: r.doc_id)
+    assert [r.text for r in got] == kept + short
+
+
 def test_lines_odd_rows(spark):
     rows = [(None, "same old line\nfirst"), (1, "same old line\nsecond"), (1, "same old line\nthird"), (2, None)]
     got = sorted(r.text for r in line_dedup.dedup_lines(frame(spark, rows)).collect())
