@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +45,10 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Where the tables that ``written`` made lie, as long as somebody holds them.
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the work folder and read back.
 
@@ -52,4 +57,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = work_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDERS[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``written``, once the last job that reads them has run.
+
+    Anything derived from them that has not been written yet can not be read any more.
+    """
+    for table in tables:
+        delete_folder(table.sparkSession, _FOLDERS.pop(table))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Through Hadoop's file system, so that it reaches the store that the executors share."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
