@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import ann, chat, decontaminate, line_dedup, lm_score, mixing, near_dup, pii, substrings, toxicity
+from shelfmark.llm import ann, chat, decontaminate, line_dedup, lm_score, mixing, near_dup, pii, substrings, toxicity, vector_codes
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -95,6 +95,18 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    codes, books = vector_codes.compress(table(spark, folder, "embeddings"))
+    return vector_codes.label_errors(codes).select(
+        F.col("key").alias("vec_id"),
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(vector_codes.digest(books)).alias("codebooks_sha256"),
+        F.col("scans").alias("n_scanned"),
+    )
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_substrings": op2_substrings,
@@ -106,4 +118,5 @@ QUERIES = {
     "op8_ann": op8_ann,
     "op9_near_dup": op9_near_dup,
     "op10_line_dedup": op10_line_dedup,
+    "op13_vector_codes": op13_vector_codes,
 }

@@ -64,8 +64,48 @@ WITH c AS (
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars FROM g
 """
 
+# Codebook c0 and, for each of the six rounds, assignment a and the next codebook.
+_OP13_ROUND = """
+a{r} AS MATERIALIZED (
+  SELECT row, p, x, arg_min(k, d * 16 + k) AS k, min(d) AS d
+  FROM (SELECT part.row, part.p, part.x, c{r}.k, list_sum(list_transform(list_zip(part.x, c{r}.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM part JOIN c{r} USING (p)) GROUP BY ALL
+)"""
+_OP13_MEAN = """
+c{n} AS MATERIALIZED (
+  SELECT c.p, c.k, coalesce(m.x, c.x) AS x
+  FROM c{r} c LEFT JOIN (
+    SELECT p, k, list(mean ORDER BY i) AS x
+    FROM (SELECT p, k, i, CAST(floor(sum(x[i])::DOUBLE / count(*)) AS BIGINT) AS mean FROM a{r}, unnest(range(1, 9)) AS g(i) GROUP BY p, k, i) GROUP BY p, k
+  ) m USING (p, k)
+)"""
+OP13 = (
+    """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label, list_transform(embedding, lambda y: CAST(floor(4096 * CAST(y AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR isnan(y) OR isinf(y))) = 0
+), part AS MATERIALIZED (
+  SELECT row, p, q[8 * p + 1 : 8 * p + 8] AS x FROM v, unnest(range(8)) AS g(p)
+), c0 AS MATERIALIZED (
+  SELECT p, row - 1 AS k, x FROM part WHERE row <= 16
+),"""
+    + ",".join(_OP13_ROUND.format(r=r) + "," + _OP13_MEAN.format(r=r, n=r + 1) for r in range(6))
+    + ","
+    + _OP13_ROUND.format(r=6)
+    + """, book AS (
+  SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM c6
+), coded AS (
+  SELECT row, string_agg(printf('%02x', k), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a6 GROUP BY row
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN v USING (row), book
+"""
+)
+
 SQL = {
     "op3_mix": OP3,
     "op6_decontaminate": OP6,
     "op7_chat": OP7,
+    "op13_vector_codes": OP13,
 }
