@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import ann, chat, decontaminate, line_dedup, lm_score, mixing, near_dup, pii, substrings, toxicity, vector_codes
+from shelfmark.llm import ann, chat, decontaminate, line_dedup, lm_score, mixing, near_dup, pii, simhash, substrings, toxicity, vector_codes
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -95,6 +95,11 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     codes, books = vector_codes.compress(table(spark, folder, "embeddings"))
     return vector_codes.label_errors(codes).select(
@@ -118,5 +123,6 @@ QUERIES = {
     "op8_ann": op8_ann,
     "op9_near_dup": op9_near_dup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_simhash": op11_simhash,
     "op13_vector_codes": op13_vector_codes,
 }
