@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import ann, chat, decontaminate, line_dedup, lm_score, mixing, near_dup, pii, simhash, substrings, toxicity, vector_codes
+from shelfmark.llm import ann, chat, decontaminate, hard_negatives, line_dedup, lm_score, mixing, near_dup, pii, simhash, substrings, toxicity, vector_codes
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -100,6 +100,11 @@ def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, folder, "embeddings"), 50, label=label)
+
+
 def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     codes, books = vector_codes.compress(table(spark, folder, "embeddings"))
     return vector_codes.label_errors(codes).select(
@@ -124,5 +129,6 @@ QUERIES = {
     "op9_near_dup": op9_near_dup,
     "op10_line_dedup": op10_line_dedup,
     "op11_simhash": op11_simhash,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_vector_codes": op13_vector_codes,
 }

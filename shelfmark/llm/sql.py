@@ -64,6 +64,28 @@ WITH c AS (
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars FROM g
 """
 
+OP12 = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda y: CAST(floor(256 * CAST(y AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda y: y IS NULL OR isnan(y) OR isinf(y))) = 0
+), s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.q, v.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v ON a.vec_id <> v.vec_id WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 # Codebook c0 and, for each of the six rounds, assignment a and the next codebook.
 _OP13_ROUND = """
 a{r} AS MATERIALIZED (
@@ -107,5 +129,6 @@ SQL = {
     "op3_mix": OP3,
     "op6_decontaminate": OP6,
     "op7_chat": OP7,
+    "op12_hard_negatives": OP12,
     "op13_vector_codes": OP13,
 }
