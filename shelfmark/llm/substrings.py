@@ -20,7 +20,8 @@ them. This cuts the corpus into about one row for 35 bytes:
 4. ``remove``: repeated windows are joined to the texts and cut out.
 
 Defined cases: a null text is empty; texts under 100 bytes are kept whole; rows of one
-doc_id order by a hash of their texts, and rows that repeat an id and a text are one
+doc_id order by a 64-bit hash of their texts (two texts of one id share it with a chance of
+2**-64), and rows that repeat an id and a text are one
 document with equal results; a null doc_id comes first; an empty table gives an empty
 result; further columns are ignored.
 """
@@ -145,7 +146,7 @@ def join_spans(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[n
     return owner[at], start[at], (reach - base)[closes]
 
 
-ROWS = "key bigint, context bigint, doc_id {0}, tie int, loc bigint, stop bigint"
+ROWS = "key bigint, context bigint, doc_id {0}, tie bigint, loc bigint, stop bigint"
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
@@ -257,7 +258,7 @@ def packed(docs: DataFrame) -> DataFrame:
             body = [packer.compress(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), pa.array(body, pa.binary())], ["doc_id", "tie", "body"])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, tie int, body binary")
+    return docs.mapInArrow(run, f"doc_id {kind}, tie bigint, body binary")
 
 
 def contexts(docs: DataFrame, open_runs: DataFrame) -> DataFrame:
@@ -287,7 +288,7 @@ def contexts(docs: DataFrame, open_runs: DataFrame) -> DataFrame:
                     ["key", "doc_id", "tie", "loc", "bytes"],
                 )
 
-    return joined.mapInArrow(run, f"key bigint, doc_id {kind}, tie int, loc bigint, bytes binary")
+    return joined.mapInArrow(run, f"key bigint, doc_id {kind}, tie bigint, loc bigint, bytes binary")
 
 
 def common_extension(sums: np.ndarray, limit: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -391,7 +392,7 @@ def repeated_windows(table: np.ndarray, size: np.ndarray, back: np.ndarray, grou
     return out
 
 
-SPANS = "doc_id {0}, tie int, start bigint, end bigint"
+SPANS = "doc_id {0}, tie bigint, start bigint, end bigint"
 
 
 def _spans(batch: pa.Table, repeated: np.ndarray, place: np.ndarray, back: np.ndarray) -> pa.RecordBatch:
@@ -443,7 +444,7 @@ def settle_crowded(open_contexts: DataFrame) -> DataFrame:
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays([pa.array(h[0]), pa.array(h[1]), batch.column("doc_id").take(take), batch.column("tie").take(take), pa.array(start)], ["h1", "h2", "doc_id", "tie", "start"])
 
-    rows = written(open_contexts.mapInArrow(explode, f"h1 bigint, h2 bigint, doc_id {kind}, tie int, start bigint"), "substrings-windows")
+    rows = written(open_contexts.mapInArrow(explode, f"h1 bigint, h2 bigint, doc_id {kind}, tie bigint, start bigint"), "substrings-windows")
     where = F.struct("doc_id", "tie", "start")
     first = rows.groupBy("h1", "h2").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     later = rows.join(first, ["h1", "h2"]).where(~where.eqNullSafe(F.col("first")))
@@ -470,7 +471,7 @@ def remove(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     With ``keep_text`` the remaining bytes as well: cuts may fall inside a character.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    tied = docs.select("doc_id", F.hash("text").alias("tie"), "text")
+    tied = docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
     spans = written(repeated_spans(tied), "substrings-spans")
     each = spans.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans")).withColumnsRenamed({"doc_id": "_id", "tie": "_tie"})
     body = packed(tied)

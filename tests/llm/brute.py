@@ -46,8 +46,7 @@ def groups(items, similar):
 
 
 def line_shingles(line):
-    b = line.encode()
-    return frozenset(b[i : i + 7] for i in range(max(1, len(b) - 6)))
+    return frozenset(line[i : i + 3] for i in range(max(1, len(line) - 2)))
 
 
 def dedup_lines(rows):

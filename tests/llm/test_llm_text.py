@@ -51,6 +51,19 @@ def test_substrings_odd_rows(spark):
     assert substrings.remove(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_substrings_of_one_id_whose_32_bit_hashes_are_equal(spark):
+    """Texts of one doc_id are told apart even if a short hash of them is not."""
+    text = F.concat(F.repeat(F.sha2(F.col("id").cast("string"), 256), 2))
+    twins = spark.range(300_000).select(text.alias("t")).groupBy(F.hash("t").alias("h")).agg(F.sort_array(F.collect_list("t")).alias("t"))
+    a, b = twins.where("size(t) > 1").orderBy("h").first()["t"][:2]
+    for rows in ([(0, b), (1, a), (1, b)], [(1, a), (1, b), (2, b)]):
+        got = sorted((r.doc_id, r.kept_sha256, r.n_removed) for r in substrings.remove(frame(spark, rows)).collect())
+        empty = hashlib.sha256(b"").hexdigest()
+        digest = {t: hashlib.sha256(t.encode()).hexdigest() for t in (a, b)}
+        kept = [(i, digest[t], 0) for i, t in rows[:-1]] + [(rows[-1][0], empty, 128)]
+        assert got == sorted(kept)
+
+
 @pytest.mark.parametrize("collide", [False, True])
 def test_suffix_order(monkeypatch, collide):
     if collide:  # every prefix has the same hash: the bytes decide
