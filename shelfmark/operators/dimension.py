@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.records import category_levels, surrogate_id
 from shelfmark.operators.dedupe import keep_first
 from shelfmark.operators.ordered import with_last_known, with_neighbours
+from shelfmark.session import written
 
 # What makes a new version of a canonical book.
 TRACKED = ["isbn13", "title", "authors", "primary_category", "source_ids"]
@@ -177,19 +178,23 @@ def merge_versions(
 
 
 def versions_from_log(
-    log: DataFrame, keys: list[str], tracked: list[str], time: str, ties: list[str] = (), every: str = "month"
+    log: DataFrame, keys: list[str], tracked: list[str], time: str, ties: list[str] = (), share: int | None = None
 ) -> DataFrame:
-    """Type-2 versions from dated observations; only changes make a version."""
+    """Type-2 versions from dated observations; only changes make a version.
+
+    ``share`` is the number of rows of a key that one task may have to take (``ordered``).
+    """
     before = {f"_was_{c}": c for c in tracked}
     seen = with_neighbours(
-        log.withColumn("_seen", F.lit(True)), keys, time, ties, {**before, "_was_seen": "_seen"}, every=every
+        log.withColumn("_seen", F.lit(True)), keys, time, ties, {**before, "_was_seen": "_seen"}, share=share
     )
     same = F.col("_was_seen").isNotNull()
     for column in tracked:
         same = same & F.col(column).eqNullSafe(F.col(f"_was_{column}"))
     changes = seen.where(~same).select(*keys, *tracked, F.col(time).alias("valid_from"), *[c for c in ties if c not in keys])
+    changes = written(changes, "versions-changes")  # its keys are counted before it is numbered
     numbered = with_neighbours(
-        changes, keys, "valid_from", ties, following={"valid_to": "valid_from"}, number="version", every=every
+        changes, keys, "valid_from", ties, following={"valid_to": "valid_from"}, number="version", share=share
     )
     return numbered.select(
         *keys, *tracked, "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current"), "version"
@@ -203,7 +208,7 @@ def valid_at(versions: DataFrame, moment: str | datetime | Column) -> DataFrame:
 
 
 def as_of(
-    probes: DataFrame, versions: DataFrame, keys: list[str], time: str, attributes: list[str], every: str = "month"
+    probes: DataFrame, versions: DataFrame, keys: list[str], time: str, attributes: list[str], share: int | None = None
 ) -> DataFrame:
     """Add to each probe the attributes of the version valid at its time, null if none.
 
@@ -221,6 +226,7 @@ def as_of(
         F.coalesce("valid_to", never).alias("_end"),
         state.alias("_state"),
     )
+    marks = written(marks, "as-of-marks")  # keys of the timeline are counted before it is read in order
     asks = probes.select(
         *keys,
         F.col(time).cast(moment).alias("_at"),
@@ -229,7 +235,7 @@ def as_of(
         F.struct(*probes.columns).alias("_probe"),
     )
     timeline = marks.unionByName(asks, allowMissingColumns=True)
-    known = with_last_known(timeline, keys, "_at", ["_kind", "_end"], F.col("_state"), "_known", every)
+    known = with_last_known(timeline, keys, "_at", ["_kind", "_end"], F.col("_state"), "_known", share)
     valid = F.col("_known.valid_to").isNull() | (F.col("_at") < F.col("_known.valid_to"))
     return known.where("_kind = 1").select(
         "_probe.*", *[F.when(valid, F.col(f"_known.{c}")).alias(c) for c in attributes]

@@ -28,13 +28,13 @@ def price_history(silver: DataFrame, matches: DataFrame) -> DataFrame:
 
 
 def price_changes(
-    prices: DataFrame, ties: list[str] = (), keys: list[str] = ("book_id", "source"), every: str = "month"
+    prices: DataFrame, ties: list[str] = (), keys: list[str] = ("book_id", "source"), share: int | None = None
 ) -> DataFrame:
     """Observations whose price differs from the one before, with the step in value and percent.
 
     An observation without a price is none: the step goes from the last known price.
     """
-    seen = with_neighbours(prices.where(F.col("price").isNotNull()), list(keys), "effective_date", ties, {"previous_price": "price"}, every=every)
+    seen = with_neighbours(prices.where(F.col("price").isNotNull()), list(keys), "effective_date", ties, {"previous_price": "price"}, share=share)
     step = F.col("price") - F.col("previous_price")
     return seen.where(step != 0).withColumns(
         {"price_change": step, "change_percentage": F.when(F.col("previous_price") != 0, step / F.col("previous_price") * 100)}
@@ -42,7 +42,7 @@ def price_changes(
 
 
 def availability_history(
-    log: DataFrame, keys: list[str] = ("book_id", "source"), time: str = "effective_date", ties: list[str] = (), every: str = "month"
+    log: DataFrame, keys: list[str] = ("book_id", "source"), time: str = "effective_date", ties: list[str] = (), share: int | None = None
 ) -> DataFrame:
     """Status changes with the status before; the first status of a key has none."""
     seen = with_neighbours(
@@ -51,7 +51,7 @@ def availability_history(
         time,
         ties,
         {"previous_status": "status", "_was_seen": "_seen"},
-        every=every,
+        share=share,
     )
     changed = F.col("_was_seen").isNull() | ~F.col("status").eqNullSafe(F.col("previous_status"))
     return seen.where(changed).select(*keys, "status", F.col(time).alias("effective_date"), "previous_status")

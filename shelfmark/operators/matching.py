@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.similarity import DIGITS, author_overlap, author_set, title_similarity
+from shelfmark.operators.block_join import best_by_blocks
 from shelfmark.operators.dedupe import keep_first
 from shelfmark.operators.title_join import SLACK, title_pairs
 from shelfmark.session import written
@@ -204,21 +205,18 @@ def best_titles(
 
     Two steps. Titles with the same first characters are few and the most similar, so
     they go first. What they reach is what any other title then has to reach at least,
-    which rules most of the many others out by the bound alone.
+    which rules most of the many others out: blocks of them at once, see ``block_join``.
     """
     best = "min(struct(-similarity as loss, id_2 as id, title_2 as title)) as best"
     partners = others.selectExpr("title as title_2", "id as id_2")
     wanted = titles.selectExpr("title as title_1", f"cast({need or threshold} as double) as need")
-
-    def step(left: DataFrame, classes: tuple[int, ...]) -> DataFrame:
-        pairs = title_pairs(
-            left, partners, ("title_1", "title_2"), threshold, "need", cell_rows=cell_rows, classes=classes
-        )
-        return pairs.groupBy("title_1").agg(F.expr(best))
-
-    close = written(step(wanted, (3, 4)), "titles")
-    raised = wanted.join(close, "title_1", "left").selectExpr("title_1", "greatest(need, -best.loss) as need")
-    found = close.unionByName(step(raised, (0, 1, 2)))
+    pairs = title_pairs(wanted, partners, ("title_1", "title_2"), threshold, "need", cell_rows=cell_rows, classes=(3, 4))
+    close = written(pairs.groupBy("title_1").agg(F.expr(best)), "titles")
+    raised = wanted.join(close, "title_1", "left").selectExpr("title_1 as title", "greatest(need, -best.loss) as need")
+    far = best_by_blocks(raised, others, threshold, (0, 1, 2)).selectExpr(
+        "title_1", f"round(similarity, {DIGITS}) as similarity", f"cast(id_2 as {others.schema['id'].dataType.simpleString()}) as id_2", "title_2"
+    )
+    found = close.unionByName(far.where(f"similarity >= {threshold!r}D").groupBy("title_1").agg(F.expr(best)))
     return found.groupBy(F.col("title_1").alias("title")).agg(F.min("best").alias("best"))
 
 

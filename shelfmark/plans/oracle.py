@@ -247,6 +247,16 @@ SELECT t1 AS title, t2 AS best_title, id AS best_id, round(sim, 6) AS similarity
 FROM similar_titles JOIN ids ON ids.title = t2 WHERE sim >= 0.85
 QUALIFY row_number() OVER (PARTITION BY t1 ORDER BY sim DESC, id) = 1"""
 
+SQL["match_distinct_titles"] = """
+WITH t AS (
+  SELECT p_partkey AS id, lower(concat_ws(' ', p_name, p_brand, p_type, p_size, p_partkey)) AS title FROM part
+), s AS (
+  SELECT a.title, b.title AS best_title, b.id AS best_id, round(jaro_winkler_similarity(a.title, b.title), 10) AS sim
+  FROM t a JOIN t b ON a.id % 2 = 0 AND b.id % 2 = 1
+)
+SELECT title, best_title, best_id, round(sim, 6) AS similarity FROM s WHERE sim >= 0.85
+QUALIFY row_number() OVER (PARTITION BY title ORDER BY sim DESC, best_id) = 1"""
+
 SQL["match_summary"] = f"""
 WITH {_MATCHES}
 SELECT match_type, count(*) AS pairs, round(avg(confidence_score), 4) AS avg_confidence,
@@ -338,6 +348,32 @@ SELECT o_custkey, o_orderpriority, strftime(valid_from, '%Y-%m-%d %H:%M:%S') AS
        strftime(valid_to, '%Y-%m-%d %H:%M:%S') AS valid_to, valid_to IS NULL AS is_current, version
 FROM versions"""
 
+SQL["burst_price_changes"] = f"""
+WITH {_PRICE_LOG}, burst AS (
+  SELECT * REPLACE (CASE WHEN l_orderkey % 3 = 0 THEN -1 ELSE book_id END AS book_id, CASE WHEN l_orderkey % 3 = 0 THEN TIMESTAMP '1997-01-01' ELSE l_shipdate END AS l_shipdate)
+  FROM log
+), seen AS (
+  SELECT *, lag(price) OVER (PARTITION BY book_id ORDER BY l_shipdate, l_orderkey, l_linenumber, price) AS previous_price FROM burst
+)
+SELECT book_id, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS effective_date, l_orderkey, l_linenumber, price, previous_price,
+       round(price - previous_price, 2) AS price_change
+FROM seen WHERE price - previous_price <> 0"""
+
+_BURST = """
+orders AS (
+  SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE o_custkey END AS o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '1997-01-01' ELSE o_orderdate END AS o_orderdate)
+  FROM main.orders
+)"""
+
+SQL["burst_versions"] = SQL["scd2_from_log"].replace("WITH", f"WITH {_BURST},", 1)
+
+SQL["burst_asof"] = f"""
+WITH {_BURST}
+SELECT o_orderkey, o_custkey,
+       last_value(CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey AS VARCHAR) END IGNORE NULLS) OVER (
+         PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_finished
+FROM orders"""
+
 SQL["valid_at"] = f"""
 WITH {_VERSIONS}
 SELECT o_custkey, o_orderpriority, version FROM versions

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import records
 from shelfmark.functions import html as h
-from shelfmark.operators import bronze, dedupe, dimension, facts, matching, profiles, quality, silver
+from shelfmark.operators import bronze, dedupe, dimension, facts, matching, ordered, profiles, quality, silver
 from shelfmark.plans.inputs import (
     RUN_TS,
     api_records,
@@ -306,6 +306,15 @@ def match_best_titles(spark, folder):
     )
 
 
+@query
+def match_distinct_titles(spark, folder):
+    """No two titles of a side are equal, so every pair of titles is a pair to rule out."""
+    title = F.lower(F.concat_ws(" ", "p_name", "p_brand", "p_type", "p_size", "p_partkey"))
+    parts = table(spark, folder, "part").select("p_partkey", title.alias("title"))
+    titles, others = parts.where("p_partkey % 2 = 0").select("title"), parts.where("p_partkey % 2 = 1").selectExpr("title", "p_partkey as id")
+    return matching.best_titles(titles, others).selectExpr("title", "best.title as best_title", "best.id as best_id", "round(-best.loss, 6) as similarity")
+
+
 @query
 def match_summary(spark, folder):
     summary = matching.match_summary(_matches(spark, folder))
@@ -417,6 +426,37 @@ def scd2_from_log(spark, folder):
     )
 
 
+def _burst(rows: DataFrame, key: str, time: str) -> DataFrame:
+    """A third of all rows on one key and one day."""
+    burst = F.col(key.replace("custkey", "orderkey").replace("book_id", "l_orderkey")) % 3 == 0
+    day = F.lit("1997-01-01").cast(rows.schema[time].dataType)
+    return rows.withColumns({time: F.when(burst, day).otherwise(F.col(time)), key: F.when(burst, -1).otherwise(F.col(key))})
+
+
+@query
+def burst_price_changes(spark, folder):
+    log = _burst(_price_log(spark, folder).drop("price_original"), "book_id", "effective_date")
+    steps = facts.price_changes(log, ties=["l_orderkey", "l_linenumber", "price"], keys=["book_id"])
+    return steps.select("book_id", _time("effective_date"), "l_orderkey", _long("l_linenumber"), "price", "previous_price", _round("price_change", 2))
+
+
+@query
+def burst_versions(spark, folder):
+    log = _burst(table(spark, folder, "orders"), "o_custkey", "o_orderdate")
+    versions = dimension.versions_from_log(log, ["o_custkey"], ["o_orderpriority"], "o_orderdate", ["o_orderkey"])
+    return versions.select("o_custkey", "o_orderpriority", _time("valid_from"), _time("valid_to"), "is_current", _long("version"))
+
+
+@query
+def burst_asof(spark, folder):
+    """The last status of the key before each order: for a burst, that of the order just before."""
+    orders = _burst(table(spark, folder, "orders"), "o_custkey", "o_orderdate")
+    known = ordered.with_last_known(
+        orders, ["o_custkey"], "o_orderdate", ["o_orderkey"], F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey")), "last_finished"
+    )
+    return known.select("o_orderkey", "o_custkey", _text("last_finished"))
+
+
 @query
 def valid_at(spark, folder):
     state = dimension.valid_at(_versions(spark, folder), "1997-06-30 00:00:00")

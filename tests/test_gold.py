@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfmark.operators import dimension, facts
-from shelfmark.operators.ordered import with_last_known, with_neighbours
+from shelfmark.operators.ordered import split_hot, with_last_known, with_neighbours
 
 
 def log(spark, seed=1, n=300):
@@ -22,8 +22,8 @@ def test_neighbours_equal_plain_windows(spark):
     df = log(spark)
     w = Window.partitionBy("k").orderBy("t", "i")
     expected = df.withColumns({"p": F.lag("v").over(w), "n": F.lead("t").over(w), "rn": F.row_number().over(w)})
-    for every in ("month", "day", "year"):
-        mine = with_neighbours(df, ["k"], "t", ["i"], {"p": "v"}, {"n": "t"}, "rn", every)
+    for share in (None, 1, 10, 1000):
+        mine = with_neighbours(df, ["k"], "t", ["i"], {"p": "v"}, {"n": "t"}, "rn", share)
         assert sorted(map(str, mine.collect())) == sorted(map(str, expected.collect()))
 
 
@@ -31,18 +31,31 @@ def test_last_known_equals_plain_window(spark):
     df = log(spark, 2)
     w = Window.partitionBy("k").orderBy("t", "i").rowsBetween(Window.unboundedPreceding, 0)
     expected = df.withColumn("last", F.last("v", ignorenulls=True).over(w))
-    mine = with_last_known(df, ["k"], "t", ["i"], F.col("v"), "last")
-    assert sorted(map(str, mine.collect())) == sorted(map(str, expected.collect()))
+    for share in (None, 1, 10, 1000):
+        mine = with_last_known(df, ["k"], "t", ["i"], F.col("v"), "last", share)
+        assert sorted(map(str, mine.collect())) == sorted(map(str, expected.collect()))
 
 
-def test_rows_are_shuffled_once(spark, tmp_path):
-    log(spark).write.parquet(str(tmp_path / "log"))
-    seen = with_neighbours(spark.read.parquet(str(tmp_path / "log")), ["k"], "t", ["i"], {"p": "v"}, {"n": "v"})
+def test_keys_without_a_burst_take_one_shuffle(spark, tmp_path):
+    rows = [(f"k{i % 50}", i, "x") for i in range(500)]
+    spark.createDataFrame(rows, "k string, t int, v string").write.parquet(str(tmp_path / "log"))
+    seen = with_neighbours(spark.read.parquet(str(tmp_path / "log")), ["k"], "t", [], {"p": "v"}, {"n": "v"}, "rn")
     seen.collect()
     plan = seen._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    exchanges = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line and "Reused" not in line]
-    assert sum("_key#" in line for line in exchanges) == 1 and len(exchanges) == 2
-    assert plan.count("ReusedExchange") == 1 and plan.count("Scan parquet") == 1 and "Join" not in plan
+    assert plan.count("Exchange") == 1 and plan.count("Scan parquet") == 1 and "Join" not in plan
+
+
+def test_one_moment_of_one_key_goes_to_all_tasks(spark):
+    """Two thirds of all rows are one key at one time: only their ties tell them apart."""
+    df = spark.range(3000).selectExpr("if(id % 3 < 2, 'burst', concat('k', id % 100)) as k", "date'2024-01-01' as t", "id as i")
+    calm, hot = split_hot(df, ["k"], ["t", "i"])
+    sizes = [r["count"] for r in hot.groupBy("_part").count().collect()]
+    assert sum(sizes) == 2000 and calm.count() == 1000
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(sizes) < 2 * min(sizes)
+    w = Window.partitionBy("k").orderBy("t", "i")
+    expected = df.withColumns({"p": F.lag("i").over(w), "rn": F.row_number().over(w)})
+    mine = with_neighbours(df, ["k"], "t", ["i"], {"p": "i"}, number="rn")
+    assert sorted(map(str, mine.collect())) == sorted(map(str, expected.collect()))
 
 
 def test_versions_do_not_overlap_and_one_is_current(spark):
