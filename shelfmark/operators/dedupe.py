@@ -37,5 +37,5 @@ def new_or_changed(
     batch: DataFrame, stored: DataFrame, keys: list[str] = ("source", "source_id", "content_hash")
 ) -> DataFrame:
     """Rows of a batch that the stored table does not hold yet in this version; null keys compare as values."""
-    held = stored.select(key_digest(*keys).alias("_digest"))
-    return batch.withColumn("_digest", key_digest(*keys)).join(held, "_digest", "left_anti").drop("_digest")
+    held = stored.select(key_digest(*keys).alias("_identity"))
+    return batch.withColumn("_identity", key_digest(*keys)).join(held, "_identity", "left_anti").drop("_identity")

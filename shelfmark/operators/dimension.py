@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfmark.functions.records import category_levels, surrogate_id
 from shelfmark.operators.dedupe import keep_first
 from shelfmark.operators.ordered import with_last_known, with_neighbours
-from shelfmark.session import written
+from shelfmark.session import discard, written
+from shelfmark.sources import keyed
 
 # What makes a new version of a canonical book.
 TRACKED = ["isbn13", "title", "authors", "primary_category", "source_ids"]
@@ -177,6 +179,39 @@ def merge_versions(
     return current.where(~F.col("is_current")).unionByName(states)
 
 
+def merge_into(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    incoming: DataFrame,
+    run_ts: str | datetime,
+    key: str = "book_id",
+    tracked: list[str] = tuple(TRACKED),
+    close_missing: bool = False,
+    buckets: int = 64,
+) -> list[str]:
+    """``merge_versions`` on a stored dimension of ``schema`` (a table of ``sources.keyed``): the buckets rewritten.
+
+    Only the buckets that hold a key of ``incoming`` are read (all of them to find missing
+    keys), and of these only those in which something changes are replaced, so the same
+    batch again changes no file.
+    """
+    keyed.check_layout(spark, path, (key,), buckets)
+    batch = written(keyed.with_bucket(incoming, (key,), buckets), "merge-batch")
+    stored = keyed.read(spark, path, schema)
+    names = keyed.touched_buckets(batch)
+    if stored is None:
+        stored = spark.createDataFrame([], keyed.stored_schema(schema))
+    part = stored if close_missing else stored.where(F.col(keyed.BUCKET).isin(names))
+    after = merge_versions(part.select(*schema.names), batch.drop(keyed.DIGEST, keyed.BUCKET), run_ts, key, tracked, close_missing)
+    after = written(keyed.with_bucket(after, (key,), buckets), "merge-after")
+    changed = keyed.changed_buckets(part, after.select(*part.columns))
+    if changed:
+        keyed.replace(after.where(F.col(keyed.BUCKET).isin(changed)).select(*schema.names, keyed.DIGEST, keyed.BUCKET), path)
+    discard(batch, after)
+    return changed
+
+
 def versions_from_log(
     log: DataFrame, keys: list[str], tracked: list[str], time: str, ties: list[str] = (), share: int | None = None
 ) -> DataFrame:

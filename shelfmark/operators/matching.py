@@ -27,10 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.similarity import DIGITS, author_overlap, author_set, title_similarity
-from shelfmark.operators.block_join import best_by_blocks
+from shelfmark.operators.block_join import Partners, best_by_blocks
 from shelfmark.operators.dedupe import keep_first
 from shelfmark.operators.title_join import SLACK, title_pairs
-from shelfmark.session import written
+from shelfmark.session import discard, written
 
 
 @dataclass(frozen=True)
@@ -196,7 +196,7 @@ def _first_offers(a: DataFrame, b: DataFrame, config: MatchConfig) -> DataFrame:
 
 
 def best_titles(
-    titles: DataFrame, others: DataFrame, threshold: float = 0.85, need: str | None = None, cell_rows: int = 8192
+    titles: DataFrame, others: DataFrame, threshold: float = 0.85, need: str | None = None
 ) -> DataFrame:
     """Per distinct ``title`` the most similar row of ``others``: (title, best).
 
@@ -207,17 +207,21 @@ def best_titles(
     they go first. What they reach is what any other title then has to reach at least,
     which rules most of the many others out: blocks of them at once, see ``block_join``.
     """
-    best = "min(struct(-similarity as loss, id_2 as id, title_2 as title)) as best"
-    partners = others.selectExpr("title as title_2", "id as id_2")
-    wanted = titles.selectExpr("title as title_1", f"cast({need or threshold} as double) as need")
-    pairs = title_pairs(wanted, partners, ("title_1", "title_2"), threshold, "need", cell_rows=cell_rows, classes=(3, 4))
-    close = written(pairs.groupBy("title_1").agg(F.expr(best)), "titles")
-    raised = wanted.join(close, "title_1", "left").selectExpr("title_1 as title", "greatest(need, -best.loss) as need")
-    far = best_by_blocks(raised, others, threshold, (0, 1, 2)).selectExpr(
-        "title_1", f"round(similarity, {DIGITS}) as similarity", f"cast(id_2 as {others.schema['id'].dataType.simpleString()}) as id_2", "title_2"
-    )
-    found = close.unionByName(far.where(f"similarity >= {threshold!r}D").groupBy("title_1").agg(F.expr(best)))
-    return found.groupBy(F.col("title_1").alias("title")).agg(F.min("best").alias("best"))
+    wanted = titles.selectExpr("title", f"cast({need or threshold} as double) as need")
+    kind = others.schema["id"].dataType.simpleString()
+    partners = Partners.of(wanted, others)
+
+    def step(left: DataFrame, classes: tuple[int, ...]) -> DataFrame:
+        near = best_by_blocks(left, partners, threshold, classes).selectExpr(
+            "title_1 as title", f"struct(-round(similarity, {DIGITS}) as loss, cast(id_2 as {kind}) as id, title_2 as title) as best"
+        )
+        return near.where(f"-best.loss >= {threshold!r}D").groupBy("title").agg(F.min("best").alias("best"))
+
+    close = written(step(wanted, (3, 4)), "titles")
+    raised = wanted.join(close, "title", "left").selectExpr("title", "greatest(need, -best.loss) as need")
+    found = close.unionByName(step(raised, (0, 1, 2)))
+    discard(partners.pages)
+    return found.groupBy("title").agg(F.min("best").alias("best"))
 
 
 def _best_offers(a: DataFrame, b: DataFrame, config: MatchConfig) -> DataFrame:
@@ -241,7 +245,7 @@ def _best_offers(a: DataFrame, b: DataFrame, config: MatchConfig) -> DataFrame:
     titles_2 = b.groupBy("title").agg(F.min("id").alias("id"))
     least = max(config.title_threshold, config.min_confidence / config.title_weight - SLACK)
     similar = (
-        best_titles(open_titles, titles_2, least, "need", config.cell_rows)
+        best_titles(open_titles, titles_2, least, "need")
         .selectExpr("title", f"struct({_rounded(f'best.loss * {config.title_weight}D')} as loss, best.id as id) as late")
         .where(f"-late.loss >= {config.min_confidence}D")
     )

@@ -397,6 +397,18 @@ UNION ALL
 SELECT n.o_custkey, n.p, '2024-01-31 00:00:00', NULL, TRUE, CAST(CASE WHEN b.p IS NULL THEN 1 ELSE 2 END AS BIGINT)
 FROM now n LEFT JOIN before b USING (o_custkey) WHERE b.p IS NULL OR b.p <> n.p"""
 
+SQL["merge_touched_buckets"] = """
+WITH now AS (SELECT o_custkey, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS p FROM orders WHERE o_custkey % 100 = 7 GROUP BY 1),
+before AS (
+  SELECT o_custkey, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS p FROM orders
+  WHERE o_orderdate < TIMESTAMP '1997-01-01' GROUP BY 1)
+SELECT b.o_custkey, b.p AS o_orderpriority, '1997-01-01 00:00:00' AS valid_from,
+       CASE WHEN n.p <> b.p THEN '2024-01-31 00:00:00' END AS valid_to, n.p IS NULL OR n.p = b.p AS is_current, CAST(1 AS BIGINT) AS version
+FROM before b LEFT JOIN now n USING (o_custkey)
+UNION ALL
+SELECT n.o_custkey, n.p, '2024-01-31 00:00:00', NULL, TRUE, CAST(CASE WHEN b.p IS NULL THEN 1 ELSE 2 END AS BIGINT)
+FROM now n LEFT JOIN before b USING (o_custkey) WHERE b.p IS NULL OR b.p <> n.p"""
+
 SQL["availability_timeline"] = """
 WITH s AS (
   SELECT *, CASE o_orderstatus WHEN 'F' THEN 'in_stock' WHEN 'O' THEN 'out_of_stock' ELSE 'pre_order' END AS status FROM orders

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfmark.functions import records
 from shelfmark.functions import html as h
@@ -23,7 +24,7 @@ from shelfmark.plans.inputs import (
 )
 from shelfmark.schemas import PARSED, PRICE_HISTORY, RUN_REPORT, SILVER
 from shelfmark.session import work_folder
-from shelfmark.sources import tables
+from shelfmark.sources import keyed, tables
 from shelfmark.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -486,6 +487,21 @@ def scd2_merge(spark, folder):
     return merged.select("o_custkey", "o_orderpriority", _time("valid_from"), _time("valid_to"), "is_current", _long("version"))
 
 
+@query
+def merge_touched_buckets(spark, folder):
+    """A stored dimension after a batch of one key in a hundred has come twice."""
+    orders = table(spark, folder, "orders")
+    latest = F.max_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey")).alias("o_orderpriority")
+    before = orders.where("o_orderdate < timestamp_ntz '1997-01-01 00:00:00'").groupBy("o_custkey").agg(latest)
+    batch = orders.where("o_custkey % 100 = 7").groupBy("o_custkey").agg(latest)
+    schema = StructType.fromDDL("o_custkey bigint, o_orderpriority string, valid_from timestamp, valid_to timestamp, is_current boolean, version int")
+    path = work_folder(spark, "dimension")
+    for rows, moment in ((before, "1997-01-01 00:00:00"), (batch, RUN_TS), (batch, "2024-02-29 00:00:00")):
+        dimension.merge_into(spark, path, schema, rows, moment, key="o_custkey", tracked=["o_orderpriority"])
+    stored = keyed.read(spark, path, schema)
+    return stored.select("o_custkey", "o_orderpriority", _time("valid_from"), _time("valid_to"), "is_current", _long("version"))
+
+
 @query
 def availability_timeline(spark, folder):
     names = F.create_map(*[F.lit(x) for x in ("F", "in_stock", "O", "out_of_stock", "P", "pre_order")])
@@ -662,8 +678,7 @@ def _load_documents(spark, folder, path, states):
     store = incremental.append_unseen(path, target, ("content_hash",), ties=("doc_id",))
     for state in states:
         incremental.load_increment(stream, to_rows, store, state).awaitTermination()
-    stored = tables.read_layer(spark, path, target, partitions=("bucket", "batch_id"))
-    return stored.select("doc_id", "lang", "source", "content_hash")
+    return keyed.read(spark, path, target).select("doc_id", "lang", "source", "content_hash")
 
 
 @query

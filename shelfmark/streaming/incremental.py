@@ -8,10 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from shelfmark.operators.dedupe import dedupe_latest, key_digest, new_or_changed
-from shelfmark.sources.tables import read_layer, write_batch
+from shelfmark.operators.dedupe import dedupe_latest, new_or_changed
+from shelfmark.session import discard, written
+from shelfmark.sources import keyed
 
 IDENTITY = ("source", "source_id", "content_hash")
 
@@ -34,28 +35,33 @@ def append_unseen(
     ties: tuple[str, ...] = ("source", "source_id"),
     partitions: tuple[str, ...] = (),
     buckets: int = 16,
+    files_per_bucket: int = 32,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that stores the rows whose identity is not stored yet.
 
     Every batch adds files of its own and replaces nothing, so a new checkpoint, whose
     batch numbers start again, loses no stored row; and all of the table counts as
     stored, so a batch that comes again, from any checkpoint, adds nothing. Identities
-    with nulls compare as values. The table is partitioned by a hash of the identity,
-    and a batch reads the partitions that it touches only.
+    with nulls compare as values. The table is a keyed one (``sources.keyed``): a batch
+    reads the row groups that may hold its rows, and a bucket that has got many files is
+    rewritten as one. ``batch_id`` is a plain column.
     """
 
-    def bucket(rows: DataFrame) -> DataFrame:
-        digest = F.xxhash64(key_digest(*identity))
-        return rows.withColumn("bucket", F.format_string("%05d", F.pmod(digest, F.lit(buckets))))
-
     def store(batch: DataFrame, number: int) -> None:
-        columns = ("bucket", *partitions, "batch_id")
-        rows = bucket(dedupe_latest(batch, list(identity), latest, list(ties)))
-        stored = read_layer(batch.sparkSession, target, schema, partitions=columns)
-        if stored is not None:
-            touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # at most ``buckets`` names
-            rows = new_or_changed(rows, stored.where(F.col("bucket").isin(touched)), list(identity))
-        write_batch(rows, target, f"{number:012d}-{uuid.uuid4().hex}", columns)
+        spark = batch.sparkSession
+        keyed.check_layout(spark, target, identity, buckets)
+        rows = keyed.with_bucket(dedupe_latest(batch, list(identity), latest, list(ties)), identity, buckets)
+        rows = written(rows, "batch")  # read for its keys, and again for its rows
+        full = StructType([*schema.fields, StructField("batch_id", StringType())])
+        with keyed.point_lookups(spark):
+            stored = keyed.read(spark, target, full)
+            fresh = rows if stored is None else new_or_changed(rows, stored.where(keyed.may_hold(rows)), list(identity))
+            fresh = written(fresh.withColumn("batch_id", F.lit(f"{number:012d}-{uuid.uuid4().hex}")), "batch-fresh")
+        if not fresh.isEmpty():
+            keyed.append(fresh.select(*full.names, keyed.DIGEST, keyed.BUCKET), target, partitions)
+            if partitions == ():
+                keyed.compact(spark, target, full, files_per_bucket)
+        discard(rows, fresh)
 
     return store
 

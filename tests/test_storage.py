@@ -2,12 +2,13 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from shelfmark.operators import silver
+from shelfmark.operators import dimension, silver
 from shelfmark.plans.inputs import parsed_parts
 from shelfmark.schemas import RAW_RECORD, SILVER
 from shelfmark.session import work_folder, written
-from shelfmark.sources import tables
+from shelfmark.sources import keyed, tables
 from shelfmark.streaming import incremental
 
 DATA = "/root/testdata/sf0.001"
@@ -121,5 +122,86 @@ def test_a_new_checkpoint_loses_no_stored_row(spark, tmp_path):
     first(rows("3"), 1)
     second(rows("3", "4", None), 0)
     stored = tables.read_layer(spark, target, rows().schema, partitions=("bucket", "batch_id"))
+    assert stored.select("bucket").distinct().count() > 1
     assert sorted(r.source_id or "" for r in stored.collect()) == ["", "1", "2", "3", "4"]
     assert stored.where("source_id = '3'").first()["batch_id"].startswith("000000000001")
+
+
+def _rows_read(table):
+    """Rows that the scan of a table gave after Parquet had left out row groups and pages."""
+    table.collect()
+    waiting, total = [table._jdf.queryExecution().executedPlan()], 0
+    while waiting:
+        node = waiting.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            waiting.append(node.executedPlan())
+        elif name == "FileSourceScanExec":
+            total += node.metrics().apply("numOutputRows").value()
+        else:
+            waiting += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_small_batches_read_little_of_the_stored_side(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "ROW_GROUP", 1 << 16)
+    path = str(tmp_path / "t")
+    rows = spark.range(200_000).selectExpr("cast(id as string) as id", "repeat(cast(id as string), 3) as text")
+    keyed.append(keyed.with_bucket(rows, ("id",), 4), path)
+    read = []
+    for n in (3, 30, 1000, 50_000):
+        batch = keyed.with_bucket(rows.where(f"id < {n}"), ("id",), 4)
+        with keyed.point_lookups(spark):
+            part = keyed.read(spark, path, rows.schema).where(keyed.may_hold(batch))
+            assert part.join(batch.select("id"), "id", "left_semi").count() == n
+            read.append(_rows_read(part.select("id")))
+    assert read[0] < 10_000 and read[0] < read[1] < read[3] and read[3] == 200_000
+
+
+def test_another_layout_is_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("s", "1", "a", None)], "source string, source_id string, content_hash string, ingested_at timestamp")
+    incremental.append_unseen(path, rows.schema, buckets=16)(rows, 0)
+    incremental.append_unseen(path, rows.schema, buckets=16)(rows, 1)
+    with pytest.raises(ValueError, match="16 buckets"):
+        incremental.append_unseen(path, rows.schema, buckets=8)(rows, 2)
+    assert keyed.read(spark, path, rows.schema).count() == 1
+
+
+def test_buckets_of_many_files_are_rewritten(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "source string, source_id string, content_hash string, ingested_at timestamp"
+    kind = spark.createDataFrame([], schema).schema
+    store = incremental.append_unseen(path, kind, buckets=2, files_per_bucket=3)
+    for n in range(6):
+        store(spark.createDataFrame([("s", f"{n}-{k}", "h", None) for k in range(8)], schema), n)
+    stored = keyed.read(spark, path, kind)
+    assert stored.select("source_id").distinct().count() == stored.count() == 48
+    assert stored.select(F.input_file_name().alias("f")).distinct().count() <= 6
+
+
+def _files(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_a_merge_rewrites_only_buckets_that_change(spark, tmp_path):
+    path = tmp_path / "dim"
+    schema = StructType.fromDDL("id string, title string, tags map<string,array<string>>, valid_from timestamp, valid_to timestamp, is_current boolean, version int")
+
+    def merge(rows, ts, **options):
+        df = spark.createDataFrame([(i, t, {"a": [t or "-"], "b": []}) for i, t in rows], "id string, title string, tags map<string,array<string>>")
+        return dimension.merge_into(spark, str(path), schema, df, ts, key="id", tracked=["title", "tags"], buckets=8, **options)
+
+    every = [(f"k{i}", "old") for i in range(200)] + [(None, "no id")]
+    assert len(merge(every, "2024-01-01")) == 8
+    before = _files(path)
+    assert merge(every, "2024-01-02") == [] and _files(path) == before
+    changed = merge([("k7", "new"), ("k8", "old"), ("fresh", "x")], "2024-01-03")
+    after = _files(path)
+    assert 1 <= len(changed) <= 2
+    assert {f for f in before if after.get(f) != before[f]} == {f for f in before if f.split("=")[1][:5] in changed}
+    assert merge([("k7", "new"), ("fresh", "x")], "2024-01-04") == [] and _files(path) == after
+    rows = {(r.id, r.version): (r.title, r.is_current) for r in keyed.read(spark, str(path), schema).collect()}
+    assert len(rows) == 203 and rows["k7", 1] == ("old", False) and rows["k7", 2] == ("new", True) and rows["fresh", 1] == ("x", True)
+    assert len(merge([("k7", "new")], "2024-01-05", close_missing=True)) == 8
+    assert keyed.read(spark, str(path), schema).where("is_current").count() == 1
