@@ -257,6 +257,25 @@ WITH t AS (
 SELECT title, best_title, best_id, round(sim, 6) AS similarity FROM s WHERE sim >= 0.85
 QUALIFY row_number() OVER (PARTITION BY title ORDER BY sim DESC, best_id) = 1"""
 
+# Rounds: a pair that comes first for both of its sides is taken, and all other pairs of either go.
+SQL["match_stable"] = f"""
+WITH RECURSIVE {_MATCHES}, ranked AS (
+  SELECT source1_id, source2_id, confidence_score,
+         row_number() OVER (ORDER BY confidence_score DESC, md5(
+           concat_ws('|', coalesce(source1_isbn13, ''), source1_title, array_to_string(list_sort(list_distinct(source1_authors)), ','),
+                     coalesce(source2_isbn13, ''), source2_title, array_to_string(list_sort(list_distinct(source2_authors)), ','))),
+           source1_id, source2_id) AS place
+  FROM scored WHERE confidence_score >= 0.6
+), r AS (
+  SELECT *, place = min(place) OVER (PARTITION BY source1_id) AND place = min(place) OVER (PARTITION BY source2_id) AS taken FROM ranked
+  UNION ALL
+  SELECT source1_id, source2_id, confidence_score, place,
+         place = min(place) OVER (PARTITION BY source1_id) AND place = min(place) OVER (PARTITION BY source2_id) AS taken
+  FROM (SELECT *, bool_or(taken) OVER (PARTITION BY source1_id) AS gone1, bool_or(taken) OVER (PARTITION BY source2_id) AS gone2 FROM r) s
+  WHERE NOT gone1 AND NOT gone2
+)
+SELECT source1_id, source2_id, round(confidence_score, 6) AS confidence_score FROM r WHERE taken"""
+
 SQL["match_summary"] = f"""
 WITH {_MATCHES}
 SELECT match_type, count(*) AS pairs, round(avg(confidence_score), 4) AS avg_confidence,

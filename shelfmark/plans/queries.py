@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from shelfmark.functions import records
 from shelfmark.functions import html as h
-from shelfmark.operators import bronze, dedupe, dimension, facts, matching, ordered, profiles, quality, silver
+from shelfmark.operators import assignment, bronze, dedupe, dimension, facts, matching, ordered, profiles, quality, silver
 from shelfmark.plans.inputs import (
     RUN_TS,
     api_records,
@@ -284,6 +284,12 @@ def match_one_to_one(spark, folder):
     return _match_text(_matches(spark, folder, one_to_one=True))
 
 
+@query
+def match_stable(spark, folder):
+    """One to one, and who loses a partner gets the next one."""
+    return assignment.stable_match(*_sides(spark, folder)).select("source1_id", "source2_id", _round("confidence_score"))
+
+
 @query
 def match_repeated_ids(spark, folder):
     """One pair per id of side 1, though three rows share an id and some have no authors."""
