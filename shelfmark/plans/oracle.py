@@ -288,6 +288,47 @@ SELECT source, source_id, title FROM v
 WHERE (side = 0 AND source_id NOT IN (SELECT source1_id FROM unique_best))
    OR (side = 1 AND source_id NOT IN (SELECT source2_id FROM unique_best))"""
 
+# ---- books of three sources --------------------------------------------------------
+
+_CLUSTERS = """
+RECURSIVE v AS (
+  SELECT 'shop_' || substr('abc', CAST(p_partkey % 3 + 1 AS INTEGER), 1) AS source, 'p' || p_partkey AS source_id,
+         CASE WHEN p_partkey % 7 = 0 THEN lpad(CAST(p_partkey AS VARCHAR), 13, '9') END AS isbn13,
+         p_name || ' ' || p_brand AS title, CASE WHEN p_partkey % 4 <> 0 THEN string_split(p_name, ' ') END AS authors,
+         CASE WHEN p_partkey % 5 <> 0 THEN p_type END AS category, p_name, p_size FROM part
+), links AS (
+  SELECT a.source || '|' || a.source_id AS a, 'shop_b|' || b.id AS b, 0.95 AS score
+  FROM v a JOIN (SELECT title, min(source_id) AS id FROM v WHERE source = 'shop_b' GROUP BY 1) b USING (title) WHERE a.source = 'shop_a'
+  UNION ALL
+  SELECT a.source || '|' || a.source_id, 'shop_c|' || b.id, 0.75
+  FROM v a JOIN (SELECT p_name, p_size, min(source_id) AS id FROM v WHERE source = 'shop_c' GROUP BY 1, 2) b USING (p_name, p_size) WHERE a.source = 'shop_b'
+), edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach AS (SELECT a AS node, a AS other FROM edges UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.other = e.a
+), labels AS (SELECT node, min(other) AS label FROM reach GROUP BY 1
+), weakest AS (SELECT label, min(score) AS score FROM links JOIN labels ON node = a GROUP BY 1
+), named AS (
+  SELECT v.*, coalesce(label, source || '|' || source_id) AS label, score FROM v
+  LEFT JOIN (SELECT node, label, score FROM labels JOIN weakest USING (label)) ON node = source || '|' || source_id
+), ids AS (
+  SELECT *, 'bk_' || substr(sha256('6:' || substr(label, 1, 6) || '|' || (length(label) - 7) || ':' || substr(label, 8)), 1, 32) AS book_id FROM named
+)"""
+
+SQL["canonical_many_sources"] = f"""
+WITH {_CLUSTERS}, per AS (
+  SELECT book_id, source, string_agg(source_id, ',' ORDER BY source_id) AS listed FROM ids GROUP BY 1, 2
+), listed AS (SELECT book_id, string_agg(source || '=' || listed, '|' ORDER BY source) AS source_ids, count(*) AS source_count FROM per GROUP BY 1)
+SELECT book_id, arg_min(source_id, (source, source_id)) || CASE WHEN count(*) = 1 THEN '_single' ELSE '' END AS source_key,
+       arg_min(isbn13, (source, source_id)) FILTER (isbn13 IS NOT NULL) AS isbn13, any_value(listed.source_ids) AS source_ids,
+       arg_min(title, (source, source_id)) AS title,
+       array_to_string(arg_min(authors, (source, source_id)) FILTER (authors IS NOT NULL), '|') AS authors,
+       arg_min(category, (source, source_id)) FILTER (category IS NOT NULL) AS primary_category,
+       CAST(coalesce(min(score), 1.0) AS DOUBLE) AS confidence_score, CAST(min(score) AS DOUBLE) AS match_score, any_value(listed.source_count) AS source_count
+FROM ids JOIN listed USING (book_id) GROUP BY book_id"""
+
+SQL["prices_many_sources"] = f"""
+WITH {_CLUSTERS}
+SELECT book_id, count(*) AS events, count(DISTINCT source) AS sources FROM ids GROUP BY 1"""
+
 # ---- gold ------------------------------------------------------------------------
 
 _GOLD = f"""

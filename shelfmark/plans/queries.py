@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from shelfmark.functions import records
 from shelfmark.functions import html as h
-from shelfmark.operators import assignment, bronze, dedupe, dimension, facts, matching, ordered, profiles, quality, silver
+from shelfmark.operators import assignment, bronze, clusters, dedupe, dimension, facts, matching, ordered, profiles, quality, silver
 from shelfmark.plans.inputs import (
     RUN_TS,
     api_records,
@@ -369,6 +369,48 @@ def prices_per_source(spark, folder):
     return facts.prices_per_source(facts.price_history(*_gold_inputs(spark, folder)))
 
 
+def _three_sources(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of three sources, and links between the first and second and the second and third only."""
+    key = F.col("p_partkey")
+    rows = table(spark, folder, "part").select(
+        F.concat(F.lit("shop_"), F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (key % 3 + 1).cast("int"))).alias("source"),
+        F.concat(F.lit("p"), key).alias("source_id"),
+        F.when(key % 7 == 0, F.lpad(key.cast("string"), 13, "9")).alias("isbn13"),
+        F.concat_ws(" ", "p_name", "p_brand").alias("title"),
+        F.when(key % 4 != 0, F.split("p_name", " ")).alias("authors"),
+        F.when(key % 5 != 0, F.concat_ws(" > ", F.lit("Books"), "p_type")).alias("category_path"),
+        "p_name", "p_size",
+    )
+
+    def linked(one: str, two: str, same: list[str], score: float) -> DataFrame:
+        left = rows.where(F.col("source") == one).select(F.col("source").alias("source_a"), F.col("source_id").alias("id_a"), *same)
+        right = rows.where(F.col("source") == two).groupBy(*same).agg(F.min("source_id").alias("id_b")).withColumn("source_b", F.lit(two))
+        return left.join(right, same).select("source_a", "id_a", "source_b", "id_b", F.lit(score).alias("score"))
+
+    links = linked("shop_a", "shop_b", ["title"], 0.95).unionByName(linked("shop_b", "shop_c", ["p_name", "p_size"], 0.75))
+    return rows.drop("p_name", "p_size"), links
+
+
+@query
+def canonical_many_sources(spark, folder):
+    """Books of three sources, chains over the middle one included."""
+    rows, links = _three_sources(spark, folder)
+    books = clusters.build_clusters(rows, clusters.book_clusters(links), RUN_TS)
+    entry = F.transform(F.array_sort(F.map_entries("source_ids")), lambda e: F.concat_ws("=", e["key"], F.array_join(e["value"], ",")))
+    return books.select(
+        "book_id", "source_key", "isbn13", F.array_join(entry, "|").alias("source_ids"), "title", _joined("authors"), "primary_category",
+        _round("confidence_score"), _round("match_score"), _long("source_count"),
+    )
+
+
+@query
+def prices_many_sources(spark, folder):
+    """Price events of three sources under the ids of their books."""
+    rows, links = _three_sources(spark, folder)
+    found = clusters.with_cluster_ids(rows.select("source", "source_id"), clusters.book_clusters(links))
+    return found.groupBy("book_id").agg(F.count(F.lit(1)).alias("events"), F.count_distinct("source").alias("sources"))
+
+
 @query
 def source_split(spark, folder):
     rows, pairs = _gold_inputs(spark, folder)
