@@ -16,7 +16,9 @@ ENTITIES = {name[:-1]: text for name, text in html5.items() if name.endswith(";"
 # Tags that have no end tag.
 VOID_TAGS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
 
-_REFERENCE = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+_REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+#: The same within an attribute's value, where an ampersand without a semicolon is most often one of an address.
+_STRICT = r"&((?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);)"
 #: Characters that the numbers 128 to 159 stand for on web pages.
 _WINDOWS = {n: bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (129, 141, 143, 144, 157)}
 
@@ -47,25 +49,73 @@ _NAMED = {name: "&amp;" if text == "&" else text for name, text in ENTITIES.item
 _OFTEN = {name: _NAMED[name] for name in ("amp", "lt", "gt", "quot", "apos", "nbsp", "pound", "euro")}
 
 
-def unescape(text: Column) -> Column:
-    """Numbered and named character references as characters."""
+# Names that the public HTML5 table has without a semicolon too: of a run of letters the longest of these counts.
+_OPEN = r"^(" + "|".join(sorted((name for name in html5 if not name.endswith(";")), key=lambda n: (-len(n), n))) + ")"
+
+
+def unescape(text: Column, attribute: bool = False) -> Column:
+    """Numbered and named character references as characters; in an ``attribute`` only those with a semicolon."""
     # one literal: the table is parsed once, when the plan is made
     often, named = [F.from_json(F.lit(json.dumps(names)), "map<string,string>") for names in (_OFTEN, _NAMED)]
 
-    def decode(done: Column, name: Column) -> Column:
-        reference = F.concat(F.lit("&"), name, F.lit(";"))
-        character = F.when(name.startswith("#"), _numbered(name)).otherwise(
-            F.coalesce(F.try_element_at(often, name), F.try_element_at(named, name), reference)
+    def known(name: Column) -> Column:
+        return F.coalesce(F.try_element_at(often, name), F.try_element_at(named, name))
+
+    def decode(done: Column, token: Column) -> Column:
+        name, reference = F.regexp_replace(token, ";$", ""), F.concat(F.lit("&"), token)
+        begun = F.regexp_extract(token, _OPEN, 1)
+        shorter = F.when(begun != "", F.concat(known(begun), F.substring(token, F.length(begun) + 1, F.length(token))))
+        character = F.when(token.startswith("#"), _numbered(name)).otherwise(
+            F.coalesce(F.when(token.endswith(";"), known(name)), reference if attribute else F.coalesce(shorter, reference))
         )
         return F.replace(done, reference, character)
 
     def decoded(t: Column) -> Column:
-        used = F.array_distinct(F.regexp_extract_all(t, F.lit(_REFERENCE), F.lit(1)))
-        return F.when(t.contains("&"), F.replace(F.aggregate(used, t, decode), F.lit("&amp;"), F.lit("&"))).otherwise(t)
+        used = F.array_distinct(F.regexp_extract_all(t, F.lit(_STRICT if attribute else _REFERENCE), F.lit(1)))
+        # long ones first: a reference without a semicolon may be the beginning of another
+        order = F.array_sort(used, lambda x, y: F.length(y) - F.length(x))
+        return F.when(t.contains("&"), F.replace(F.aggregate(order, t, decode), F.lit("&amp;"), F.lit("&"))).otherwise(t)
 
     return bind(text, decoded)
 
 
+_INSIDE = r"""(?:"[^"]*+"|'[^']*+'|[^'">]++)*+"""
+_TOKEN = rf"(?is)<!--.*?(?:-->|\z)|<(?:script\b{_INSIDE}>.*?</script\s*+>|style\b{_INSIDE}>.*?</style\s*+>)|</?[a-z]{_INSIDE}>|<[!?][^>]*+>|[^<]++|<"
+_ATTRIBUTE = r"""[^\s"'<>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+"""
+#: What a page must have for a token pass to change it: comments, scripts, bare or single-quoted values, or marks inside quotes.
+_ODD = r"""(?is)<!--|<s(?:cript|tyle)\b|=\s*+[^\s"<>]|="[^"]*[<>'][^"]*\""""
+
+
+def normalized(html: Column) -> Column:
+    """The page in plain markup, by one pass over its tokens that knows quotes.
+
+    Comments, scripts and styles go; every attribute value stands in double quotes and
+    holds no quote or bracket of its own (references take their place). The patterns of
+    this module can rely on that. Pages that are so already are left as they are.
+    """
+
+    def value(attribute: Column) -> Column:
+        name = F.regexp_extract(attribute, r"^([^\s=]+)", 1)
+        given = F.regexp_extract(attribute, r"(?s)=\s*(.*)$", 1)
+        bare = F.regexp_replace(given, r"""(?s)^"(.*)"$|^'(.*)'$""", "$1$2")
+        plain = bare
+        for mark, reference in (('"', "&quot;"), ("'", "&#39;"), ("<", "&lt;"), (">", "&gt;")):
+            plain = F.replace(plain, F.lit(mark), F.lit(reference))
+        return F.when(attribute.contains("="), F.concat(F.lit(" "), name, F.lit('="'), plain, F.lit('"'))).otherwise(F.concat(F.lit(" "), name))
+
+    def rewritten(token: Column) -> Column:
+        opening = F.regexp_extract(token, r"^(<[A-Za-z][^\s/>]*)", 1)
+        rest = F.substring(token, F.length(opening) + 1, F.length(token))
+        attributes = F.regexp_extract_all(rest, F.lit(_ATTRIBUTE), F.lit(0))
+        closed = F.when(token.endswith("/>"), F.lit("/>")).otherwise(F.lit(">"))
+        tag = F.concat(opening, F.array_join(F.transform(attributes, value), ""), closed)
+        dropped = token.rlike(r"(?i)^<(?:!--|script\b|style\b)")
+        return F.when(dropped, "").when((opening != "") & token.contains("="), tag).otherwise(token)
+
+    tokens = F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0))
+    return F.when(html.rlike(_ODD), F.array_join(F.transform(tokens, rewritten), "")).otherwise(html)
+
+
 def strip_tags(markup: Column) -> Column:
     """Text of a markup fragment: no comments, scripts or tags, references decoded, trimmed."""
     plain = F.regexp_replace(markup, r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>|<[^>]*>", "")

@@ -1,7 +1,9 @@
 """Raw pages and API records to parsed records.
 
 Input of the page operators is a bronze table (source_url, raw_content, http_status,
-ingested_at). All fields of a page come from one projection over it.
+ingested_at). All fields of a page come from one projection over it. Functions of a page
+take plain markup: the operators on tables bring it into that form once
+(``functions.html.normalized``), and so must who calls a function on a page of its own.
 """
 
 from __future__ import annotations
@@ -143,7 +145,7 @@ def category_from_url(url: Column) -> Column:
 def image_source(html: Column) -> Column:
     """Address of the shown picture as the page gives it."""
     image = h.first_match(h.inside_class(html, "item active"), r"(?is)(<img\b[^>]*>)")
-    return h.first_match(image, h.attribute("src"))
+    return h.unescape(h.first_match(image, h.attribute("src")), attribute=True)
 
 
 def review_count(specs: Column) -> Column:
@@ -159,6 +161,7 @@ def is_detail_page(url: Column) -> Column:
 def _fragments(pages: DataFrame) -> DataFrame:
     """What several fields use, or one field uses several times, taken out of the page once."""
     page = F.col("raw_content")
+    pages = pages.withColumn("raw_content", h.normalized(page))
     return pages.select(
         "source_url",
         "ingested_at",
@@ -238,8 +241,9 @@ def _links(pages: DataFrame, within: str | None) -> DataFrame:
     if within:
         ended = lambda part: F.split(part, rf"(?i)</{within}[\s>]", 2)[0]
         found = F.flatten(F.transform(h.elements(F.col("raw_content"), within), lambda part: links_of(ended(part))))
+    pages = pages.withColumn("raw_content", h.normalized(F.col("raw_content")))
     links = pages.select("source_url", F.posexplode(found).alias("position", "_ref"))
-    return links.withColumn("_ref", h.unescape(F.col("_ref")))
+    return links.withColumn("_ref", h.unescape(F.col("_ref"), attribute=True))
 
 
 def page_links(pages: DataFrame, within: str | None = None) -> DataFrame:
@@ -260,17 +264,18 @@ def category_links(pages: DataFrame, scope: str = "side_categories") -> DataFram
 
     The links in the inner lists of the element with class ``scope``.
     """
+    pages = pages.withColumn("raw_content", h.normalized(F.col("raw_content")))
     side = h.inside_class(F.col("raw_content"), scope)
     lists = F.slice(h.elements(side, "ul"), 2, F.size(h.elements(side, "ul")))
     inside = F.transform(lists, lambda u: F.split(u, r"(?i)</ul[\s>]", 2)[0])
     found = F.flatten(F.transform(inside, lambda u: F.regexp_extract_all(u, F.lit(r"(?is)(<a\b[^>]*\bhref\s*=[^>]*>.*?)</a\s*>"), F.lit(1))))
     links = pages.select("source_url", F.posexplode(found).alias("position", "_a"))
-    ref = h.unescape(h.first_match(F.col("_a"), _LINK))
+    ref = h.unescape(h.first_match(F.col("_a"), _LINK), attribute=True)
     return links.select("source_url", "position", h.strip_tags(F.col("_a")).alias("name"), h.resolve_url(F.col("source_url"), ref).alias("link"))
 
 
 def next_page(html: Column, url: Column) -> Column:
-    return h.resolve_url(url, h.first_match(h.inside_class(html, "next", "li"), _LINK))
+    return h.resolve_url(url, h.unescape(h.first_match(h.inside_class(html, "next", "li"), _LINK), attribute=True))
 
 
 def first_per_group(df: DataFrame, group: str, order: list[str], n: int) -> DataFrame:

@@ -147,6 +147,19 @@ def nested_pages(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").selectExpr("p_partkey", f"{url} as source_url", f"{html} as raw_content")
 
 
+def rough_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages as they are found: comments, scripts, bare and single-quoted values, marks inside quotes, open references."""
+    html = """concat(
+      '<html><!-- <h1>old</h1> <li class="next"><a href="old.html">x</a></li> --><script>var s = "<h1>no</h1>";</script>',
+      '<h1 title="a > b">', p_name, ' &eacute &notin; &AMP &#163 x</h1><p class=price_color>&pound', format_string('%.2f', p_retailprice), '</p>',
+      '<p class=\\'star-rating ', element_at(array('One', 'Two', 'Three', 'Four', 'Five'), cast(p_partkey % 5 as int) + 1), '\\'></p>',
+      '<div class="item active"><img alt="it\\'s" src=pic_', p_partkey, '.jpg></div><p class=availability>In stock</p>',
+      '<h3><a href="it\\'s_', p_partkey, '/index.html?a=1&copy=2&amp;b">1</a></h3><h3><a class=x href=c_', p_partkey, '/index.html>2</a></h3>',
+      '<ul class=pager><li class=next><a href=page-', p_partkey + 1, '.html>next</a></ul></html>')"""
+    url = "concat('http://shop.example.com/catalogue/part-', p_partkey, '/index.html')"
+    return table(spark, folder, "part").selectExpr("p_partkey", f"{url} as source_url", f"{html} as raw_content", "200 as http_status", f"timestamp '{RUN_TS}' as ingested_at")
+
+
 def home_pages(spark: SparkSession, folder: str) -> DataFrame:
     """A home page for each size, with the types of its parts as the category list."""
     entry = F.concat(F.lit('<li><a href="catalogue/category/books/'), "p_type", F.lit('_1/index.html">\n  '), "p_type", F.lit(" &amp; more</a></li>"))

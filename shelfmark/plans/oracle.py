@@ -50,6 +50,19 @@ SELECT p_partkey, p_type || ' É½é≂̸' AS category, '../pic/' || p_partkey |
        CASE WHEN p_partkey % 4 <> 0 THEN 'http://shop.example.com/catalogue/category/books/p_1/page-' || (p_partkey + 1) || '.html' END AS next_url
 FROM part"""
 
+SQL["rough_markup"] = """
+SELECT 'http://shop.example.com/catalogue/part-' || p_partkey || '/index.html' AS source_url, p_name || ' é ∉ & £ x' AS title,
+       round(p_retailprice, 2) AS price_current, 'GBP' AS currency, 'in_stock' AS availability, CAST(p_partkey % 5 + 1 AS DOUBLE) AS rating,
+       'http://shop.example.com/catalogue/part-' || p_partkey || '/pic_' || p_partkey || '.jpg' AS image_url
+FROM part"""
+
+SQL["rough_links"] = """
+SELECT 'http://shop.example.com/catalogue/part-' || p_partkey || '/index.html' AS source_url, CAST(position AS BIGINT) AS position,
+       'http://shop.example.com/catalogue/part-' || p_partkey || '/' || CASE position
+         WHEN 0 THEN 'it''s_' || p_partkey || '/index.html?a=1&copy=2&b' WHEN 1 THEN 'c_' || p_partkey || '/index.html'
+         ELSE 'page-' || (p_partkey + 1) || '.html' END AS link
+FROM part CROSS JOIN (SELECT unnest([-1, 0, 1]) AS position)"""
+
 SQL["links_inside_headings"] = """
 SELECT 'http://shop.example.com/catalogue/category/books/p_1/page-' || p_partkey || '.html' AS source_url, CAST(position AS BIGINT) AS position,
        'http://shop.example.com/catalogue/category/books/p_1/' || CASE position WHEN 0 THEN 'one-' ELSE 'two-' END || p_partkey || '.html' AS link

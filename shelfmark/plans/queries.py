@@ -20,6 +20,7 @@ from shelfmark.plans.inputs import (
     nested_pages,
     parsed_parts,
     product_pages,
+    rough_pages,
     table,
 )
 from shelfmark.schemas import PARSED, PRICE_HISTORY, RUN_REPORT, SILVER
@@ -120,6 +121,20 @@ def page_selectors(spark, folder):
     )
 
 
+@query
+def rough_markup(spark, folder):
+    """Fields of pages with comments, scripts, bare values and open references."""
+    parsed = bronze.page_fields(rough_pages(spark, folder))
+    return parsed.select("source_url", "title", "price_current", "currency", "availability", "rating", "image_url")
+
+
+@query
+def rough_links(spark, folder):
+    pages = rough_pages(spark, folder)
+    following = pages.select("source_url", F.lit(-1).alias("position"), bronze.next_page(h.normalized(F.col("raw_content")), F.col("source_url")).alias("link"))
+    return bronze.page_links(pages, "h3").unionByName(following).select("source_url", _long("position"), "link")
+
+
 @query
 def links_inside_headings(spark, folder):
     return bronze.page_links(nested_pages(spark, folder), "h3").select("source_url", _long("position"), "link")

@@ -136,3 +136,44 @@ def test_hydrate(spark):
 def test_first_per_group(spark):
     df = spark.createDataFrame([("a", i) for i in range(5)] + [("b", 9)], "g string, i int")
     assert sorted((r.g, r.i) for r in bronze.first_per_group(df, "g", ["i"], 2).collect()) == [("a", 0), ("a", 1), ("b", 9)]
+
+
+def _plain(spark, *pages):
+    df = spark.createDataFrame([(p,) for p in pages], "html string")
+    return [r[0] for r in df.select(h.normalized(F.col("html"))).collect()]
+
+
+def test_plain_markup_is_left_alone(spark):
+    page = '<html><p class="a b" id="x">1 &lt; 2, it\'s</p><br/><!DOCTYPE x></html>'
+    assert _plain(spark, page, "", None, "no tags < at all") == [page, "", None, "no tags < at all"]
+
+
+def test_token_pass(spark):
+    pages = {
+        "<!-- <h1>old</h1> --><h1>new</h1>": "<h1>new</h1>",
+        "a<!-- never ended <b>": "a",
+        "<a href='x y' rel=next>t</a>": '<a href="x y" rel="next">t</a>',
+        "<a href=\"it's\" title='say \"hi\"'>t</a>": '<a href="it&#39;s" title="say &quot;hi&quot;">t</a>',
+        '<a title="1 > 0" href = c/d.html disabled>': '<a title="1 &gt; 0" href="c/d.html" disabled>',
+        # a slash belongs to a bare value
+        "<img src=a.png/><IMG SRC='b'/>": '<img src="a.png/"/><IMG SRC="b"/>',
+        "<script>if (a < b) { x = '<h1>' }</script><style a=b>p > q {}</style><p>y": "<p>y",
+        '<a href="unended>text <b>': '<a href="unended>text <b>',
+        "x = 'y' <b>": "x = 'y' <b>",
+    }
+    assert _plain(spark, *pages) == list(pages.values())
+    assert _plain(spark, *pages.values()) == list(pages.values())  # once is enough
+
+
+def test_long_attributes_and_pages(spark):
+    page = "<p class=x>" + "<a href='" + "y" * 100_000 + "'>" + "<b title=t>z</b>" * 20_000
+    assert len(_plain(spark, page)[0]) == len('<p class="x">') + len('<a href="">') + 100_000 + len('<b title="t">z</b>') * 20_000
+
+
+def test_references_without_a_semicolon(spark):
+    texts = {"&pound51.77": "£51.77", "&eacute ": "é ", "&#163 5 &#1634; &#163;": "£ 5 ٢ £", "&notit; &notin; &not": "¬it; ∉ ¬", "&ampamp; &amp;lt;": "&amp; &lt;", "&nosuch &nosuch; a & b &": "&nosuch &nosuch; a & b &", "&#x41&#x42;": "AB"}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(h.unescape(F.col("t"))).collect()] == list(texts.values())
+    refs = {"?a=1&copy=2&amp;b": "?a=1&copy=2&b", "it&#39;s": "it's", "&#163 &eacute": "&#163 &eacute"}
+    df = spark.createDataFrame([(t,) for t in refs], "t string")
+    assert [r[0] for r in df.select(h.unescape(F.col("t"), attribute=True)).collect()] == list(refs.values())
