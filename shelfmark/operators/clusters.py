@@ -79,7 +79,8 @@ def build_clusters(silver: DataFrame, clusters: DataFrame, run_ts: str | datetim
     """The first version of every canonical book, from rows of any number of sources.
 
     ``silver`` is unique per (source, source_id). Members rank by source and id; of each
-    attribute the first that is not null counts, the title is that of the first member.
+    attribute the first that is not null counts, the title is that of the first member; a
+    book without any category is in "Unknown".
     ``source_ids`` lists all ids by source, so a book has as long a list as it has members.
     """
     rows = silver.join(clusters.select("source", "source_id", "book_id", "link_score"), ["source", "source_id"], "left")
@@ -104,7 +105,7 @@ def build_clusters(silver: DataFrame, clusters: DataFrame, run_ts: str | datetim
         "book_id",
         F.concat_ws("_", F.col("head.rank.source_id"), F.when(F.aggregate(F.map_values("source_ids"), F.lit(0), lambda n, ids: n + F.size(ids)) == 1, F.lit("single"))).alias("source_key"),
         "isbn13", "source_ids", F.col("head.title").alias("title"), "authors",
-        F.get(levels, F.lit(1)).alias("primary_category"), levels.alias("category_hierarchy"),
+        F.coalesce(F.get(levels, F.lit(1)), F.lit("Unknown")).alias("primary_category"), levels.alias("category_hierarchy"),
         F.lit(run_ts).cast("timestamp").alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"), F.lit(True).alias("is_current"), F.lit(1).alias("version"),
         F.least(F.lit(1.0), F.coalesce("match_score", F.lit(1.0))).alias("confidence_score"), "match_score", "source_count",
     )

@@ -18,6 +18,12 @@ FIELD_MAPPING = {
     "url": "product_url",
 }
 
+# The same by kind of source, where a name means different things.
+SOURCE_FIELDS = {
+    "page": {"title": "title", "price": "price_current", "availability": "availability", "rating": "rating"},
+    "api": {"title": "title", "price": "price_current", "url": "product_url"},
+}
+
 # Category spelling by lower-case name.
 CATEGORY_NAMES = {
     "travel": "Travel & Tourism",
@@ -25,8 +31,13 @@ CATEGORY_NAMES = {
 }
 
 
-def rename_fields(df: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
-    """Source column names to canonical ones; columns without an entry stay."""
+def rename_fields(df: DataFrame, mapping: dict[str, str] | None = None, kind: str | None = None) -> DataFrame:
+    """Source column names to canonical ones; columns without an entry stay.
+
+    ``kind`` takes the map of one kind of source (``SOURCE_FIELDS``) instead.
+    """
+    if kind is not None:
+        mapping = SOURCE_FIELDS[kind]
     return df.withColumnsRenamed(FIELD_MAPPING if mapping is None else mapping)
 
 

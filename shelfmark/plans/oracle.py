@@ -177,6 +177,10 @@ SQL["mapped_fields"] = """
 SELECT p_name AS title, p_retailprice AS price_current, 'in_stock' AS availability, p_size / 10.0::DOUBLE AS rating,
        'http://example.com/' || p_partkey AS product_url, replace(p_name, ' ', '|') AS authors FROM part"""
 
+SQL["mapped_by_source"] = """
+SELECT p_partkey, p_name AS title, p_retailprice AS price_current, CASE WHEN p_partkey % 2 = 0 THEN 'http://example.com/' || p_partkey END AS url,
+       CASE WHEN p_partkey % 2 = 1 THEN 'http://example.com/' || p_partkey END AS product_url FROM part"""
+
 SQL["silver_coercion"] = f"""
 WITH {_SILVER}
 SELECT product_url, CASE WHEN upc IS NULL THEN '' ELSE coalesce(title, '') END AS authors,
@@ -334,7 +338,7 @@ SELECT book_id, arg_min(source_id, (source, source_id)) || CASE WHEN count(*) =
        arg_min(isbn13, (source, source_id)) FILTER (isbn13 IS NOT NULL) AS isbn13, any_value(listed.source_ids) AS source_ids,
        arg_min(title, (source, source_id)) AS title,
        array_to_string(arg_min(authors, (source, source_id)) FILTER (authors IS NOT NULL), '|') AS authors,
-       arg_min(category, (source, source_id)) FILTER (category IS NOT NULL) AS primary_category,
+       coalesce(arg_min(category, (source, source_id)) FILTER (category IS NOT NULL), 'Unknown') AS primary_category,
        CAST(coalesce(min(score), 1.0) AS DOUBLE) AS confidence_score, CAST(min(score) AS DOUBLE) AS match_score, any_value(listed.source_count) AS source_count
 FROM ids JOIN listed USING (book_id) GROUP BY book_id"""
 
@@ -604,3 +608,30 @@ SQL["incremental_load"] = f"SELECT doc_id, lang, source, content_hash FROM ({_FI
 SQL["incremental_restart"] = SQL["incremental_load"]
 
 SQL["stream_dedup"] = "SELECT DISTINCT user_id, event_type FROM events"
+
+SQL["default_batch"] = f"""
+WITH {_SILVER}
+SELECT source, count(*) AS rows, CAST(1 AS BIGINT) AS batches FROM silver WHERE source_id IS NOT NULL GROUP BY 1"""
+
+SQL["balanced_write"] = """
+SELECT o_orderstatus AS source, 'b1' AS batch_id, count(*) AS rows, round(sum(o_totalprice), 2) AS price_sum FROM orders GROUP BY 1"""
+
+SQL["stream_late_rows"] = """
+WITH e AS (
+  SELECT ts, user_id, event_type, CASE WHEN epoch_us(ts) >= (SELECT quantile_cont(epoch_us(ts), 0.5) FROM events) THEN 0 ELSE 1 END AS batch FROM events
+), t AS (SELECT *, batch = 1 AND ts < (SELECT max(ts) FROM e WHERE batch = 0) - INTERVAL 20 DAY AS is_late FROM e
+), k AS (SELECT user_id, event_type, min(batch) AS batch FROM t WHERE NOT is_late GROUP BY 1, 2
+), s AS (SELECT batch, count(*) AS stored FROM k GROUP BY 1)
+SELECT CAST(batch AS BIGINT) AS batch, count(*) AS came, any_value(coalesce(stored, 0)) AS stored,
+       count(*) - count(*) FILTER (is_late) - any_value(coalesce(stored, 0)) AS repeats, count(*) FILTER (is_late) AS late
+FROM t LEFT JOIN s USING (batch) GROUP BY 1"""
+
+SQL["layer_counts"] = f"""
+WITH {_SILVER}
+SELECT (SELECT count(*) FROM part) AS bronze, (SELECT count(*) FROM silver WHERE {_REASONS} = '') AS silver,
+       (SELECT count(DISTINCT category_path) + 1 FROM silver) AS gold"""
+
+# Required columns of each gold table, by its schema.
+SQL["gold_contract"] = """
+SELECT table_name, '' AS differences, CAST(required AS BIGINT) AS required, CAST(0 AS BIGINT) AS nulls
+FROM (VALUES ('canonical_books', 8), ('price_history', 6), ('availability_history', 4), ('category_dimension', 4), ('rule_results', 4), ('run_report', 4)) t(table_name, required)"""

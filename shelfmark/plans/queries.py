@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +24,7 @@ from shelfmark.plans.inputs import (
     rough_pages,
     table,
 )
-from shelfmark.schemas import PARSED, PRICE_HISTORY, RUN_REPORT, SILVER
+from shelfmark.schemas import AVAILABILITY_HISTORY, CANONICAL, CATEGORY_DIMENSION, PARSED, PRICE_HISTORY, RULE_RESULT, RUN_REPORT, SILVER
 from shelfmark.session import work_folder
 from shelfmark.sources import keyed, tables
 from shelfmark.streaming import incremental
@@ -241,6 +242,17 @@ def mapped_fields(spark, folder):
     return done.select("title", "price_current", "availability", "rating", "product_url", _joined("authors"))
 
 
+@query
+def mapped_by_source(spark, folder):
+    """Each kind of source has a map of its own: a page's url is no product_url."""
+    rows = table(spark, folder, "part").select(
+        "p_partkey", F.col("p_name").alias("title"), F.col("p_retailprice").alias("price"), F.concat(F.lit("http://example.com/"), F.col("p_partkey").cast("string")).alias("url")
+    )
+    page = silver.rename_fields(rows.where("p_partkey % 2 = 0"), kind="page").withColumn("product_url", F.lit(None).cast("string"))
+    api = silver.rename_fields(rows.where("p_partkey % 2 = 1"), kind="api").withColumn("url", F.lit(None).cast("string"))
+    return page.unionByName(api).select("p_partkey", "title", "price_current", "url", "product_url")
+
+
 @query
 def silver_coercion(spark, folder):
     """Authors given as one text, and times that are no times."""
@@ -717,6 +729,61 @@ def report_roundtrip(spark, folder):
     return tables.read_json(spark, path, RUN_REPORT).select("run_id", "status", _time("start_time"), _time("end_time"), "records_ingested", "records_rejected")
 
 
+@query
+def default_batch(spark, folder):
+    """A batch without an id is named by the time of writing and found by that pattern."""
+    path = work_folder(spark, "silver")
+    tables.write_batch(_silver(spark, folder).where("source_id is not null"), path)
+    back = tables.read_layer(spark, path, SILVER).where(F.col("batch_id").rlike("^[0-9]{8}_[0-9]{6}$"))
+    return back.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("batch_id").alias("batches"))
+
+
+@query
+def balanced_write(spark, folder):
+    """Orders by status, two of the three with nearly half of all rows: files of like size."""
+    path = work_folder(spark, "orders")
+    rows = table(spark, folder, "orders").select(F.col("o_orderstatus").alias("source"), "o_orderkey", "o_totalprice")
+    tables.write_batch(rows, path, "b1", file_bytes=64 << 10)
+    schema = StructType.fromDDL("o_orderkey bigint, o_totalprice double")
+    back = tables.read_layer(spark, path, schema)
+    return back.groupBy("source", "batch_id").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("o_totalprice"), 2).alias("price_sum"))
+
+
+@query
+def layer_counts(spark, folder):
+    """Rows of bronze, silver and gold."""
+    accepted, _ = quality.split_rows(_silver(spark, folder), quality.silver_rules())
+    layers = {"bronze": product_pages(spark, folder), "silver": accepted, "gold": dimension.category_dimension(_silver(spark, folder))}
+    return profiles.layer_counts(layers)
+
+
+@query
+def gold_contract(spark, folder):
+    """Every gold table against its schema: columns that differ and nulls where none may be."""
+    rows, links = _three_sources(spark, folder)
+    found = clusters.book_clusters(links)
+    checked = quality.with_reasons(_silver(spark, folder), quality.silver_rules())
+    prices = clusters.with_cluster_ids(catalogue(spark, folder, 0), found).select(
+        "book_id", "source", F.col("price_current").alias("price"), "currency", F.col("ingested_at").alias("effective_date"), *facts.discount_columns(F.col("price_current"), F.col("price_original"))
+    )
+    status = table(spark, folder, "orders").select(F.col("o_custkey").cast("string").alias("book_id"), F.lit("orders").alias("source"), F.col("o_orderstatus").alias("status"), F.col("o_orderdate").cast("timestamp").alias("effective_date"), "o_orderkey")
+    built = {
+        "canonical_books": (clusters.build_clusters(rows, found, RUN_TS), CANONICAL),
+        "price_history": (prices, PRICE_HISTORY),
+        "availability_history": (facts.availability_history(status, ties=["o_orderkey"]), AVAILABILITY_HISTORY),
+        "category_dimension": (dimension.category_dimension(_silver(spark, folder)), CATEGORY_DIMENSION),
+        "rule_results": (quality.check_rules(_silver(spark, folder), quality.silver_rules(), "run-1", RUN_TS), RULE_RESULT),
+        "run_report": (profiles.run_metrics(checked, "run-1", "catalogue_a", RUN_TS), RUN_REPORT),
+    }
+    parts = [
+        silver.null_violations(df, schema).agg(F.count(F.lit(1)).alias("required"), F.sum("nulls").alias("nulls")).select(
+            F.lit(name).alias("table_name"), F.lit(",".join(silver.schema_differences(df, schema))).alias("differences"), "required", "nulls"
+        )
+        for name, (df, schema) in built.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 @query
 def verified_write(spark, folder):
     """Counts of what was written and read; an empty batch in between leaves nothing."""
@@ -756,6 +823,21 @@ def incremental_restart(spark, folder):
     return _load_documents(spark, folder, work_folder(spark, "documents"), [work_folder(spark, "stream"), work_folder(spark, "stream")])
 
 
+@query
+def stream_late_rows(spark, folder):
+    """Files that come out of order: stored, repeated and late rows together are all rows."""
+    source, path = work_folder(spark, "arrivals"), work_folder(spark, "late")
+    events = table(spark, folder, "events").select(F.col("ts").cast("timestamp").alias("ingested_at"), "user_id", "event_type", "event_id")
+    middle = events.agg(F.expr("percentile(unix_micros(ingested_at), 0.5)").cast("bigint").alias("m")).first()["m"]
+    later = F.unix_micros("ingested_at") >= middle
+    for part in (events.where(later), events.where(~later)):  # the newer half arrives first
+        part.coalesce(1).write.mode("append").parquet(source)
+    stream = incremental.read_new_files(spark, source, events.schema, files_per_batch=1)
+    store = incremental.store_with_late_rows(path, events.schema, ("user_id", "event_type"), delay="20 days", ties=("event_id",))
+    incremental.load_increment(stream, lambda df: df, store, work_folder(spark, "stream")).awaitTermination()
+    return spark.read.schema(incremental.COUNTS).parquet(f"{path}/counts").select("batch", "came", "stored", "repeats", "late")
+
+
 @query
 def stream_dedup(spark, folder):
     """Keys of the event stream, each once within the watermark."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -22,9 +23,14 @@ def write_batch(
     batch_id: str | None = None,
     partitions: tuple[str, ...] = PARTITIONS,
     compression: str = "snappy",
+    file_bytes: int | None = None,
 ) -> tuple[str | None, int]:
     """Write a batch below ``path``: (path, rows), or (None, 0) if it is empty.
 
+    Rows are rebalanced by partition before they are written: a partition with very many
+    rows is written by several tasks, many small ones by one, so files get a like size,
+    that of ``file_bytes`` (as shuffled) or the session's advisory size.
+
     Only the partitions of this batch are replaced, so a repeated batch changes
     nothing and other batches stay. The rows are counted as they are written; an
     empty batch leaves no files.
@@ -33,12 +39,27 @@ def write_batch(
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if "batch_id" in partitions and "batch_id" not in df.columns:
         counted = counted.withColumn("batch_id", F.lit(batch_id or default_batch_id()))
-    writer = counted.write.partitionBy(*partitions).mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path, compression=compression)
+    balanced = counted.hint("rebalance", *[F.col(p) for p in partitions])
+    writer = balanced.write.partitionBy(*partitions).mode("overwrite")
+    with advisory_size(df.sparkSession, file_bytes):
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path, compression=compression)
     rows = seen.get["rows"]
     return (path, rows) if rows else (None, 0)
 
 
+@contextmanager
+def advisory_size(spark: SparkSession, size: int | None):
+    """Within, partitions after a shuffle are to have ``size`` bytes; None leaves the session's setting."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    if size is not None:
+        spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def read_layer(
     spark: SparkSession,
     path: str,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -85,3 +86,55 @@ def load_increment(
 def drop_repeats(stream: DataFrame, time: str = "ingested_at", delay: str = "1 day", keys: tuple[str, ...] = ("content_hash",)) -> DataFrame:
     """Stream deduplication whose state is bounded by the watermark."""
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def store_with_late_rows(
+    path: str,
+    schema: StructType,
+    keys: tuple[str, ...],
+    time: str = "ingested_at",
+    delay: str = "1 day",
+    ties: tuple[str, ...] = (),
+    buckets: int = 16,
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function for deduplication that accounts for every row.
+
+    A row is late if it is older than the latest time of all earlier batches less
+    ``delay``. Late rows do not vanish: they go to ``path``/late. Of all others each key is
+    stored once in ``path``/rows, and ``path``/counts has a row for each batch with the
+    numbers of rows that came, were stored, were repeats or were late. A batch that comes
+    again replaces what it wrote.
+    """
+    store = append_unseen(f"{path}/rows", schema, keys, time, ties, buckets=buckets)
+
+    def run(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows = written(batch.select(*schema.names), "late-batch")
+        counts = _counts(spark, path)
+        high = None if counts is None else counts.where(F.col("batch") < number).agg(F.max("high")).first()[0]
+        mark = F.lit(high).cast("timestamp") - F.expr(f"interval {delay}")
+        behind = F.coalesce(F.col(time) < mark, F.lit(False))
+        tagged = rows.withColumn("batch", F.lit(number).cast("bigint"))
+        late = tagged.where(behind)
+        late.write.partitionBy("batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{path}/late")
+        store(rows.where(~behind), number)
+        stored = keyed.read(spark, f"{path}/rows", StructType([*schema.fields, StructField("batch_id", StringType())]))
+        mine = 0 if stored is None else stored.where(F.col("batch_id").startswith(f"{number:012d}-")).count()
+        seen = rows.agg(F.count(F.lit(1)).alias("came"), F.count_if(behind).alias("late"), F.max(time).alias("high"))
+        line = seen.select("came", F.lit(mine).cast("bigint").alias("stored"), (F.col("came") - F.col("late") - mine).alias("repeats"), "late", F.col("high").cast("timestamp"), F.lit(number).cast("bigint").alias("batch"))
+        line.write.partitionBy("batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{path}/counts")
+        discard(rows)
+
+    return run
+
+
+COUNTS = "came bigint, stored bigint, repeats bigint, late bigint, high timestamp, batch bigint"
+
+
+def _counts(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(COUNTS).parquet(f"{path}/counts")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

@@ -205,3 +205,35 @@ def test_a_merge_rewrites_only_buckets_that_change(spark, tmp_path):
     assert len(rows) == 203 and rows["k7", 1] == ("old", False) and rows["k7", 2] == ("new", True) and rows["fresh", 1] == ("x", True)
     assert len(merge([("k7", "new")], "2024-01-05", close_missing=True)) == 8
     assert keyed.read(spark, str(path), schema).where("is_current").count() == 1
+
+
+def test_files_are_balanced_under_skew(spark, tmp_path):
+    """A source with most rows is written by several tasks, and each of many small ones by one."""
+    path = str(tmp_path / "t")
+    rows = spark.range(0, 60_000, numPartitions=16).selectExpr("if(id % 3 < 2, 'big', concat('small', id % 30)) as source", "id", "uuid() as text")
+    _, written_rows = tables.write_batch(rows, path, "b1", file_bytes=512 << 10)
+    files = {p.name: len(list(p.rglob("*.parquet"))) for p in (tmp_path / "t").glob("source=*")}
+    assert written_rows == 60_000 and files["source=big"] >= 4
+    # small ones are cut only where they share a shuffle partition with the big one
+    assert len(files) == 11 and sorted(n for f, n in files.items() if f != "source=big")[5] == 1
+    sizes = [f.stat().st_size for f in (tmp_path / "t" / "source=big").rglob("*.parquet")]
+    assert max(sizes) < 3 * min(sizes)
+    assert spark.read.parquet(path).select("id").distinct().count() == 60_000
+
+
+def test_late_rows_are_kept_and_counted(spark, tmp_path):
+    path = str(tmp_path / "t")
+    kind = StructType.fromDDL("k string, ingested_at timestamp")
+    store = incremental.store_with_late_rows(path, kind, ("k",), delay="2 days")
+
+    def batch(*rows):
+        return spark.createDataFrame([(k, t) for k, t in rows], "k string, t string").select("k", F.col("t").cast("timestamp").alias("ingested_at"))
+
+    store(batch(("a", "2024-01-10"), ("a", "2024-01-09"), ("b", "2024-01-01")), 0)  # nothing came before
+    for _ in range(2):  # a batch that comes again changes nothing
+        store(batch(("c", "2024-01-07"), ("d", "2024-01-08"), ("a", "2024-01-12"), ("e", None)), 1)
+    store(batch(), 2)
+    counts = {r.batch: (r.came, r.stored, r.repeats, r.late) for r in spark.read.schema(incremental.COUNTS).parquet(f"{path}/counts").collect()}
+    assert counts == {0: (3, 2, 1, 0), 1: (4, 2, 1, 1), 2: (0, 0, 0, 0)}
+    assert [r.k for r in spark.read.parquet(f"{path}/late").collect()] == ["c"]
+    assert sorted(r.k for r in keyed.read(spark, f"{path}/rows", kind).collect()) == ["a", "b", "d", "e"]
