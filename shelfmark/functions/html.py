@@ -63,11 +63,13 @@ def unescape(text: Column, attribute: bool = False) -> Column:
 
     def decode(done: Column, token: Column) -> Column:
         name, reference = F.regexp_replace(token, ";$", ""), F.concat(F.lit("&"), token)
-        begun = F.regexp_extract(token, _OPEN, 1)
-        shorter = F.when(begun != "", F.concat(known(begun), F.substring(token, F.length(begun) + 1, F.length(token))))
-        character = F.when(token.startswith("#"), _numbered(name)).otherwise(
-            F.coalesce(F.when(token.endswith(";"), known(name)), reference if attribute else F.coalesce(shorter, reference))
-        )
+        # the whole name, or the longest one that needs no semicolon, with what follows it; looked up in one place of the plan
+        ways = [F.struct(F.when(token.endswith(";"), name).alias("name"), F.lit("").alias("rest"))]
+        if not attribute:
+            begun = F.regexp_extract(token, _OPEN, 1)
+            ways.append(F.struct(blank_to_null(begun).alias("name"), F.substring(token, F.length(begun) + 1, F.length(token)).alias("rest")))
+        found = F.filter(F.transform(F.array(*ways), lambda w: F.concat(known(w["name"]), w["rest"])), lambda f: f.isNotNull())
+        character = F.when(token.startswith("#"), _numbered(name)).otherwise(F.coalesce(F.get(found, F.lit(0)), reference))
         return F.replace(done, reference, character)
 
     def decoded(t: Column) -> Column:
