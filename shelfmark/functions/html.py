@@ -85,7 +85,7 @@ _INSIDE = r"""(?:"[^"]*+"|'[^']*+'|[^'">]++)*+"""
 _TOKEN = rf"(?is)<!--.*?(?:-->|\z)|<(?:script\b{_INSIDE}>.*?</script\s*+>|style\b{_INSIDE}>.*?</style\s*+>)|</?[a-z]{_INSIDE}>|<[!?][^>]*+>|[^<]++|<"
 _ATTRIBUTE = r"""[^\s"'<>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+"""
 #: What a page must have for a token pass to change it: comments, scripts, bare or single-quoted values, or marks inside quotes.
-_ODD = r"""(?is)<!--|<s(?:cript|tyle)\b|=\s*+[^\s"<>]|="[^"]*[<>'][^"]*\""""
+_ODD = r"""[<=](?:(?<=<)(?:!--|[sS](?:[cC][rR]|[tT][yY]))|(?<==)(?:\s*+[^\s"<>]|"[^"<>']*+[<>']))"""
 
 
 def normalized(html: Column) -> Column:
