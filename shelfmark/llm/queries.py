@@ -113,7 +113,6 @@ def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
         "error",
         "label_error",
         F.lit(vector_codes.digest(books)).alias("codebooks_sha256"),
-        F.col("scans").alias("n_scanned"),
     )
 
 
