@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import ann, chat, decontaminate, hard_negatives, line_dedup, lm_score, mixing, near_dup, pii, simhash, substrings, toxicity, vector_codes
@@ -16,10 +16,14 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     spans = pii.find_spans(table(spark, folder, "documents").select("doc_id", "text"))
     base = pii.span_texts()
     terms = F.transform("terms", lambda t: F.concat_ws(":", F.lit("term"), t["start"].cast("string"), t["end"].cast("string")))
-    count = [F.size(F.filter("base", lambda b, n=n: b["kind"] == n)).cast("long").alias(f"n_{kind}") for n, kind in enumerate(pii.KINDS)]
+
+    def count(n: int) -> Column:
+        # a second parameter of the inner function, even one with a default, would be the element's place
+        return F.size(F.filter("base", lambda b: b["kind"] == n)).cast("long").alias(f"n_{pii.KINDS[n]}")
+
     return spans.select(
         "doc_id",
-        *count,
+        *[count(n) for n in range(len(pii.KINDS))],
         F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
         F.array_join(F.concat(base, terms), ",").alias("spans"),
         F.size("terms").cast("long").alias("n_term"),

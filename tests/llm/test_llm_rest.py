@@ -371,6 +371,13 @@ def test_pii_query_digest(spark):
         assert got[r.doc_id].spans.startswith(",".join(expected))
 
 
+def test_pii_query_counts(spark, tmp_path):
+    spark.createDataFrame(list(enumerate(PII_TEXTS)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    for r in QUERIES["op1_pii"](spark, str(tmp_path)).collect():
+        kinds = [span.split(":")[0] for span in base_spans(PII_TEXTS[r.doc_id])]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [kinds.count(kind) for kind in PATTERNS]
+
+
 @pytest.mark.parametrize("name", ["op1_pii", "op3_mix", "op7_chat"])
 def test_native_plans(spark, name):
     plan = QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
