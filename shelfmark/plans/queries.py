@@ -794,10 +794,18 @@ def verified_write(spark, folder):
     return tables.verify_written(rows, tables.read_layer(spark, path, SILVER))
 
 
+def _new_files(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """Stream of the files of a given table, be it one file or a folder of files.
+
+    A stream takes one file only by a pattern, so the last letter is one.
+    """
+    schema = table(spark, folder, name).schema
+    return incremental.read_new_files(spark, f"{folder}/{name}.parque[t]", schema, "*")
+
+
 def _load_documents(spark, folder, path, states):
     """Documents from the stream of files to a table without repeated texts, once per checkpoint folder."""
-    schema = spark.read.parquet(f"{folder}/documents.parquet").schema
-    stream = incremental.read_new_files(spark, folder, schema, "documents.parquet")
+    stream = _new_files(spark, folder, "documents")
 
     def to_rows(documents: DataFrame) -> DataFrame:
         return documents.select(
@@ -808,7 +816,10 @@ def _load_documents(spark, folder, path, states):
     store = incremental.append_unseen(path, target, ("content_hash",), ties=("doc_id",))
     for state in states:
         incremental.load_increment(stream, to_rows, store, state).awaitTermination()
-    return keyed.read(spark, path, target).select("doc_id", "lang", "source", "content_hash")
+    stored = keyed.read(spark, path, target)
+    if stored is None:  # no documents
+        stored = spark.createDataFrame([], target)
+    return stored.select("doc_id", "lang", "source", "content_hash")
 
 
 @query
@@ -842,8 +853,7 @@ def stream_late_rows(spark, folder):
 def stream_dedup(spark, folder):
     """Keys of the event stream, each once within the watermark."""
     path, state = work_folder(spark, "events"), work_folder(spark, "stream")
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    events = incremental.read_new_files(spark, folder, schema, "events.parquet").select(
+    events = _new_files(spark, folder, "events").select(
         F.col("ts").cast("timestamp").alias("ingested_at"), "user_id", "event_type"
     )
     unique = incremental.drop_repeats(events, delay="60 days", keys=("user_id", "event_type"))

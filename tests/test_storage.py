@@ -6,6 +6,7 @@ from pyspark.sql.types import StructType
 
 from shelfmark.operators import dimension, silver
 from shelfmark.plans.inputs import parsed_parts
+from shelfmark.plans.queries import QUERIES
 from shelfmark.schemas import RAW_RECORD, SILVER
 from shelfmark.session import work_folder, written
 from shelfmark.sources import keyed, tables
@@ -99,6 +100,20 @@ def test_incremental_load(spark, tmp_path):
     assert run() == [("1", "a"), ("2", "b"), ("2", "b2"), ("3", "a")]
 
 
+@pytest.mark.parametrize("name", ["incremental_load", "incremental_restart", "stream_dedup"])
+def test_streams_read_tables_that_are_folders(spark, tmp_path, name):
+    rows = spark.createDataFrame([(i, f"text {i % 4}", "en", "web", i) for i in range(9)], "doc_id long, text string, lang string, source string, n_chars long")
+    rows.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    events = spark.createDataFrame([(i, i % 4, "view", "2024-01-01 00:00:00") for i in range(9)], "event_id long, user_id long, event_type string, ts string")
+    events.withColumn("ts", F.col("ts").cast("timestamp")).repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    assert QUERIES[name](spark, str(tmp_path)).count() == 4
+
+
+def test_incremental_load_without_documents(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert QUERIES["incremental_load"](spark, str(tmp_path)).count() == 0
+
+
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     schema = "source string, source_id string, content_hash string, ingested_at timestamp"
     rows = spark.createDataFrame([("s", "1", "a", None)], schema)
