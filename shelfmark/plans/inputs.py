@@ -135,7 +135,10 @@ def api_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def nested_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Listing-like pages whose elements nest, whose classes stand in any order, and whose texts hold many characters."""
+    """Listing-like pages whose elements nest, whose classes stand in any order, and whose texts hold many characters.
+
+    Rows are spread before they become pages, as in ``product_pages``.
+    """
     html = """concat(
       '<div class="next"><a href="wrong.html">no</a></div><div class="breadcrumb"><div>x</div><ul><li>Home<ul><li>Books</li></ul></li>',
       '<li><b>', p_type, '</b> &Eacute;&frac12;&#x00000E9;&NotEqualTilde;</li></ul></div>',
@@ -144,11 +147,14 @@ def nested_pages(spark: SparkSession, folder: str) -> DataFrame:
       '<div class="price_color"><div>was</div> $', p_partkey, '</div>',
       if(p_partkey % 4 = 0, '', concat('<ul><li class="page next"><a href="page-', p_partkey + 1, '.html">next</a></li></ul>')))"""
     url = "concat('http://shop.example.com/catalogue/category/books/p_1/page-', p_partkey, '.html')"
-    return table(spark, folder, "part").selectExpr("p_partkey", f"{url} as source_url", f"{html} as raw_content")
+    return table(spark, folder, "part").repartition(shuffle_partitions(spark)).selectExpr("p_partkey", f"{url} as source_url", f"{html} as raw_content")
 
 
 def rough_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Pages as they are found: comments, scripts, bare and single-quoted values, marks inside quotes, open references."""
+    """Pages as they are found: comments, scripts, bare and single-quoted values, marks inside quotes, open references.
+
+    Rows are spread before they become pages, as in ``product_pages``.
+    """
     html = """concat(
       '<html><!-- <h1>old</h1> <li class="next"><a href="old.html">x</a></li> --><script>var s = "<h1>no</h1>";</script>',
       '<h1 title="a > b">', p_name, ' &eacute &notin; &AMP &#163 x</h1><p class=price_color>&pound', format_string('%.2f', p_retailprice), '</p>',
@@ -157,7 +163,7 @@ def rough_pages(spark: SparkSession, folder: str) -> DataFrame:
       '<h3><a href="it\\'s_', p_partkey, '/index.html?a=1&copy=2&amp;b">1</a></h3><h3><a class=x href=c_', p_partkey, '/index.html>2</a></h3>',
       '<ul class=pager><li class=next><a href=page-', p_partkey + 1, '.html>next</a></ul></html>')"""
     url = "concat('http://shop.example.com/catalogue/part-', p_partkey, '/index.html')"
-    return table(spark, folder, "part").selectExpr("p_partkey", f"{url} as source_url", f"{html} as raw_content", "200 as http_status", f"timestamp '{RUN_TS}' as ingested_at")
+    return table(spark, folder, "part").repartition(shuffle_partitions(spark)).selectExpr("p_partkey", f"{url} as source_url", f"{html} as raw_content", "200 as http_status", f"timestamp '{RUN_TS}' as ingested_at")
 
 
 def home_pages(spark: SparkSession, folder: str) -> DataFrame:

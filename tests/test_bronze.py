@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import html as h
 from shelfmark.functions import records
 from shelfmark.operators import bronze
+from shelfmark.plans import inputs
 
 PAGE = """<html><head><script>var css = ".price_color { }";</script></head><body>
 <ul class="breadcrumb"><li><a href="/">Home</a></li><li><a>Books</a></li><li><a href="x">Travel &amp; more</a></li></ul>
@@ -177,3 +178,9 @@ def test_references_without_a_semicolon(spark):
     refs = {"?a=1&copy=2&amp;b": "?a=1&copy=2&b", "it&#39;s": "it's", "&#163 &eacute": "&#163 &eacute"}
     df = spark.createDataFrame([(t,) for t in refs], "t string")
     assert [r[0] for r in df.select(h.unescape(F.col("t"), attribute=True)).collect()] == list(refs.values())
+
+
+@pytest.mark.parametrize("pages", [inputs.product_pages, inputs.nested_pages, inputs.rough_pages])
+def test_pages_of_one_file_are_spread(spark, tmp_path, pages):
+    spark.read.parquet("/root/testdata/sf0.001/part.parquet").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    assert pages(spark, str(tmp_path)).rdd.getNumPartitions() == 4
