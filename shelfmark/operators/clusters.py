@@ -8,6 +8,8 @@ Components are found by rounds on DataFrames: every node takes the smallest labe
 it, then the label of its label, so a chain's length halves in each round. Labels meet in
 an aggregate with partial minima; a node with very many links is reduced in each task
 before it moves. Each round is written, so a lost executor costs one round at most.
+Labels compress well, so a small file may be a large table: the joins are hinted to shuffle,
+or such files would go through the driver to all tasks.
 """
 
 from __future__ import annotations
@@ -41,10 +43,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     both = written(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "components-edges")
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("label")), "components")
     while True:
-        around = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("low"))
-        lower = written(labels.join(around, "node").select("node", F.col("label").alias("was"), F.least("label", "low").alias("label")), "components-low")
+        around = both.hint("merge").join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("low"))
+        lower = written(labels.hint("merge").join(around, "node").select("node", F.col("label").alias("was"), F.least("label", "low").alias("label")), "components-low")
         up = lower.select(F.col("node").alias("label"), F.col("label").alias("top"))
-        jumped = written(lower.join(up, "label").select("node", "was", F.least("label", "top").alias("label")), "components-next")
+        jumped = written(lower.hint("merge").join(up, "label").select("node", "was", F.least("label", "top").alias("label")), "components-next")
         settled = jumped.where("label <> was").isEmpty()
         before, labels = labels, jumped.drop("was")
         discard(before, lower)
@@ -64,15 +66,15 @@ def book_clusters(links: DataFrame) -> DataFrame:
     known = links.where(" and ".join(f"{c} is not null" for c in LINK_COLUMNS[:4]))
     edges = written(known.select(node[0].alias("a"), node[1].alias("b"), "score"), "cluster-links")
     labels = connected_components(edges.select("a", "b"))
-    weakest = edges.join(labels, edges["a"] == labels["node"]).groupBy("label").agg(F.min("score").alias("link_score"))
-    members = labels.join(weakest, "label")
+    weakest = edges.hint("merge").join(labels, edges["a"] == labels["node"]).groupBy("label").agg(F.min("score").alias("link_score"))
+    members = labels.hint("merge").join(weakest, "label")
     return members.select("node.*", surrogate_id("label.source", "label.source_id").alias("book_id"), F.col("label.source").alias("first_source"), F.col("label.source_id").alias("first_id"), "link_score")
 
 
 def with_cluster_ids(rows: DataFrame, clusters: DataFrame) -> DataFrame:
     """Silver rows with the id of their book; rows without a link are books of their own."""
     ids = clusters.select("source", "source_id", F.col("book_id").alias("_book_id"))
-    return rows.join(ids, ["source", "source_id"], "left").withColumn("book_id", F.coalesce("_book_id", surrogate_id("source", "source_id"))).select(*rows.columns, "book_id")
+    return rows.join(ids.hint("merge"), ["source", "source_id"], "left").withColumn("book_id", F.coalesce("_book_id", surrogate_id("source", "source_id"))).select(*rows.columns, "book_id")
 
 
 def build_clusters(silver: DataFrame, clusters: DataFrame, run_ts: str | datetime) -> DataFrame:
@@ -83,7 +85,7 @@ def build_clusters(silver: DataFrame, clusters: DataFrame, run_ts: str | datetim
     book without any category is in "Unknown".
     ``source_ids`` lists all ids by source, so a book has as long a list as it has members.
     """
-    rows = silver.join(clusters.select("source", "source_id", "book_id", "link_score"), ["source", "source_id"], "left")
+    rows = silver.join(clusters.select("source", "source_id", "book_id", "link_score").hint("merge"), ["source", "source_id"], "left")
     rows = rows.withColumn("book_id", F.coalesce("book_id", surrogate_id("source", "source_id")))
     rank = F.struct("source", "source_id")
 

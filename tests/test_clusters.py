@@ -52,3 +52,11 @@ def test_no_links(spark):
     rows = spark.createDataFrame([("s1", "a", None, "First", None, None)], ROW)
     found = clusters.book_clusters(spark.createDataFrame([], LINK))
     assert [r.source_count for r in clusters.build_clusters(rows, found, "2024-01-01").collect()] == [1]
+
+
+def test_labels_are_not_sent_through_the_driver(spark):
+    links = spark.createDataFrame([("a", "1", "b", "2", 0.9), ("b", "2", "c", "3", 0.8)], "source_a string, id_a string, source_b string, id_b string, score double")
+    rows = spark.createDataFrame([("a", "1"), ("c", "3"), ("c", "4")], "source string, source_id string")
+    found = clusters.with_cluster_ids(rows, clusters.book_clusters(links))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.select("book_id").distinct().count() == 2
