@@ -7,7 +7,8 @@ the conditional log-probabilities scores a document.
    share ids by their hash; a shared id's probability is split evenly among its words.
 2. The network (a place-wise embedding of each neighbour, tanh, and a softmax in two steps:
    class, then word in class) is trained in numpy. In each round every document takes part:
-   a part of its words, another one each round, is masked and predicted. Each task trains
+   a part of its words, another one each round, is masked and predicted, until after the
+   last round every word of every document has been predicted once. Each task trains
    on its own rows; parameters are averaged by the words that they have seen, in slices, in
    tasks, so only one model reaches the driver however many tasks there are.
 3. Every document is scored whole.
@@ -34,8 +35,8 @@ CLASSES, IN_CLASS, HIDDEN, REACH = 32, 32, 16, 2
 IDS = CLASSES * IN_CLASS
 OWN = 24 * IN_CLASS  # ids of single words; the rest is shared
 BORDER = IDS
-#: One word in MASK is predicted in a training round.
-MASK, ROUNDS, RATE, BATCH = 12, 2, 0.2, 512
+#: Every word is predicted in one of the training rounds.
+ROUNDS, RATE, BATCH = 2, 0.2, 2048
 BLOCK = 1 << 20
 SLICES = 16
 
@@ -203,8 +204,13 @@ def _token_blocks(batches, vocabulary: Vocabulary):
             yield batch.slice(first, last - first), vocabulary.ids(hashes), row, hashes
 
 
-def train_round(docs: DataFrame, vocabulary: Vocabulary, parameters: dict[str, np.ndarray], turn: int) -> dict[str, np.ndarray]:
-    """The parameters after all tasks have trained on their rows, averaged by masked words."""
+def masked(hashes: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    """Which words of a block are predicted in a round: the rounds share them out by hash and place, none is left out."""
+    return mix64(hashes + mix64(np.arange(len(hashes), dtype=U64))) % U64(rounds) == U64(turn)
+
+
+def train_round(docs: DataFrame, vocabulary: Vocabulary, parameters: dict[str, np.ndarray], turn: int, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """The parameters after all tasks have trained on their rows, averaged by masked words; round ``turn`` of ``rounds``."""
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast((vocabulary, parameters))
     cuts = np.linspace(0, len(flat(parameters)), SLICES + 1).astype(int)
@@ -213,14 +219,10 @@ def train_round(docs: DataFrame, vocabulary: Vocabulary, parameters: dict[str, n
         vocab, start = shared.value
         trainer = Trainer(start)
         for _, ids, row, hashes in _token_blocks(batches, vocab):
-            # which words are masked follows from the words, so equal texts mask alike
-            chosen = mix64(hashes + U64(turn + 1) * mix64(np.arange(len(hashes), dtype=U64))) % U64(MASK) == U64(turn % MASK)
             line, place = padded(ids, row)
-            at = place[chosen]
-            for first in range(0, len(at), BATCH):
-                part = at[first : first + BATCH]
-                if len(part) >= 64:
-                    trainer.step(neighbours(line, part), line[part])
+            at = place[masked(hashes, turn, rounds)]
+            for part in np.array_split(at, -(-len(at) // BATCH)) if len(at) else ():
+                trainer.step(neighbours(line, part), line[part])
         values = flat(trainer.p).astype(float) * trainer.words
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(SLICES, dtype=np.int32)), pa.array([float(trainer.words)] * SLICES), pa.array([values[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())],
@@ -251,7 +253,7 @@ def fit(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, dict[str, np
     vocabulary = build_vocabulary(docs)
     parameters = new_parameters(vocabulary.frequency)
     for turn in range(rounds):
-        parameters = train_round(docs, vocabulary, parameters, turn)
+        parameters = train_round(docs, vocabulary, parameters, turn, rounds)
     return vocabulary, parameters
 
 

@@ -360,6 +360,19 @@ def test_language_model_gradient():
         assert abs(slope - gradient[i, j]) < 1e-3
 
 
+def test_every_word_is_predicted_once():
+    hashes = np.random.default_rng(0).integers(0, 50, 1000).astype(np.uint64)
+    for rounds in (1, 2, 6):
+        assert (sum(lm_score.masked(hashes, turn, rounds).astype(int) for turn in range(rounds)) == 1).all()
+
+
+def test_short_texts_are_trained_on(spark):
+    docs = spark.createDataFrame([(1, "one two three")], "doc_id long, text string")
+    vocabulary = lm_score.build_vocabulary(docs)
+    before = lm_score.new_parameters(vocabulary.frequency)
+    assert any((lm_score.train_round(docs, vocabulary, before, 0, 1)[k] != before[k]).any() for k in before)
+
+
 # ---- digests ------------------------------------------------------------------------
 
 
