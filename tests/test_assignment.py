@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark.operators import assignment
 from shelfmark.operators.assignment import scored_entries, stable_match, stable_rounds
 from shelfmark.operators.matching import MatchConfig, prepare_side, with_scores
 from shelfmark.functions.similarity import title_similarity
@@ -89,3 +90,23 @@ def test_entries_reach_the_least_confidence(spark):
     one = spark.createDataFrame([("e", None, "ring of iron", ["A"])], "source1_entry string, source1_isbn13 string, source1_title string, source1_authors array<string>")
     two = spark.createDataFrame([("f", None, "bolt", ["A"])], "source2_entry string, source2_isbn13 string, source2_title string, source2_authors array<string>")
     assert scored_entries(one, two, MatchConfig()).collect() == []
+
+
+def test_pairs_are_made_only_between_entries_with_a_place_left(spark, monkeypatch):
+    """Alike titles under many ISBNs: the best layer settles nearly all, and the pairs across titles are not made."""
+    n = 30
+    a, b = ([(f"{p}{i:03}", f"{k}{i:012}", f"Iron gear {'abcd'[i % 4]}", ["A"]) for i in range(n + k)] for k, p in ((0, "x"), (2, "y")))
+    config = MatchConfig()
+    made, layers = [], assignment.stable_layers
+    monkeypatch.setattr(assignment, "FEW_PAIRS", 20)  # so that rounds are taken as well
+
+    def watched(one, two, config):
+        taken, pairs = layers(one, two, config, 0)
+        made.append(pairs)
+        return taken, pairs
+
+    monkeypatch.setattr(assignment, "stable_layers", watched)
+    found = {r.source1_id: r.source2_id for r in stable_match(side(spark, "x", a), side(spark, "y", b)).collect()}
+    pairs = all_pairs(spark, a, b, config)
+    assert found == greedy(pairs, a, b) and len(found) == n
+    assert len(pairs) == n * (n + 2) and made[0] < len(pairs) / 2
