@@ -131,32 +131,47 @@ def neighbours(line: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 
 def hidden_layer(p: dict[str, np.ndarray], near: np.ndarray) -> np.ndarray:
-    """tanh of the summed embeddings, with a column of ones."""
+    """tanh of the summed embeddings, with a row of ones: (HIDDEN + 1, words)."""
     total = p["bias"] + sum(p["context"][k][near[:, k]] for k in range(2 * REACH))
-    return np.hstack([np.tanh(total), np.ones((len(near), 1), np.float32)])
+    out = np.ones((HIDDEN + 1, len(near)), total.dtype)
+    np.tanh(total.T, out=out[:HIDDEN])
+    return out
 
 
 def log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+    """Of each column; the columns are as many as the words, so the sums run along them."""
+    z = z - z.max(0)
+    return z - np.log(np.exp(z).sum(0))
+
+
+def softmax(z: np.ndarray) -> np.ndarray:
+    z = np.exp(z - z.max(0))
+    z /= z.sum(0)
+    return z
 
 
-def by_class(target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """The places of the targets of each class."""
-    which = target // IN_CLASS
-    order = np.argsort(which.astype(np.int8), kind="stable")
+def by_class(target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """The order of the targets by class, and where each class that occurs stands in it."""
+    which = (target // IN_CLASS).astype(np.int8)
+    order = np.argsort(which, kind="stable")
     cuts = np.searchsorted(which[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if cuts[c] < cuts[c + 1]:
-            yield c, order[cuts[c] : cuts[c + 1]]
+    return order, [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
+
+
+def low_scores(p: dict[str, np.ndarray], h: np.ndarray, classes: list[tuple[int, slice]]) -> np.ndarray:
+    """The second softmax step's scores, of words in the order of their classes: (IN_CLASS, words)."""
+    out = np.empty((IN_CLASS, h.shape[1]), h.dtype)
+    for c, at in classes:
+        out[:, at] = p["low"][c].T @ h[:, at]
+    return out
 
 
 def log_probabilities(p: dict[str, np.ndarray], near: np.ndarray, target: np.ndarray) -> np.ndarray:
     """The log-probability of each target given its neighbours."""
-    h = hidden_layer(p, near)
-    out = log_softmax(h @ p["top"])[np.arange(len(target)), target // IN_CLASS].astype(float)
-    for c, at in by_class(target):
-        out[at] += log_softmax(h[at] @ p["low"][c])[np.arange(len(at)), target[at] % IN_CLASS]
+    order, classes = by_class(target)
+    h, which, place = hidden_layer(p, near[order]), target[order] // IN_CLASS, target[order] % IN_CLASS
+    column, out = np.arange(len(target)), np.empty(len(target))
+    out[order] = log_softmax(p["top"].T @ h)[which, column].astype(float) + log_softmax(low_scores(p, h, classes))[place, column]
     return out
 
 
@@ -169,27 +184,32 @@ class Trainer:
         self.words = 0
 
     def _move(self, name: str, at, gradient: np.ndarray) -> None:
-        self.seen[name][at] += gradient**2
-        self.p[name][at] -= RATE * gradient / np.sqrt(self.seen[name][at])
+        seen = self.seen[name][at] + gradient**2
+        self.seen[name][at] = seen
+        self.p[name][at] -= RATE * gradient / np.sqrt(seen)
 
     def step(self, near: np.ndarray, target: np.ndarray) -> None:
         n, p = len(target), self.p
-        h = hidden_layer(p, near)
-        z = np.exp(log_softmax(h @ p["top"]))
-        z[np.arange(n), target // IN_CLASS] -= 1
-        back = z @ p["top"].T
-        gradients = [("top", slice(None), h.T @ z / n)]
-        for c, at in by_class(target):
-            z_low = np.exp(log_softmax(h[at] @ p["low"][c]))
-            z_low[np.arange(len(at)), target[at] % IN_CLASS] -= 1
-            back[at] += z_low @ p["low"][c].T
-            gradients.append(("low", c, h[at].T @ z_low / n))
-        inner = back[:, :HIDDEN] * (1 - h[:, :HIDDEN] ** 2) / n
-        gradients.append(("bias", slice(None), inner.sum(0)))
-        for k in range(2 * REACH):
-            order = np.argsort(near[:, k], kind="stable")
-            ids, first = np.unique(near[order, k], return_index=True)
-            gradients.append(("context", (k, ids), np.add.reduceat(inner[order], first)))
+        order, classes = by_class(target)
+        near, target = near[order], target[order]
+        h, column = hidden_layer(p, near), np.arange(n)
+        z = softmax(p["top"].T @ h)
+        z[target // IN_CLASS, column] -= 1
+        back = p["top"][:HIDDEN] @ z
+        z_low = softmax(low_scores(p, h, classes))
+        z_low[target % IN_CLASS, column] -= 1
+        low = np.zeros_like(p["low"])
+        for c, at in classes:
+            back[:, at] += p["low"][c, :HIDDEN] @ z_low[:, at]
+            low[c] = h[:, at] @ z_low[:, at].T
+        inner = np.ascontiguousarray((back * (1 - h[:HIDDEN] ** 2) / n).T)
+        # all neighbours that are one id at one place, side by side
+        at = (near + np.arange(2 * REACH) * (IDS + 1)).astype(np.int16).ravel()
+        order = np.argsort(at, kind="stable")
+        at = at[order]
+        first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        context = np.add.reduceat(inner[order // (2 * REACH)], first)
+        gradients = [("top", slice(None), h @ z.T / n), ("low", slice(None), low / n), ("bias", slice(None), inner.sum(0)), ("context", np.divmod(at[first], IDS + 1), context)]
         for name, at, gradient in gradients:
             self._move(name, at, gradient.astype(np.float32))
         self.words += n

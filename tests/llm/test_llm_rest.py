@@ -360,6 +360,26 @@ def test_language_model_gradient():
         assert abs(slope - gradient[i, j]) < 1e-3
 
 
+def test_language_model_moves_whole_arrays():
+    """A step takes one gradient of all classes and one of all neighbours, each that of the log-probabilities."""
+    p = {k: v.astype(np.float64) for k, v in lm_score.new_parameters(np.ones(lm_score.IDS)).items()}
+    rng = np.random.default_rng(2)
+    near, target = rng.integers(0, 6, (40, 4)), rng.integers(0, 100, 40)
+    trainer = lm_score.Trainer(p)
+    moved = {}
+    trainer._move = lambda name, at, gradient: moved.setdefault(name, []).append((at, gradient))
+    trainer.step(near, target)
+    assert {k: len(v) for k, v in moved.items()} == dict.fromkeys(lm_score.SHAPES, 1)
+    for name, (((at, gradient),), shape) in ((k, (moved[k], lm_score.SHAPES[k])) for k in moved):
+        whole = np.zeros(shape)
+        whole[at] = gradient
+        for place in [*zip(*np.nonzero(whole))][:: max(1, np.count_nonzero(whole) // 9)]:
+            q = {k: v.copy() for k, v in p.items()}
+            q[name][place] += 1e-5
+            slope = -(lm_score.log_probabilities(q, near, target).mean() - lm_score.log_probabilities(p, near, target).mean()) / 1e-5
+            assert abs(slope - whole[place]) < 1e-5
+
+
 def test_every_word_is_predicted_once():
     hashes = np.random.default_rng(0).integers(0, 50, 1000).astype(np.uint64)
     for rounds in (1, 2, 6):
