@@ -155,11 +155,11 @@ def likely_groups(buckets: DataFrame, signatures: DataFrame, floor: int, kind: t
     return components(links.distinct())
 
 
-def exact_links(groups: DataFrame, bodies: DataFrame, prepare: Callable[[bytes], object], similar: Callable[[object, object], float], least: float, floor: int, kind: type = np.uint32) -> DataFrame:
+def exact_links(groups: DataFrame, bodies: DataFrame, prepare: Callable[[bytes], object], similar: Callable[[object, object], float], least: float, floor: int, kind: type = np.uint32, closeness: Callable[[np.ndarray, np.ndarray], np.ndarray] = agreement) -> DataFrame:
     """Links (id, root) between things whose bodies are similar; connected as all such links are.
 
     ``groups`` has (id, group), ``bodies`` (id, sig, body). ``prepare`` makes of a body what
-    ``similar`` compares.
+    ``similar`` compares; pairs whose signatures have a ``closeness`` below ``floor`` are let go.
     """
     members = bodies.join(groups, "id")
     cells = members.groupBy("group").agg(F.ceil(F.sum(F.length("body") + 512) / CELL).cast("int").alias("cells"))
@@ -192,7 +192,7 @@ def exact_links(groups: DataFrame, bodies: DataFrame, prepare: Callable[[bytes],
                     rest = np.flatnonzero(label[i - first + 1 :] != label[i - first]) + i + 1
                     if not len(rest):
                         continue
-                    equal = agreement(regs[i], regs[rest])
+                    equal = closeness(regs[i], regs[rest])
                     likely = rest[equal >= floor][np.argsort(-equal[equal >= floor], kind="stable")]
                     for k in likely:
                         mine, its = label[i - first], label[k - first]

@@ -2,9 +2,10 @@
 
 A line is what stands between line ends. Lines without a visible character are left alone.
 Shingles are the runs of three characters (code points) of a line, the whole of a shorter one,
-in sets: one changed character in a line of 30 leaves a similarity of 0.8. Equal lines are found by their hash; of the distinct lines, bands of MinHash
-registers give candidates, the exact Jaccard similarity decides, and distributed union-find
-makes groups. Of each group the first line stays (smallest doc_id, then place); all others
+in sets: one changed character in a line of 30 leaves a similarity of 0.8. Equal lines are
+found by their hash; of the distinct lines, bands of MinHash registers give candidates, which a
+sketch of the shingles in the band row confirms or rules out on the spot; the exact Jaccard
+similarity decides, and distributed union-find makes groups. Bands are moved some at a time. Of each group the first line stays (smallest doc_id, then place); all others
 are removed with their line ends, wherever they stand.
 
 Defined cases: a null text is empty; a text that loses all its lines becomes empty; rows of
@@ -26,20 +27,26 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 
 from shelfmark.llm import groups
 from shelfmark.llm.blocks import U64, blank_fold, mix64, powers, row_blocks, text_bytes
-from shelfmark.session import written
+from shelfmark.session import discard, forget_shuffles, shuffle_partitions, written
 
 #: Code points of a shingle; three, of 21 bits each, make one exact 64-bit number.
 SIZE = 3
 LEAST = 0.8
-ROWS, BANDS = 5, 16
-REGISTERS = ROWS * BANDS
-#: Equal registers below which a pair is let go: 0.8 of 80, less four standard deviations.
-FLOOR = 49
+#: Registers of a band up to ``FEW`` lines; one more for each doubling, up to MOST_ROWS, so that buckets stay short.
+ROWS, MOST_ROWS, FEW = 7, 12, 4_000_000
+#: Share of the pairs of similarity 0.8 that no band finds.
+MISSED = 0.00175
+#: Bands whose rows are moved at a time (more, if they take less than SMALL bytes), and whose keys are stored at a time.
+PASS, STORED, SMALL = 2, 28, 100 << 20
+#: Bits of a sketch of a line's shingles, and bytes of a line's head: id, number of shingles, sketch.
+BITS = 512
+HEAD = 12 + BITS // 8
+#: Bytes of band rows of one task, and rows of a bucket beyond which connected rows are left out first.
+TASK, LONG = 32 << 20, 4096
 BLOCK = 1 << 20
-_RNG = np.random.default_rng(41)
-_ODD = (_RNG.integers(0, 1 << 32, REGISTERS, dtype=np.uint64) | U64(1)).astype(np.uint32)
-_VALUE = _RNG.integers(0, 1 << 64, 256, dtype=U64)
+_VALUE = np.random.default_rng(43).integers(0, 1 << 64, 256, dtype=U64)
 _BASE = U64(0xD6E8FEB86659FD93)
+_UNDO = U64(pow(int(_BASE), -1, 1 << 64))
 
 
 def lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -59,15 +66,16 @@ def lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def line_ids(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each line."""
+    """A 64-bit hash of the bytes of each line: a polynomial, from sums over all bytes before its begin and its end."""
     out = np.zeros(len(begin), U64)
     first = 0
-    while first < len(begin):  # some lines at a time: the arrays below take 24 bytes a byte
+    while first < len(begin):  # some lines at a time: the arrays below take 32 bytes a byte
         last = max(first + 1, int(np.searchsorted(end, begin[first] + BLOCK)))
-        size = end[first:last] - begin[first:last]
-        place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        at = place + np.repeat(begin[first:last], size)
-        out[first:last] = np.add.reduceat(_VALUE[data[at]] * powers(int(size.max()), _BASE)[place], np.cumsum(size) - size)
+        some = data[begin[first] : end[last - 1]]
+        sums = np.zeros(len(some) + 1, U64)
+        np.cumsum(_VALUE[some] * powers(len(some), _BASE), out=sums[1:])
+        a, b = begin[first:last] - begin[first], end[first:last] - begin[first]
+        out[first:last] = (sums[b] - sums[a]) * powers(len(some), _UNDO)[a]
         first = last
     return mix64(out + (end - begin).astype(U64))
 
@@ -102,31 +110,74 @@ def line_shingles(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple
     return (mix64(number) >> U64(32)).astype(np.uint32), start
 
 
-def minhash(shingle: np.ndarray, start: np.ndarray) -> np.ndarray:
+def rows_for(lines: int) -> int:
+    return int(np.clip(ROWS + np.ceil(np.log2(max(lines, 1) / FEW)), ROWS, MOST_ROWS))
+
+
+def bands_for(rows: int) -> int:
+    return int(np.ceil(np.log(MISSED) / np.log1p(-(LEAST**rows))))
+
+
+def factors(rows: int, bands: range) -> np.ndarray:
+    """The odd factors of the registers of some bands."""
+    every = np.random.default_rng(41).integers(0, 1 << 32, rows * bands.stop, dtype=np.uint64) | U64(1)
+    return every[rows * bands.start :].astype(np.uint32)
+
+
+def minhash(shingle: np.ndarray, start: np.ndarray, odd: np.ndarray) -> np.ndarray:
     """Signatures (lines, registers): the smallest product with each of the odd factors."""
-    out = np.empty((REGISTERS, len(start)), np.uint32)
+    out = np.empty((len(odd), len(start)), np.uint32)
     if len(start):
         product = np.empty_like(shingle)
-        for j, factor in enumerate(_ODD):
+        for j, factor in enumerate(odd):
             np.multiply(shingle, factor, out=product)
             np.minimum.reduceat(product, start, out=out[j])
     return np.ascontiguousarray(out.T)
 
 
-def short_registers(signatures: np.ndarray) -> np.ndarray:
-    """Registers of one byte, a quarter to move: equal ones stay equal, others agree once in 256, so no pair is lost."""
-    folded = signatures ^ (signatures >> np.uint32(16))
-    return (folded ^ (folded >> np.uint32(8))).astype(np.uint8)
+def sketches(shingle: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many different shingles each line has, and its sketch: the parity of the shingles that fall on each bit.
+
+    A shingle that one of two lines lacks turns one bit over, so sketches differ in no more bits than lines in shingles.
+    """
+    many = np.diff(np.append(start, len(shingle)))
+    key = np.sort(np.repeat(np.arange(len(start), dtype=U64) << U64(32), many) | shingle)
+    key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
+    line = (key >> U64(32)).astype(np.int64)
+    bit = (key & U64(0xFFFFFFFF)) * U64(0x9E3779B97F4A7C15) >> U64(64 - (BITS - 1).bit_length())
+    odd = np.bincount(line * BITS + bit.astype(np.int64), minlength=BITS * len(start)).astype(np.uint8) & 1
+    return np.bincount(line, minlength=len(start)).astype(np.uint32), np.packbits(odd.reshape(-1, BITS), axis=1)
+
+
+def most_bits(size: np.ndarray) -> np.ndarray:
+    """Differing bits up to which two lines may be similar, by the sum of their sizes.
+
+    Similar lines differ in at most a ninth of their shingles together (0.2 / 1.8). Of long lines many shingles fall on one
+    bit; there the bound is what so many shingles turn over, and five standard deviations.
+    """
+    differ = size // 9
+    odd = (1 - (1 - 2 / BITS) ** differ) / 2
+    return np.minimum(differ, np.ceil(BITS * odd + 5 * np.sqrt(BITS * odd * (1 - odd))).astype(np.int64))
+
+
+def spare_bits(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """By how many bits heads without ids (rows of bytes) stay below ``most_bits``; negative: not similar."""
+    size, its = one[:4].view(np.uint32).astype(np.int64), np.ascontiguousarray(others[:, :4]).view(np.uint32)[:, 0].astype(np.int64)
+    return most_bits(size + its) - np.bitwise_count(one[4:] ^ others[:, 4:]).sum(1, dtype=np.int64)
 
 
-def _signatures(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    parts, first = [np.empty((0, REGISTERS), np.uint32)], 0
+def _signatures(data: np.ndarray, begin: np.ndarray, end: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Registers, and heads without ids: size and sketch as bytes."""
+    registers, heads, first = [np.empty((0, len(odd)), np.uint32)], [np.empty((0, HEAD - 8), np.uint8)], 0
     while first < len(begin):
         # lines lie in order but not side by side, so this is at most BLOCK bytes or one line
         last = max(first + 1, int(np.searchsorted(end, begin[first] + (BLOCK >> 2))))
-        parts.append(minhash(*line_shingles(data, begin[first:last], end[first:last])))
+        shingle, start = line_shingles(data, begin[first:last], end[first:last])
+        size, sketch = sketches(shingle, start)
+        registers.append(minhash(shingle, start, odd))
+        heads.append(np.hstack([size.view(np.uint8).reshape(-1, 4), sketch]))
         first = last
-    return np.concatenate(parts)
+    return np.concatenate(registers), np.concatenate(heads)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]):
@@ -155,20 +206,174 @@ def _once(ids: np.ndarray) -> np.ndarray:
     return np.sort(np.unique(ids, return_index=True)[1])
 
 
-def band_rows(docs: DataFrame) -> DataFrame:
-    """(bucket, id) of the distinct lines; equal lines of a batch are taken once."""
+def heads_and_keys(docs: DataFrame, rows: int, bands: range, step: int) -> DataFrame:
+    """One row for each block of text: the heads of its distinct lines side by side, and their keys of each ``step`` bands."""
+    odd = factors(rows, bands)
+    cuts = [slice(k, k + step) for k in range(0, len(bands), step)]
 
     def run(batches):
         for _, part, _, _, begin, end, ids in _blocks(batches):
             one = _once(ids)
-            keys = groups.band_keys(_signatures(part, begin[one], end[one]), ROWS)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), pa.array(np.repeat(ids[one], keys.shape[1]))], ["bucket", "id"])
+            registers, rest = _signatures(part, begin[one], end[one], odd)
+            keys = (groups.band_keys(registers, rows) >> U64(32)).astype(np.uint32)
+            heads = np.hstack([ids[one].view(np.uint8).reshape(-1, 8), rest])
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (heads, *(keys[:, c] for c in cuts))], names)
+
+    names = ["heads", *(f"keys{k}" for k in range(len(cuts)))]
+    return docs.select("text").mapInArrow(run, ", ".join(f"{n} binary" for n in names))
+
+
+def cut_by_key(stored: DataFrame, column: str, parts: int) -> DataFrame:
+    """(part, band, keys, heads): the band rows of each part of the keys, packed."""
 
-    return docs.select("text").mapInArrow(run, "bucket bigint, id bigint")
+    def run(batches):
+        for batch in batches:
+            for heads, keys in zip(batch.column("heads"), batch.column("keys"), strict=True):
+                heads = np.frombuffer(heads.as_py(), np.uint8).reshape(-1, HEAD)
+                if not len(heads):
+                    continue
+                # band by band, so a block moves in pieces of its own size
+                for band, key in enumerate(np.frombuffer(keys.as_py(), np.uint32).reshape(len(heads), -1).T):
+                    part = key % np.uint32(parts)
+                    order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+                    part, key, moved = part[order], key[order], heads[order]
+                    first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+                    names, each = part[first], [slice(a, b) for a, b in zip(first, np.append(first[1:], len(part)), strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(names.astype(np.int32)), pa.array([band] * len(names), pa.int32()), pa.array([key[e].tobytes() for e in each], pa.binary()), pa.array([moved[e].tobytes() for e in each], pa.binary())],
+                        ["part", "band", "keys", "heads"],
+                    )
+
+    return stored.select("heads", F.col(column).alias("keys")).mapInArrow(run, "part int, band int, keys binary, heads binary")
+
+
+def near_pairs(key: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one key (bucket) whose sketches and sizes are near, as two arrays of ids; all such pairs are connected."""
+    none = np.empty(0, np.int64)
+    order = np.argsort(key)
+    same = key[order[1:]] == key[order[:-1]]
+    order = order[np.append(same, False) | np.append(False, same)]
+    if not len(order):
+        return none, none
+    key, heads = key[order], heads[order]
+    ids, size = heads[:, :8].copy().view(np.int64)[:, 0], heads[:, 8:12].copy().view(np.uint32)[:, 0].astype(np.int64)
+    order = np.lexsort((ids, size, key))
+    key, ids, size = key[order], ids[order], size[order]
+    new = np.append(True, (key[1:] != key[:-1]) | (ids[1:] != ids[:-1]))  # equal lines of several blocks: once
+    key, ids, size = key[new], ids[new], size[new]
+    sketch = np.ascontiguousarray(heads[order[new], 12:]).view(U64).T.copy()  # word by word
+    bound = most_bits(np.arange(1 << 16))  # larger sums have the last one's bound
+
+    def near(x, y):
+        """Which pairs are near; most are ruled out by the first half of the sketch."""
+        most, half = bound[np.minimum(size[x] + size[y], len(bound) - 1)], len(sketch) // 2
+        bits = np.zeros(len(most), np.int16)
+        for word in sketch[:half]:
+            bits += np.bitwise_count(word[x] ^ word[y])
+        left = np.flatnonzero(bits <= most)
+        x, y, bits = (v[left] if isinstance(v, np.ndarray) else v for v in (x, y, bits))
+        for word in sketch[half:]:
+            bits += np.bitwise_count(word[x] ^ word[y])
+        return left[bits <= most[left]]
+
+    # rows of a bucket in the order of their sizes: partners of a row are the next ones, up to a quarter larger
+    begin = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
+    many = np.diff(begin)
+    end = np.repeat(begin[1:], many)
+    a, b = [none], [none]
+    active = np.flatnonzero(np.repeat(many, many) <= LONG)
+    step = 1
+    while len(active):
+        active = active[active + step < end[active]]
+        active = active[4 * size[active + step] <= 5 * size[active]]
+        for k in range(0, len(active), 1 << 16):
+            x = active[k : k + (1 << 16)]
+            x = x[near(x, x + step)]
+            a.append(ids[x])
+            b.append(ids[x + step])
+        step += 1
+    for first, last in zip(begin[:-1][many > LONG], begin[1:][many > LONG], strict=True):
+        label = np.arange(first, last)
+        for i in range(first, last - 1):
+            stop = first + int(np.searchsorted(size[first:last], 5 * size[i] // 4, "right"))
+            rest = np.flatnonzero(label[i + 1 - first : stop - first] != label[i - first]) + i + 1
+            found = rest[near(i, rest)]
+            if len(found):
+                group = np.unique(np.append(label[found - first], label[i - first]))
+                label[np.isin(label, group)] = group[0]
+        moved = np.flatnonzero(label != np.arange(first, last))
+        a.append(ids[first + moved])
+        b.append(ids[label[moved]])
+    return np.concatenate(a), np.concatenate(b)
+
+
+def joined(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links between ids as fewer links: each id and the smallest id of its component."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    one, two = np.split(at, 2)
+    label = np.arange(len(ids))
+    while len(one):
+        low = np.minimum(label[one], label[two])
+        np.minimum.at(label, label[one], low)
+        np.minimum.at(label, label[two], low)
+        while (label[label] != label).any():
+            label = label[label]
+        open_ = label[one] != label[two]
+        one, two = one[open_], two[open_]
+    moved = np.flatnonzero(label != np.arange(len(ids)))
+    return ids[moved], ids[label[moved]]
+
+
+def likely_links(packed: DataFrame) -> DataFrame:
+    """(id, root) of lines that share a bucket and have near sketches; a task takes the bands of its parts one by one."""
+
+    def run(batches):
+        held: dict[int, list] = {}
+        for batch in batches:
+            for band, keys, heads in zip(*(batch.column(c).to_pylist() for c in ("band", "keys", "heads")), strict=True):
+                held.setdefault(band, []).append((keys, heads))
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for band in sorted(held):
+            some = held.pop(band)
+            key = np.frombuffer(b"".join(k for k, _ in some), np.uint32)
+            heads = np.frombuffer(b"".join(h for _, h in some), np.uint8).reshape(-1, HEAD)
+            del some
+            x, y = joined(*near_pairs(key, heads))
+            a.append(x)
+            b.append(y)
+        x, y = joined(np.concatenate(a), np.concatenate(b))
+        yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["id", "root"])
+
+    return packed.mapInArrow(run, "id bigint, root bigint")
+
+
+def likely_groups(docs: DataFrame, lines: int) -> DataFrame:
+    """id and group of lines that likely pairs connect. Bands go in passes, so that only a few are on disk at a time."""
+    spark = docs.sparkSession
+    rows = rows_for(lines)
+    bands = bands_for(rows)
+    step = int(np.clip(SMALL // (max(lines, 1) * (HEAD + 4)), PASS, STORED))
+    parts = max(shuffle_partitions(spark), -(-lines * step * (HEAD + 4) // TASK))
+    found = []
+    for low in range(0, bands, STORED):
+        some = range(low, min(low + STORED, bands))
+        stored = written(heads_and_keys(docs, rows, some, step), "lines-heads")
+        for k in range(-(-len(some) // step)):
+            packed = cut_by_key(stored, f"keys{k}", 4 * parts).repartition(parts, "part")
+            found.append(written(likely_links(packed), "lines-links"))
+            del packed
+            forget_shuffles(spark)
+        discard(stored)
+    links = found[0]
+    for more in found[1:]:
+        links = links.unionByName(more)
+    done = written(groups.components(links.distinct()), "lines-likely")
+    discard(*found)
+    return done
 
 
 def bodies(docs: DataFrame, ids: DataFrame, wanted: np.ndarray | None) -> DataFrame:
-    """id, signature and bytes of each candidate line, once."""
+    """id, head and bytes of each candidate line, once."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
@@ -177,9 +382,9 @@ def bodies(docs: DataFrame, ids: DataFrame, wanted: np.ndarray | None) -> DataFr
             if shared.value is not None:
                 found = np.searchsorted(shared.value, own[one])
                 one = one[(np.append(shared.value, 0)[found] == own[one]) & (found < len(shared.value))]
-            sigs = short_registers(_signatures(part, begin[one], end[one]))
+            _, heads = _signatures(part, begin[one], end[one], np.empty(0, np.uint32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(own[one]), pa.array([s.tobytes() for s in sigs], pa.binary()), pa.array([part[begin[i] : end[i]].tobytes() for i in one], pa.binary())], ["id", "sig", "body"]
+                [pa.array(own[one]), pa.array([h.tobytes() for h in heads], pa.binary()), pa.array([part[begin[i] : end[i]].tobytes() for i in one], pa.binary())], ["id", "sig", "body"]
             )
 
     rows = docs.select("text").mapInArrow(run, "id bigint, sig binary, body binary")
@@ -196,19 +401,18 @@ def jaccard(one: np.ndarray, two: np.ndarray) -> float:
     return shared / (len(one) + len(two) - shared)
 
 
-def line_groups(docs: DataFrame) -> DataFrame:
-    """id and group of the lines that are similar to a line of other bytes."""
-    buckets = written(groups.shared_buckets(band_rows(docs)), "lines-buckets")
-    ids, wanted = groups.wanted_ids(buckets)
+def line_groups(docs: DataFrame, lines: int) -> DataFrame:
+    """id and group of the lines that are similar to a line of other bytes, of about so many lines."""
+    likely = likely_groups(docs, lines)
+    ids, wanted = groups.wanted_ids(likely)
     body = written(bodies(docs, ids, wanted), "lines-bodies")
-    likely = written(groups.likely_groups(buckets, body.select("id", "sig"), FLOOR, np.uint8), "lines-likely")
-    return groups.components(groups.exact_links(likely, body, prepare, jaccard, LEAST, FLOOR, np.uint8))
+    return groups.components(groups.exact_links(likely, body, prepare, jaccard, LEAST, 0, np.uint8, spare_bits))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, tie and the numbers of the lines to remove, for rows that have any."""
     every = written(occurrences(docs), "lines-places")
-    grouped = every.join(line_groups(docs), "id", "left").select("doc_id", "tie", "line", F.coalesce("group", "id").alias("group"))
+    grouped = every.join(line_groups(docs, every.count()), "id", "left").select("doc_id", "tie", "line", F.coalesce("group", "id").alias("group"))
     place = F.struct("doc_id", "tie", "line")
     # the first place of each group, with partial minima before anything moves
     first = grouped.groupBy("group").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")

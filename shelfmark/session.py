@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from weakref import WeakKeyDictionary
@@ -71,6 +72,15 @@ def discard(*tables: DataFrame) -> None:
         delete_folder(table.sparkSession, _FOLDERS.pop(table))
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the files of shuffles that nothing refers to any more.
+
+    It does so when their plans are collected as garbage, which on a large heap may come late.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Through Hadoop's file system, so that it reaches the store that the executors share."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

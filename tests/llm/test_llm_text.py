@@ -167,6 +167,47 @@ def test_lines_odd_rows(spark):
     assert got == ["", "same old line\nfirst", "second", "third"]
 
 
+def test_near_lines_of_a_bucket(monkeypatch):
+    """The pairs of a bucket connect all similar lines, whichever way the bucket is gone through; few others pass."""
+    rng = np.random.default_rng(3)
+    texts = []
+    for k in range(60):
+        line = rng.choice(np.arange(0x21, 0x7F), int(rng.integers(3, 300) if k % 9 else 3000))
+        texts += [bytes(line.astype(np.uint8))] * 2
+        for _ in range(2):
+            line[rng.integers(0, len(line), max(1, len(line) // 60))] = 0x20
+            texts.append(bytes(line.astype(np.uint8)))
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    end = np.cumsum([len(t) for t in texts])
+    begin = end - [len(t) for t in texts]
+    ids = line_dedup.line_ids(data, begin, end)
+    _, rest = line_dedup._signatures(data, begin, end, np.empty(0, np.uint32))
+    heads = np.hstack([ids.view(np.uint8).reshape(-1, 8), rest])
+    sets = [set(line_dedup.prepare(t).tolist()) for t in texts]
+    similar = {(i, j) for i in range(len(texts)) for j in range(i) if ids[i] != ids[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+    assert len(similar) > 60 and all(line_dedup.spare_bits(rest[i], rest[[j]])[0] >= 0 for i, j in similar)
+    for long in (4096, 4):
+        monkeypatch.setattr(line_dedup, "LONG", long)
+        group = dict(zip(*(x.tolist() for x in line_dedup.joined(*line_dedup.near_pairs(np.zeros(len(texts), np.uint32), heads)))))
+        of = [group.get(i, i) for i in ids.view(np.int64).tolist()]
+        assert all(of[i] == of[j] for i, j in similar)
+        assert len(set(of)) > 40
+
+
+def test_lines_in_many_passes(spark, monkeypatch):
+    """Few bands at a time, and stored in two portions: equal results."""
+    rows = brute.documents()
+    monkeypatch.setattr(line_dedup, "SMALL", 0)
+    monkeypatch.setattr(line_dedup, "PASS", 9)
+    monkeypatch.setattr(line_dedup, "STORED", 18)
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(frame(spark, rows)).collect()} == dict(zip([i for i, _ in rows], brute.dedup_lines(rows)))
+
+
+def test_bands_keep_their_chance():
+    assert [line_dedup.rows_for(n) for n in (0, 4_000_000, 5_000_000, 1 << 40)] == [7, 7, 8, 12]
+    assert all((1 - 0.8**rows) ** line_dedup.bands_for(rows) < 0.0018 for rows in range(7, 13))
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(1, 60)] + [(100, 90), (90, 95)] + [(200 + i, 300) for i in range(30)]
     links = spark.createDataFrame(chain, "id long, root long")
