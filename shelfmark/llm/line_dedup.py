@@ -17,6 +17,8 @@ result; further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from shelfmark.llm import groups
-from shelfmark.llm.blocks import U64, blank_fold, mix64, powers, row_blocks, text_bytes
+from shelfmark.llm.blocks import U64, blank_fold, mix64, row_blocks, text_bytes
 from shelfmark.session import discard, forget_shuffles, shuffle_partitions, written
 
 #: Code points of a shingle; three, of 21 bits each, make one exact 64-bit number.
@@ -37,16 +39,16 @@ ROWS, MOST_ROWS, FEW = 7, 12, 4_000_000
 #: Share of the pairs of similarity 0.8 that no band finds.
 MISSED = 0.00175
 #: Bands whose rows are moved at a time (more, if they take less than SMALL bytes), and whose keys are stored at a time.
-PASS, STORED, SMALL = 2, 28, 100 << 20
+PASS, STORED, SMALL = 3, 28, 100 << 20
 #: Bits of a sketch of a line's shingles, and bytes of a line's head: id, number of shingles, sketch.
-BITS = 512
+BITS = 384
 HEAD = 12 + BITS // 8
 #: Bytes of band rows of one task, and rows of a bucket beyond which connected rows are left out first.
 TASK, LONG = 32 << 20, 4096
-BLOCK = 1 << 20
-_VALUE = np.random.default_rng(43).integers(0, 1 << 64, 256, dtype=U64)
-_BASE = U64(0xD6E8FEB86659FD93)
-_UNDO = U64(pow(int(_BASE), -1, 1 << 64))
+#: Least number of parts of the keys, and heads that a packed row of one part holds on average, as far as TASK bytes allow.
+PARTS, FILL = 64, 256
+#: Bytes of text of a block, and of those whose shingles are made at a time (its arrays stay in a core's cache).
+BLOCK, STEP = 1 << 20, 1 << 17
 
 
 def lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -60,24 +62,17 @@ def lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     after = np.append(cut, len(data))[np.searchsorted(cut, begin)]
     end = np.minimum(after, offsets[row + 1])
     number = np.searchsorted(cut, begin) - np.searchsorted(cut, offsets[row])
-    seen = np.concatenate([[0], np.cumsum(blank_fold()[data] != 0)])
-    full = seen[end] > seen[begin]
+    visible = blank_fold() != 0
+    full = (end > begin) & visible[data[np.minimum(begin, len(data) - 1)]] if len(data) else np.zeros(len(begin), bool)
+    for i in np.flatnonzero((end > begin) & ~full):  # few lines begin with a blank
+        full[i] = visible[data[begin[i] : end[i]]].any()
     return row[full], number[full], begin[full], end[full]
 
 
 def line_ids(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each line: a polynomial, from sums over all bytes before its begin and its end."""
-    out = np.zeros(len(begin), U64)
-    first = 0
-    while first < len(begin):  # some lines at a time: the arrays below take 32 bytes a byte
-        last = max(first + 1, int(np.searchsorted(end, begin[first] + BLOCK)))
-        some = data[begin[first] : end[last - 1]]
-        sums = np.zeros(len(some) + 1, U64)
-        np.cumsum(_VALUE[some] * powers(len(some), _BASE), out=sums[1:])
-        a, b = begin[first:last] - begin[first], end[first:last] - begin[first]
-        out[first:last] = (sums[b] - sums[a]) * powers(len(some), _UNDO)[a]
-        first = last
-    return mix64(out + (end - begin).astype(U64))
+    """A 64-bit hash of the bytes of each line."""
+    view = memoryview(np.ascontiguousarray(data))
+    return np.frombuffer(b"".join([blake2b(view[a:b], digest_size=8).digest() for a, b in zip(begin.tolist(), end.tolist(), strict=True)]), U64)
 
 
 def line_shingles(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,44 +130,60 @@ def minhash(shingle: np.ndarray, start: np.ndarray, odd: np.ndarray) -> np.ndarr
     return np.ascontiguousarray(out.T)
 
 
+def distinct(shingle: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different shingles of each line, one line after another, and where each line's begin."""
+    if not len(start):
+        return shingle, start
+    many = np.diff(np.append(start, len(shingle)))
+    key = np.repeat(np.arange(len(start), dtype=U64) << U64(32), many) | shingle
+    key.sort()
+    key = key[np.append(True, key[1:] != key[:-1])]
+    return key.astype(np.uint32), np.searchsorted(key, np.arange(len(start), dtype=U64) << U64(32))
+
+
 def sketches(shingle: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How many different shingles each line has, and its sketch: the parity of the shingles that fall on each bit.
+    """How many shingles each line has, and its sketch: the parity of the shingles (different ones) that fall on each bit.
 
     A shingle that one of two lines lacks turns one bit over, so sketches differ in no more bits than lines in shingles.
     """
     many = np.diff(np.append(start, len(shingle)))
-    key = np.sort(np.repeat(np.arange(len(start), dtype=U64) << U64(32), many) | shingle)
-    key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
-    line = (key >> U64(32)).astype(np.int64)
-    bit = (key & U64(0xFFFFFFFF)) * U64(0x9E3779B97F4A7C15) >> U64(64 - (BITS - 1).bit_length())
-    odd = np.bincount(line * BITS + bit.astype(np.int64), minlength=BITS * len(start)).astype(np.uint8) & 1
-    return np.bincount(line, minlength=len(start)).astype(np.uint32), np.packbits(odd.reshape(-1, BITS), axis=1)
+    bit = (shingle * U64(0x9E3779B97F4A7C15) >> U64(32)) * U64(BITS) >> U64(32)
+    odd = np.bincount(np.repeat(np.arange(0, BITS * len(start), BITS), many) + bit.astype(np.int64), minlength=BITS * len(start)).astype(np.uint8) & 1
+    return many.astype(np.uint32), np.packbits(odd.reshape(-1, BITS), axis=1)
 
 
 def most_bits(size: np.ndarray) -> np.ndarray:
     """Differing bits up to which two lines may be similar, by the sum of their sizes.
 
     Similar lines differ in at most a ninth of their shingles together (0.2 / 1.8). Of long lines many shingles fall on one
-    bit; there the bound is what so many shingles turn over, and five standard deviations.
+    bit; there the bound is what so many shingles turn over, and four standard deviations (3 in 100,000 are beyond).
     """
     differ = size // 9
-    odd = (1 - (1 - 2 / BITS) ** differ) / 2
-    return np.minimum(differ, np.ceil(BITS * odd + 5 * np.sqrt(BITS * odd * (1 - odd))).astype(np.int64))
+    even, both = (1 - 2 / BITS) ** differ, (1 - 4 / BITS) ** differ
+    deviation = np.sqrt(np.maximum(BITS * (1 - even**2) + BITS * (BITS - 1) * (both - even**2), 0)) / 2
+    return np.minimum(differ, np.ceil(BITS * (1 - even) / 2 + 4 * deviation).astype(np.int64))
+
+
+@cache
+def _bounds() -> np.ndarray:
+    """``most_bits`` of all sums below 65,536; larger ones have the last one's bound."""
+    return most_bits(np.arange(1 << 16))
 
 
 def spare_bits(one: np.ndarray, others: np.ndarray) -> np.ndarray:
     """By how many bits heads without ids (rows of bytes) stay below ``most_bits``; negative: not similar."""
     size, its = one[:4].view(np.uint32).astype(np.int64), np.ascontiguousarray(others[:, :4]).view(np.uint32)[:, 0].astype(np.int64)
-    return most_bits(size + its) - np.bitwise_count(one[4:] ^ others[:, 4:]).sum(1, dtype=np.int64)
+    bound = _bounds()
+    return bound[np.minimum(size + its, len(bound) - 1)] - np.bitwise_count(one[4:] ^ others[:, 4:]).sum(1, dtype=np.int64)
 
 
 def _signatures(data: np.ndarray, begin: np.ndarray, end: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Registers, and heads without ids: size and sketch as bytes."""
     registers, heads, first = [np.empty((0, len(odd)), np.uint32)], [np.empty((0, HEAD - 8), np.uint8)], 0
     while first < len(begin):
-        # lines lie in order but not side by side, so this is at most BLOCK bytes or one line
-        last = max(first + 1, int(np.searchsorted(end, begin[first] + (BLOCK >> 2))))
-        shingle, start = line_shingles(data, begin[first:last], end[first:last])
+        # lines lie in order but not side by side, so this is at most STEP bytes or one line
+        last = max(first + 1, int(np.searchsorted(end, begin[first] + STEP)))
+        shingle, start = distinct(*line_shingles(data, begin[first:last], end[first:last]))
         size, sketch = sketches(shingle, start)
         registers.append(minhash(shingle, start, odd))
         heads.append(np.hstack([size.view(np.uint8).reshape(-1, 4), sketch]))
@@ -223,46 +234,68 @@ def heads_and_keys(docs: DataFrame, rows: int, bands: range, step: int) -> DataF
     return docs.select("text").mapInArrow(run, ", ".join(f"{n} binary" for n in names))
 
 
-def cut_by_key(stored: DataFrame, column: str, parts: int) -> DataFrame:
-    """(part, band, keys, heads): the band rows of each part of the keys, packed."""
+def cut_by_key(stored: DataFrame, column: str, step: int, parts: int) -> DataFrame:
+    """(part, sizes, keys, heads): the rows of ``step`` bands in each part of the keys, packed, and how many each band has.
+
+    Blocks are gathered until a packed row is well filled, so their number grows with the lines, not with blocks and parts.
+    """
+    full = min(FILL * parts, TASK // (HEAD + 4 * step))
+
+    def cut(held):
+        heads = np.concatenate([h for h, _ in held])
+        key = np.concatenate([k for _, k in held])
+        bands = key.shape[1]
+        place = (key % np.uint32(parts)).astype(np.int64) * bands + np.arange(bands)
+        order = np.argsort((place.astype(np.uint16) if parts * bands <= 1 << 16 else place).ravel(), kind="stable")
+        sizes = np.bincount(place.ravel(), minlength=parts * bands).reshape(parts, bands)
+        part = np.flatnonzero(sizes.any(axis=1))
+        sizes = sizes[part].astype(np.int32)
+        ends = np.concatenate([[0], np.cumsum(sizes.sum(axis=1))])
+
+        def packed(rows, width):
+            return pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(ends * width), pa.py_buffer(rows)]).cast(pa.binary())
+
+        return pa.RecordBatch.from_arrays(
+            [pa.array(part.astype(np.int32)), pa.array([x.tobytes() for x in sizes], pa.binary()), packed(key.ravel()[order], 4), packed(heads.take(order // bands, axis=0), HEAD)],
+            ["part", "sizes", "keys", "heads"],
+        )
 
     def run(batches):
+        held, lines = [], 0
         for batch in batches:
             for heads, keys in zip(batch.column("heads"), batch.column("keys"), strict=True):
-                heads = np.frombuffer(heads.as_py(), np.uint8).reshape(-1, HEAD)
+                heads = np.frombuffer(heads.as_buffer(), np.uint8).reshape(-1, HEAD)
                 if not len(heads):
                     continue
-                # band by band, so a block moves in pieces of its own size
-                for band, key in enumerate(np.frombuffer(keys.as_py(), np.uint32).reshape(len(heads), -1).T):
-                    part = key % np.uint32(parts)
-                    order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
-                    part, key, moved = part[order], key[order], heads[order]
-                    first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-                    names, each = part[first], [slice(a, b) for a, b in zip(first, np.append(first[1:], len(part)), strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(names.astype(np.int32)), pa.array([band] * len(names), pa.int32()), pa.array([key[e].tobytes() for e in each], pa.binary()), pa.array([moved[e].tobytes() for e in each], pa.binary())],
-                        ["part", "band", "keys", "heads"],
-                    )
+                held.append((heads, np.frombuffer(keys.as_buffer(), np.uint32).reshape(len(heads), -1)))
+                lines += len(heads)
+                if lines >= full:
+                    yield cut(held)
+                    held, lines = [], 0
+        if held:
+            yield cut(held)
 
-    return stored.select("heads", F.col(column).alias("keys")).mapInArrow(run, "part int, band int, keys binary, heads binary")
+    return stored.select("heads", F.col(column).alias("keys")).mapInArrow(run, "part int, sizes binary, keys binary, heads binary")
 
 
 def near_pairs(key: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one key (bucket) whose sketches and sizes are near, as two arrays of ids; all such pairs are connected."""
     none = np.empty(0, np.int64)
-    order = np.argsort(key)
-    same = key[order[1:]] == key[order[:-1]]
-    order = order[np.append(same, False) | np.append(False, same)]
-    if not len(order):
+    place = key.astype(U64) << U64(32) | np.ascontiguousarray(heads[:, 8:12]).view(np.uint32)[:, 0]  # by key, then size
+    order = np.argsort(place)
+    place = place[order]
+    same = place[1:] >> U64(32) == place[:-1] >> U64(32)
+    several = np.append(same, False) | np.append(False, same)
+    if not several.any():
         return none, none
-    key, heads = key[order], heads[order]
-    ids, size = heads[:, :8].copy().view(np.int64)[:, 0], heads[:, 8:12].copy().view(np.uint32)[:, 0].astype(np.int64)
-    order = np.lexsort((ids, size, key))
-    key, ids, size = key[order], ids[order], size[order]
-    new = np.append(True, (key[1:] != key[:-1]) | (ids[1:] != ids[:-1]))  # equal lines of several blocks: once
-    key, ids, size = key[new], ids[new], size[new]
-    sketch = np.ascontiguousarray(heads[order[new], 12:]).view(U64).T.copy()  # word by word
-    bound = most_bits(np.arange(1 << 16))  # larger sums have the last one's bound
+    order, place = order[several], place[several]
+    heads = heads.take(order, axis=0)
+    ids = np.ascontiguousarray(heads[:, :8]).view(np.int64)[:, 0]
+    once = _once(ids)  # equal lines of several blocks
+    place, heads, ids = place[once], heads[once], ids[once]
+    key, size = (place >> U64(32)).astype(np.uint32), (place & U64(0xFFFFFFFF)).astype(np.int64)
+    sketch = np.ascontiguousarray(heads[:, 12:]).view(U64).T.copy()  # word by word
+    bound = _bounds()
 
     def near(x, y):
         """Which pairs are near; most are ruled out by the first half of the sketch."""
@@ -330,8 +363,10 @@ def likely_links(packed: DataFrame) -> DataFrame:
     def run(batches):
         held: dict[int, list] = {}
         for batch in batches:
-            for band, keys, heads in zip(*(batch.column(c).to_pylist() for c in ("band", "keys", "heads")), strict=True):
-                held.setdefault(band, []).append((keys, heads))
+            for sizes, keys, heads in zip(*(batch.column(c).to_pylist() for c in ("sizes", "keys", "heads")), strict=True):
+                end = np.cumsum(np.frombuffer(sizes, np.int32)).tolist()
+                for band, (first, last) in enumerate(zip([0, *end], end)):
+                    held.setdefault(band, []).append((memoryview(keys)[4 * first : 4 * last], memoryview(heads)[HEAD * first : HEAD * last]))
         a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for band in sorted(held):
             some = held.pop(band)
@@ -353,13 +388,15 @@ def likely_groups(docs: DataFrame, lines: int) -> DataFrame:
     rows = rows_for(lines)
     bands = bands_for(rows)
     step = int(np.clip(SMALL // (max(lines, 1) * (HEAD + 4)), PASS, STORED))
-    parts = max(shuffle_partitions(spark), -(-lines * step * (HEAD + 4) // TASK))
+    # a hash deals the parts to the tasks, so there are several for each
+    parts = max(PARTS, 4 * -(-lines * step * (HEAD + 4) // TASK))
+    tasks = max(shuffle_partitions(spark), parts // 4)
     found = []
     for low in range(0, bands, STORED):
         some = range(low, min(low + STORED, bands))
         stored = written(heads_and_keys(docs, rows, some, step), "lines-heads")
         for k in range(-(-len(some) // step)):
-            packed = cut_by_key(stored, f"keys{k}", 4 * parts).repartition(parts, "part")
+            packed = cut_by_key(stored, f"keys{k}", step, parts).repartition(tasks, "part")
             found.append(written(likely_links(packed), "lines-links"))
             del packed
             forget_shuffles(spark)
@@ -382,23 +419,32 @@ def bodies(docs: DataFrame, ids: DataFrame, wanted: np.ndarray | None) -> DataFr
             if shared.value is not None:
                 found = np.searchsorted(shared.value, own[one])
                 one = one[(np.append(shared.value, 0)[found] == own[one]) & (found < len(shared.value))]
-            _, heads = _signatures(part, begin[one], end[one], np.empty(0, np.uint32))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(own[one]), pa.array([h.tobytes() for h in heads], pa.binary()), pa.array([part[begin[i] : end[i]].tobytes() for i in one], pa.binary())], ["id", "sig", "body"]
-            )
+            body = [part[begin[i] : end[i]].tobytes() for i in one]
+            at = np.concatenate([[0], np.cumsum(end[one] - begin[one])])
+            _, heads = _signatures(np.frombuffer(b"".join(body), np.uint8), at[:-1], at[1:], np.empty(0, np.uint32))
+            yield pa.RecordBatch.from_arrays([pa.array(own[one]), pa.array([h.tobytes() for h in heads], pa.binary()), pa.array(body, pa.binary())], ["id", "sig", "body"])
 
     rows = docs.select("text").mapInArrow(run, "id bigint, sig binary, body binary")
     return (rows if wanted is not None else rows.join(ids, "id", "left_semi")).dropDuplicates(["id"])
 
 
 def prepare(body: bytes) -> np.ndarray:
-    data = np.frombuffer(body, np.uint8)
-    return np.unique(line_shingles(data, np.array([0]), np.array([len(data)]))[0])
+    """The different shingles of one line, in order; as those of ``line_shingles``, with less to do for a single line."""
+    points = np.frombuffer(body.decode().encode("utf-32-le"), np.uint32).astype(U64) + U64(1)
+    points = np.append(points, np.zeros(max(SIZE - len(points), 0), U64))
+    number = points[: len(points) - SIZE + 1].copy()
+    for k in range(1, SIZE):
+        number = number << U64(21) | points[k : len(points) - SIZE + 1 + k]
+    number = (mix64(number) >> U64(32)).astype(np.uint32)
+    number.sort()
+    return number[np.append(True, number[1:] != number[:-1])]
 
 
 def jaccard(one: np.ndarray, two: np.ndarray) -> float:
-    shared = len(np.intersect1d(one, two, assume_unique=True))
-    return shared / (len(one) + len(two) - shared)
+    both = np.concatenate([one, two])
+    both.sort()
+    shared = np.count_nonzero(both[1:] == both[:-1])
+    return shared / (len(both) - shared)
 
 
 def line_groups(docs: DataFrame, lines: int) -> DataFrame:
