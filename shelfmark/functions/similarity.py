@@ -52,25 +52,31 @@ def _equal_positions(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _matches_by_bits(a, b, n_left, n_right, reach) -> tuple[np.ndarray, np.ndarray]:
     """Matched characters and those out of order, for ``b`` of at most 64 characters."""
-    one = np.uint64(1)
     equal = _equal_positions(a, b)
+    return _matched([np.where(i < n_left, row, np.uint64(0)) for i, row in enumerate(equal)], n_right, reach)
+
+
+def _matched(equal, n_right, reach) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_matches_by_bits``, from the positions of ``b`` that hold each character of ``a`` in turn."""
+    one = np.uint64(1)
     free = np.where(n_right >= 64, ~np.uint64(0), (one << np.minimum(n_right, 63).astype(np.uint64)) - one)
     near = (one << np.minimum(reach + 1, 63).astype(np.uint64)) - one
-    taken = np.zeros(len(a), dtype=np.uint64)
+    taken = np.zeros(len(free), dtype=np.uint64)
     hits = []
-    for i in range(a.shape[1]):
-        pick = _lowest(np.where(i < n_left, equal[i] & free & near, np.uint64(0)))
-        free &= ~pick
+    for i, row in enumerate(equal):
+        pick = _lowest(row & free & near)
+        free ^= pick
         taken |= pick
         hits.append(pick != 0)
-        near = (near << one) | (i < reach).astype(np.uint64)
-    moved = np.zeros(len(a), dtype=np.int64)
-    for i, hit in enumerate(hits):
+        near = (near << one) | (i < reach)
+    m, moved = np.zeros((2, len(free)), dtype=np.int64)
+    for row, hit in zip(equal, hits, strict=True):
         # The k-th matched character of one side faces the k-th of the other.
-        facing = np.where(hit, _lowest(taken), np.uint64(0))
-        moved += hit & ((equal[i] & facing) == 0)
-        taken &= ~facing
-    return np.sum(hits, axis=0), moved
+        facing = _lowest(taken) * hit
+        moved += hit & ((row & facing) == 0)
+        taken ^= facing
+        m += hit
+    return m, moved
 
 
 def _front(codes: np.ndarray, marked: np.ndarray) -> np.ndarray:
@@ -109,15 +115,60 @@ def _jaro_winkler_chunk(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     # The bits of a window must fit as well, so both sides have to be short.
     short = max(a.shape[1], b.shape[1]) <= 64
     m, moved = (_matches_by_bits if short else _matches_by_position)(a, b, n_left, n_right, reach)
-    safe = np.maximum(m, 1)
-    jaro = (m / np.maximum(n_left, 1) + m / np.maximum(n_right, 1) + (m - moved // 2) / safe) / 3.0
-    jaro = np.where(m > 0, jaro, 0.0)
     lead = min(PREFIX_CHARS, a.shape[1], b.shape[1])
     inside = np.arange(lead)[None, :] < np.minimum(n_left, n_right)[:, None]
     same = np.cumprod((a[:, :lead] == b[:, :lead]) & inside, axis=1).sum(axis=1)
+    return _jaro_winkler_of(m, moved, n_left, n_right, same)
+
+
+def _jaro_winkler_of(m, moved, n_left, n_right, same) -> np.ndarray:
+    """From the matched characters, those out of order, the lengths, and the shared first characters."""
+    safe = np.maximum(m, 1)
+    jaro = (m / np.maximum(n_left, 1) + m / np.maximum(n_right, 1) + (m - moved // 2) / safe) / 3.0
+    jaro = np.where(m > 0, jaro, 0.0)
     return np.where(jaro > PREFIX_FROM, jaro + PREFIX_GAIN * same * (1.0 - jaro), jaro)
 
 
+class Spelled:
+    """Strings of at most 64 characters, spelled out once for many comparisons."""
+
+    def __init__(self, strings: list[str]):
+        self.length = np.fromiter(map(len, strings), np.int64, len(strings))
+        self.codes = np.zeros((int(self.length.max(initial=0)), len(strings)), np.uint32)  # one row per position
+        inside = np.arange(len(self.codes)) < self.length[:, None]
+        self.codes.T[inside] = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32)
+        seen = np.zeros(int(self.codes.max(initial=0)) + 1, bool)
+        seen[self.codes.T[inside]] = True
+        # characters are numbered; the last number stands for all that do not occur
+        self.kinds = int(seen.sum())
+        self.number = np.append(np.where(seen, np.cumsum(seen) - 1, self.kinds), self.kinds)
+        # where each character stands in each string
+        self.places = np.zeros((len(strings), self.kinds + 1), np.uint64)
+        rows = np.arange(len(strings))
+        for place, own in enumerate(self.codes):
+            here = rows[place < self.length]
+            self.places[here, self.number[own[here]]] |= np.uint64(1) << np.uint64(place)
+
+    def ids_in(self, other: Spelled) -> np.ndarray:
+        """The characters as columns of ``other.places``."""
+        ids = other.number[np.minimum(self.codes, len(other.number) - 1)]
+        return np.where(np.arange(len(self.codes))[:, None] < self.length, ids, other.kinds)
+
+
+def jaro_winkler_spelled(a: Spelled, b: Spelled, ids: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Jaro-Winkler of the strings x of ``a`` and y of ``b``; ``ids`` are ``a.ids_in(b)``."""
+    n_left, n_right = a.length[x], b.length[y]
+    places, start = b.places.ravel(), y * b.places.shape[1]
+    equal = [places.take(start + row.take(x)) for row in ids]
+    reach = np.maximum(np.maximum(n_left, n_right) // 2 - 1, 0)
+    m, moved = _matched(equal, n_right, reach)
+    same, alike = np.zeros(len(x), np.int64), np.ones(len(x), bool)
+    for i in range(min(PREFIX_CHARS, len(a.codes), len(b.codes))):
+        alike &= (a.codes[i][x] == b.codes[i][y]) & (i < n_left) & (i < n_right)
+        same += alike
+    return _jaro_winkler_of(m, moved, n_left, n_right, same)
+
+
 def jaro_winkler_arrays(left, right) -> np.ndarray:
     """Jaro-Winkler of two equally long string sequences; 0.0 where one is null."""
     # Arrays of fixed width are made of titles of like length only, and of a bounded

@@ -21,16 +21,17 @@ of a record, however many, are compared once. 2 and 4 are plain aggregates.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.similarity import DIGITS, author_overlap, author_set, title_similarity
-from shelfmark.operators.block_join import Partners, best_by_blocks
+from shelfmark.functions.similarity import DIGITS, PREFIX_CHARS, author_overlap, author_set, title_similarity
+from shelfmark.operators.block_join import ALL_CLASSES, NEAREST, Partners, best_by_blocks
 from shelfmark.operators.dedupe import keep_first
 from shelfmark.operators.title_join import SLACK, title_pairs
-from shelfmark.session import discard, written
+from shelfmark.session import written
 
 
 @dataclass(frozen=True)
@@ -203,24 +204,24 @@ def best_titles(
     ``others`` has (title, id) with one row per title; the smaller id settles ties.
     Column ``need`` of ``titles`` may raise the threshold for single titles.
 
-    Two steps. Titles with the same first characters are few and the most similar, so
-    they go first. What they reach is what any other title then has to reach at least,
-    which rules most of the many others out: blocks of them at once, see ``block_join``.
+    Two steps. First each title looks at titles near it that have the same first characters. What they
+    reach is what any other title then has to reach at least, which rules most of the many others out:
+    pages and blocks of them at once, see ``block_join``. The second step looks at all of them.
     """
     wanted = titles.selectExpr("title", f"cast({need or threshold} as double) as need")
     kind = others.schema["id"].dataType.simpleString()
     partners = Partners.of(wanted, others)
 
-    def step(left: DataFrame, classes: tuple[int, ...]) -> DataFrame:
-        near = best_by_blocks(left, partners, threshold, classes).selectExpr(
+    def step(left: DataFrame, classes: Iterable[int], nearest: int | None = None) -> DataFrame:
+        near = best_by_blocks(left, partners, threshold, classes, nearest).selectExpr(
             "title_1 as title", f"struct(-round(similarity, {DIGITS}) as loss, cast(id_2 as {kind}) as id, title_2 as title) as best"
         )
         return near.where(f"-best.loss >= {threshold!r}D").groupBy("title").agg(F.min("best").alias("best"))
 
-    close = written(step(wanted, (3, 4)), "titles")
+    close = written(step(wanted, (PREFIX_CHARS,), NEAREST), "titles")
     raised = wanted.join(close, "title", "left").selectExpr("title", "greatest(need, -best.loss) as need")
-    found = close.unionByName(step(raised, (0, 1, 2)))
-    discard(partners.pages)
+    found = close.unionByName(step(raised, ALL_CLASSES))
+    partners.discard()
     return found.groupBy("title").agg(F.min("best").alias("best"))
 
 
